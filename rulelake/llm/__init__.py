@@ -1,0 +1,10 @@
+"""Operators for training data. Nothing else in the library imports this package.
+
+The package's functions travel to the Python workers by value, so that executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
