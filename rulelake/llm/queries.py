@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..sources.tables import table, written
 from .consensus import fitted, last_answers
 from .encoding import decoded, encoded, token_counts
+from .languages import LEAST_WORDS, detected
+from .neardup import groups, similar_pairs
 from .packing import packed
 
 VERDICTS = ["keep", "reject", "merge"]
@@ -35,6 +37,14 @@ def p1_judges(spark: SparkSession, d: str) -> DataFrame:
     return fitted(votes(spark, d), ["doc_id", "candidate"], "judge", "verdict", VERDICTS)[1]
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return similar_pairs(table(spark, d, "decision"), "ref", ["emne", "tekst"]).withColumnsRenamed({"a": "ref_a", "b": "ref_b"})
+
+
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    return groups(table(spark, d, "decision"), "ref", ["emne", "tekst"])
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoded(table(spark, d, "documents"))
 
@@ -60,7 +70,22 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return total.join(table(spark, d, "container"), "container").select("container", "bins", F.ceil(F.col("tokens") / F.col("capacity")).alias("least"), (1 - F.col("tokens") / (F.col("bins") * F.col("capacity"))).alias("unused"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_consensus, p1_judges, p7_ids, p7_decoded, p8_packing, p8_fill)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    found = detected(table(spark, d, "documents")).where(F.col("para").isNotNull() & (F.col("longest") >= LEAST_WORDS))
+    return found.where(F.col("label").isNull() | (F.col("lang") != F.col("label"))).select("doc_id", "para", "lang")
+
+
+def p9_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The main language of each document with its confidence, beside the label."""
+    return detected(table(spark, d, "documents")).where("para is null").select("doc_id", "lang", "confidence", "label")
+
+
+def p9_segments(spark: SparkSession, d: str) -> DataFrame:
+    """The languages of each paragraph with confidence and share."""
+    return detected(table(spark, d, "documents")).where("para is not null").select("doc_id", "para", "lang", "confidence", "share")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_consensus, p1_judges, p4_found, p4_groups, p7_ids, p7_decoded, p8_packing, p8_fill, p9_found, p9_documents, p9_segments)}
 SQL = {
     "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
