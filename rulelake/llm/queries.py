@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import table, written
 from .consensus import fitted, last_answers
 from .encoding import decoded, encoded, token_counts
+from .garbled import restored
 from .languages import LEAST_WORDS, detected
 from .neardup import groups, similar_pairs
 from .packing import packed
@@ -37,6 +38,15 @@ def p1_judges(spark: SparkSession, d: str) -> DataFrame:
     return fitted(votes(spark, d), ["doc_id", "candidate"], "judge", "verdict", VERDICTS)[1]
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return restored(table(spark, d, "decision"), "ref", ["tekst", "citat"]).select("ref", "felt").distinct()
+
+
+def p3_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The garbled fields with their text as far as it could be regained."""
+    return restored(table(spark, d, "decision"), "ref", ["tekst", "citat"])
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return similar_pairs(table(spark, d, "decision"), "ref", ["emne", "tekst"]).withColumnsRenamed({"a": "ref_a", "b": "ref_b"})
 
@@ -85,7 +95,7 @@ def p9_segments(spark: SparkSession, d: str) -> DataFrame:
     return detected(table(spark, d, "documents")).where("para is not null").select("doc_id", "para", "lang", "confidence", "share")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_consensus, p1_judges, p4_found, p4_groups, p7_ids, p7_decoded, p8_packing, p8_fill, p9_found, p9_documents, p9_segments)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_consensus, p1_judges, p3_found, p3_restored, p4_found, p4_groups, p7_ids, p7_decoded, p8_packing, p8_fill, p9_found, p9_documents, p9_segments)}
 SQL = {
     "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }
