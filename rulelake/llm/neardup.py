@@ -33,7 +33,7 @@ SIGNATURE, DIFFER = 64, 17
 #: Parameters of the sketch: base, rate and number of levels.
 BASE, RATE, LEVELS = 1.001, 20.0, 65_534
 #: A worker keeps the draws of at most so many elements.
-KEPT = 60_000
+KEPT = 120_000
 #: Up to this many keys of candidates are broadcast to fetch their texts; beyond, they are joined.
 BROADCAST_KEYS = 500_000
 
@@ -78,23 +78,19 @@ class Sketcher:
 
     def index(self, said: list[str]) -> list[int]:
         """Rows of the elements of a text; the first occurrence of a word is the word itself, the next (word, 1) and so on."""
-        at, new = self.at, self.new
-        out = []
-        repeated = len(set(said)) < len(said)
-        seen: Counter = Counter()
-        for w in said:
-            e = w
-            if repeated:
-                n = seen[w]
-                seen[w] = n + 1
-                if n:
-                    e = (w, n)
-            i = at.get(e)
-            if i is None:
-                i = at[e] = len(at)
-                new.append(e)
-            out.append(i)
-        return out
+        at = self.at
+        count = Counter(said)
+        elements = list(count)
+        if len(elements) < len(said):
+            elements += [(w, i) for w, n in count.items() if n > 1 for i in range(1, n)]
+        try:
+            return list(map(at.__getitem__, elements))
+        except KeyError:
+            for e in elements:
+                if e not in at:
+                    at[e] = len(at)
+                    self.new.append(e)
+            return list(map(at.__getitem__, elements))
 
     def settle(self) -> None:
         if self.new:
@@ -114,13 +110,12 @@ class Sketcher:
                 self.clear()
             rows = [self.index(t) for t in texts[lo : lo + 256]]
             self.settle()
-            if sum(map(len, rows)) < 60_000:
-                starts = np.cumsum([0, *map(len, rows[:-1])])
-                out[lo : lo + len(rows)] = np.maximum.reduceat(self.levels[np.concatenate([np.array(r, np.int64) for r in rows])], starts, axis=0)
-            else:
-                for k, r in enumerate(rows):  # very long texts, piece by piece: sketches merge
+            for k, r in enumerate(rows):
+                if len(r) <= 20_000:
+                    self.levels.take(r, axis=0).max(0, out=out[lo + k])
+                else:  # very long texts piece by piece: sketches merge
                     for at in range(0, len(r), 20_000):
-                        out[lo + k] = np.maximum(out[lo + k], self.levels[np.array(r[at : at + 20_000], np.int64)].max(0))
+                        out[lo + k] = np.maximum(out[lo + k], self.levels.take(r[at : at + 20_000], axis=0).max(0))
         return out
 
 
