@@ -30,6 +30,8 @@ THRESHOLD = 0.75
 BANDS, ROWS = 24, 7
 #: Registers whose parities form the signature, and the most bits in which a pair may differ: 17 of 64 lose one pair of 1,500 at similarity 0.75.
 SIGNATURE, DIFFER = 64, 17
+#: A bucket of more rows is split into blocks of so many signatures, each pair of blocks compared in a task of its own.
+HOT = 4096
 #: Parameters of the sketch: base, rate and number of levels.
 BASE, RATE, LEVELS = 1.001, 20.0, 65_534
 #: A worker keeps the draws of at most so many elements.
@@ -187,7 +189,7 @@ def classes(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BAN
     return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint").distinct(), "classes")
 
 
-def candidates(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS, differ: int = DIFFER) -> DataFrame:
+def candidates(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS, differ: int = DIFFER, hot: int = HOT) -> DataFrame:
     """(``_sa``, ``_sb``): pairs of different signatures that share a band and differ in few bits, each once."""
     registers = bands * rows + SIGNATURE
 
@@ -207,11 +209,84 @@ def candidates(df: DataFrame, key: str, columns: Sequence[str], *, bands: int =
             k = band_keys(k[first], bands, rows)
             yield pa.RecordBatch.from_arrays([pa.array(k.T.ravel()), pa.array(np.tile(s[first], bands))], ["_b", "_s"])
 
-    keyed = _texts(df, key, columns).select("_t").mapInArrow(run, "_b bigint, _s bigint").repartition("_b")
-    once = keyed.groupBy("_b", "_s").agg(F.lit(1).alias("_one")).select("_b", "_s")  # by the same partitioning: no further shuffle
-    a, b = once.select("_b", F.col("_s").alias("_sa")), once.select("_b", F.col("_s").alias("_sb"))
-    near = a.join(b, "_b").where((F.col("_sa") < F.col("_sb")) & (F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= differ))
-    return near.select("_sa", "_sb").distinct()
+    keyed = _texts(df, key, columns).select("_t").mapInArrow(run, "_b bigint, _s bigint")
+    scanned = cut(keyed.repartition("_b").sortWithinPartitions("_b", "_s").mapInArrow(_bucket_scan(differ, hot), "_b bigint, _sa bigint, _sb bigint"))
+    near = scanned.where("_b is null").select("_sa", "_sb")
+    return near.unionByName(_hot_pairs(scanned.where("_b is not null").select("_b", F.col("_sa").alias("_s")).distinct(), differ, hot)).distinct()
+
+
+def _bucket_scan(differ: int, hot: int):
+    """Pairs of near signatures from rows sorted by band key and signature: each signature against those after it in its bucket.
+
+    A bucket of more than ``hot`` rows is not compared here; its rows come out with their band key.
+    """
+
+    def pairs(b: np.ndarray, s: np.ndarray):
+        first = np.ones(len(b), bool)
+        first[1:] = (b[1:] != b[:-1]) | (s[1:] != s[:-1])
+        b, s = b[first], s[first]
+        at, d = np.arange(len(b)), 1
+        while True:
+            at = at[at + d < len(b)]
+            at = at[b[at] == b[at + d]]
+            if not len(at):
+                return
+            near = at[np.bitwise_count((s[at] ^ s[at + d]).view(np.uint64)) <= differ]
+            yield s[near], s[near + d]
+            d += 1
+
+    def out(b, x, y):
+        return pa.RecordBatch.from_arrays([pa.array(b, pa.int64()) if b is not None else pa.nulls(len(x), pa.int64()), pa.array(x), pa.array(y)], ["_b", "_sa", "_sb"])
+
+    def run(batches):
+        b = s = np.zeros(0, np.int64)
+        burning = None  # the hot bucket that goes on
+        for batch in batches:
+            nb, ns = batch.column("_b").to_numpy(), batch.column("_s").to_numpy()
+            if burning is not None:
+                n = int(np.searchsorted(nb, burning, "right"))
+                if n:
+                    yield out(nb[:n], ns[:n], ns[:n])
+                nb, ns = nb[n:], ns[n:]
+                if not len(nb):
+                    continue
+                burning = None
+            b, s = np.concatenate([b, nb]), np.concatenate([s, ns])
+            if not len(b):
+                continue
+            tail = int(np.searchsorted(b, b[-1], "left"))
+            yield from whole(b[:tail], s[:tail])
+            b, s = b[tail:], s[tail:]
+            if len(b) > hot:
+                burning = int(b[0])
+                yield out(b, s, s)
+                b = s = np.zeros(0, np.int64)
+        yield from whole(b, s)
+
+    def whole(b, s):
+        if not len(b):
+            return
+        starts = np.nonzero(np.r_[True, b[1:] != b[:-1]])[0]
+        size = np.diff(np.r_[starts, len(b)])
+        large = np.repeat(size > hot, size)
+        if large.any():
+            yield out(b[large], s[large], s[large])
+            b, s = b[~large], s[~large]
+        for x, y in pairs(b, s):
+            if len(x):
+                yield out(None, x, y)
+
+    return run
+
+
+def _hot_pairs(rows: DataFrame, differ: int, hot: int) -> DataFrame:
+    """The near pairs of hot buckets: each is split into blocks of about ``hot`` signatures, and blocks meet in tasks of their own."""
+    blocks = rows.groupBy("_b").agg(F.ceil(F.count("*") / hot).cast("int").alias("_n"))
+    placed = rows.join(blocks, "_b").withColumn("_i", F.pmod(F.xxhash64("_s"), F.col("_n")).cast("int"))
+    left = placed.select("_b", F.col("_i").alias("_x"), F.explode(F.expr("sequence(0, _n - 1)")).alias("_y"), F.col("_s").alias("_sa"))
+    right = placed.select("_b", F.col("_i").alias("_y"), F.explode(F.expr("sequence(0, _n - 1)")).alias("_x"), F.col("_s").alias("_sb"))
+    met = left.join(right, ["_b", "_x", "_y"])
+    return met.where((F.col("_sa") < F.col("_sb")) & (F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= differ)).select("_sa", "_sb")
 
 
 def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
