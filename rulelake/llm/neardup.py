@@ -168,48 +168,42 @@ def _texts(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), text.alias("_t"))
 
 
-def classes(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(``_k``, ``_s`` signature, ``_h`` hash of the words): records with words, as a written table."""
+def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(``_k``, ``_s`` signature, ``_h`` hash of the words, ``_b`` band keys): records with words, as a written table.
+
+    Band keys are null where the same task has given them for the same signature, so that copies add no rows to the search.
+    """
     registers = bands * rows + SIGNATURE
 
     def run(batches):
         import xxhash
 
-        sketch = sketcher(registers)
+        sketch, seen = sketcher(registers), set()
         for b in batches:
             said = [words(t) for t in b.column("_t").to_pylist()]
             have = [i for i, w in enumerate(said) if w]
-            if have:
-                said = [said[i] for i in have]
-                s = signatures(sketch.sketches(said))
-                h = [xxhash.xxh64_intdigest("\0".join(sorted(w))) - (1 << 63) for w in said]
-                yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h, pa.int64())], ["_k", "_s", "_h"])
-
-    t = _texts(df, key, columns)
-    return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint").distinct(), "classes")
-
-
-def candidates(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS, differ: int = DIFFER, hot: int = HOT) -> DataFrame:
-    """(``_sa``, ``_sb``): pairs of different signatures that share a band and differ in few bits, each once."""
-    registers = bands * rows + SIGNATURE
-
-    def run(batches):
-        sketch, seen = sketcher(registers), set()
-        for b in batches:
-            said = [w for w in map(words, b.column("_t").to_pylist()) if w]
-            if not said:
+            if not have:
                 continue
+            said = [said[i] for i in have]
             k = sketch.sketches(said)
             s = signatures(k)
-            first = []
+            h = np.fromiter((xxhash.xxh64_intdigest("\0".join(sorted(w))) for w in said), np.uint64, len(said)).view(np.int64)
+            new = np.zeros(len(s), bool)
             for i, x in enumerate(s.tolist()):
                 if x not in seen:
                     seen.add(x)
-                    first.append(i)
-            k = band_keys(k[first], bands, rows)
-            yield pa.RecordBatch.from_arrays([pa.array(k.T.ravel()), pa.array(np.tile(s[first], bands))], ["_b", "_s"])
+                    new[i] = True
+            offsets = np.concatenate([[0], np.cumsum(new * bands)]).astype(np.int32)
+            keys = pa.ListArray.from_arrays(offsets, band_keys(k[new], bands, rows).ravel(), mask=pa.array(~new))
+            yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h), keys], ["_k", "_s", "_h", "_b"])
 
-    keyed = _texts(df, key, columns).select("_t").mapInArrow(run, "_b bigint, _s bigint")
+    t = _texts(df, key, columns)
+    return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint, _b array<bigint>"), "sketches")
+
+
+def candidates(sketches: DataFrame, *, differ: int = DIFFER, hot: int = HOT) -> DataFrame:
+    """(``_sa``, ``_sb``): pairs of different signatures that share a band and differ in few bits, each once."""
+    keyed = sketches.select(F.explode("_b").alias("_b"), "_s")
     scanned = cut(keyed.repartition("_b").sortWithinPartitions("_b", "_s").mapInArrow(_bucket_scan(differ, hot), "_b bigint, _sa bigint, _sb bigint"))
     near = scanned.where("_b is null").select("_sa", "_sb")
     return near.unionByName(_hot_pairs(scanned.where("_b is not null").select("_b", F.col("_sa").alias("_s")).distinct(), differ, hot)).distinct()
@@ -296,8 +290,9 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
     record without words is in no class. Nulls count as empty, repeated rows once; a key with several texts is in several
     classes. An empty table gives empty results.
     """
-    of = classes(df, key, columns, bands=bands, rows=rows)
-    pairs = cut(candidates(df, key, columns, bands=bands, rows=rows))
+    table = sketched(df, key, columns, bands=bands, rows=rows)
+    pairs = cut(candidates(table))
+    of = table.select("_k", "_s", "_h").distinct()
     named = of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"))
     members = of.join(named, ["_s", "_h"]).select("_k", "_c", "_h")
     a, b = named.select(F.col("_s").alias("_sa"), F.col("_c").alias("_a"), F.col("_h").alias("_ha")), named.select(F.col("_s").alias("_sb"), F.col("_c").alias("_b"), F.col("_h").alias("_hb"))
