@@ -132,6 +132,13 @@ def signatures(sketches: np.ndarray) -> np.ndarray:
     return np.packbits((sketches[:, -SIGNATURE:] & 1).astype(np.uint8), axis=1).view(np.int64).ravel()
 
 
+def words_hash(said: list[str]) -> int:
+    """A signed 64-bit hash of a multiset of words."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest("\0".join(sorted(said))) - (1 << 63)
+
+
 def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         factor = _mixed(np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -176,8 +183,6 @@ def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BA
     registers = bands * rows + SIGNATURE
 
     def run(batches):
-        import xxhash
-
         sketch, seen = sketcher(registers), set()
         for b in batches:
             said = [words(t) for t in b.column("_t").to_pylist()]
@@ -187,7 +192,7 @@ def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BA
             said = [said[i] for i in have]
             k = sketch.sketches(said)
             s = signatures(k)
-            h = np.fromiter((xxhash.xxh64_intdigest("\0".join(sorted(w))) for w in said), np.uint64, len(said)).view(np.int64)
+            h = np.fromiter(map(words_hash, said), np.int64, len(said))
             new = np.zeros(len(s), bool)
             for i, x in enumerate(s.tolist()):
                 if x not in seen:
@@ -283,23 +288,23 @@ def _hot_pairs(rows: DataFrame, differ: int, hot: int) -> DataFrame:
     return met.where((F.col("_sa") < F.col("_sb")) & (F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= differ)).select("_sa", "_sb")
 
 
-def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes of records with the same words, and the similar pairs of classes.
 
-    Returns members (``_k``, ``_c``: the class's least key) and pairs (``_a``, ``_b``, ``similarity``) of classes, verified. A
-    record without words is in no class. Nulls count as empty, repeated rows once; a key with several texts is in several
-    classes. An empty table gives empty results.
+    Returns records (``_k``, ``_s``, ``_h``), classes (``_s``, ``_h``, ``_c`` least key, ``_n`` keys) and pairs (``_sa``, ``_ha``, ``_a``, ``_sb``, ``_hb``,
+    ``_b``, ``similarity``) of classes, verified and checkpointed. A record without words is in no class. Nulls count as empty,
+    repeated rows once; a key with several texts is in several classes. An empty table gives empty results.
     """
     table = sketched(df, key, columns, bands=bands, rows=rows)
-    pairs = cut(candidates(table))
+    near = cut(candidates(table))
     of = table.select("_k", "_s", "_h").distinct()
-    named = of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"))
-    members = of.join(named, ["_s", "_h"]).select("_k", "_c", "_h")
-    a, b = named.select(F.col("_s").alias("_sa"), F.col("_c").alias("_a"), F.col("_h").alias("_ha")), named.select(F.col("_s").alias("_sb"), F.col("_c").alias("_b"), F.col("_h").alias("_hb"))
-    across = pairs.join(a, "_sa").join(b, "_sb").select("_a", "_ha", "_b", "_hb")
-    crowd = named.groupBy("_s").agg(F.count("*").alias("_n")).where("_n > 1").select("_s")
-    several = named.join(crowd, "_s", "left_semi")
-    within = several.select("_s", F.col("_c").alias("_a"), F.col("_h").alias("_ha")).join(several.select("_s", F.col("_c").alias("_b"), F.col("_h").alias("_hb")), "_s").where("_ha < _hb").select("_a", "_ha", "_b", "_hb")
+    named = of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"), F.count("*").alias("_n"))
+    a, b = [named.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}")) for x in "ab"]
+    columns_of = ["_sa", "_ha", "_a", "_sb", "_hb", "_b"]
+    across = near.join(a, "_sa").join(b, "_sb").select(columns_of)
+    several = named.join(named.groupBy("_s").agg(F.count("*").alias("_m")).where("_m > 1").select("_s"), "_s", "left_semi")
+    a, b = [several.select("_s", F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}")) for x in "ab"]
+    within = a.join(b, "_s").where("_ha < _hb").select(columns_of)
     both = cut(across.unionByName(within))
 
     need = both.select(F.explode(F.array("_a", "_b")).alias("_k")).distinct()
@@ -319,25 +324,32 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
             slack = 6 * np.sqrt(threshold * (1 - threshold) / registers)
             keep, sims = [], []
             for i in np.nonzero(likely >= threshold - slack)[0]:
-                both = sum((Counter(ta[i]) & Counter(tb[i])).values())
-                s = both / (len(ta[i]) + len(tb[i]) - both)
-                if s >= threshold:
+                shared = sum((Counter(ta[i]) & Counter(tb[i])).values())
+                s = shared / (len(ta[i]) + len(tb[i]) - shared)
+                # of a key with several texts only the class's own counts
+                if s >= threshold and words_hash(ta[i]) == x["_ha"][i].as_py() and words_hash(tb[i]) == x["_hb"][i].as_py():
                     keep.append(int(i)), sims.append(s)
             at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([x.column("_a").take(at), x.column("_b").take(at), pa.array(sims, pa.float64())], ["_a", "_b", "similarity"])
+            yield pa.RecordBatch.from_arrays([*[x.column(c).take(at) for c in columns_of], pa.array(sims, pa.float64())], [*columns_of, "similarity"])
 
     ta, tb = texts.select(F.col("_k").alias("_a"), F.col("_t").alias("_ta")), texts.select(F.col("_k").alias("_b"), F.col("_t").alias("_tb"))
-    found = both.select("_a", "_b").join(ta, "_a").join(tb, "_b").mapInArrow(verify, f"_a {kind}, _b {kind}, similarity double")
-    return members.select("_k", "_c"), found
+    # texts without words have no class, so an empty text of a key with several texts is none of these
+    joined = both.join(ta.where("_ta <> ''"), "_a").join(tb.where("_tb <> ''"), "_b")
+    found = joined.mapInArrow(verify, f"_sa bigint, _ha bigint, _a {kind}, _sb bigint, _hb bigint, _b {kind}, similarity double")
+    return of, named, cut(found)
 
 
 def similar_pairs(df: DataFrame, key: str, columns: Sequence[str], *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(``a``, ``b``): every pair of keys, the smaller first, whose records are similar, copies included, each once."""
-    members, pairs = similar_classes(df, key, columns, threshold=threshold, bands=bands, rows=rows)
-    copies = members.groupBy("_c").agg(F.count("*").alias("_n")).where("_n > 1").select("_c")
-    of_copies = members.join(copies, "_c", "left_semi")
-    alike = of_copies.select("_c", F.col("_k").alias("a")).join(of_copies.select("_c", F.col("_k").alias("b")), "_c").where("a < b").select("a", "b")
-    across = pairs.join(members.select(F.col("_c").alias("_a"), F.col("_k").alias("_ka")), "_a").join(members.select(F.col("_c").alias("_b"), F.col("_k").alias("_kb")), "_b")
+    of, named, pairs = similar_classes(df, key, columns, threshold=threshold, bands=bands, rows=rows)
+    copied = named.where("_n > 1").select("_s", "_h")
+    paired = pairs.select(F.explode(F.array(F.struct(F.col("_sa").alias("_s"), F.col("_ha").alias("_h")), F.struct(F.col("_sb").alias("_s"), F.col("_hb").alias("_h")))).alias("x")).select("x.*")
+    wanted = copied.unionByName(paired).distinct()
+    members = cut(of.join(wanted, ["_s", "_h"], "left_semi"))
+    a, b = members.withColumnRenamed("_k", "a"), members.withColumnRenamed("_k", "b")
+    alike = a.join(b, ["_s", "_h"]).where("a < b").select("a", "b")
+    ka, kb = [members.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_k").alias(f"_k{x}")) for x in "ab"]
+    across = pairs.select("_sa", "_ha", "_sb", "_hb").join(ka, ["_sa", "_ha"]).join(kb, ["_sb", "_hb"])
     ordered = across.where("_ka <> _kb").select(F.least("_ka", "_kb").alias("a"), F.greatest("_ka", "_kb").alias("b"))
     return alike.unionByName(ordered).distinct()
 
@@ -369,8 +381,8 @@ def groups(df: DataFrame, key: str, columns: Sequence[str], *, threshold: float
 
     Copies have one class and are not expanded into pairs.
     """
-    members, pairs = similar_classes(df, key, columns, threshold=threshold)
-    members, pairs = cut(members), cut(pairs)
+    of, named, pairs = similar_classes(df, key, columns, threshold=threshold)
     links = pairs.select(F.explode(F.array("_a", "_b")).alias("_c")).groupBy("_c").agg(F.count("*").alias("links"))
     roots = components(pairs).withColumnRenamed("_v", "_c")
-    return members.join(roots, "_c", "left").join(links, "_c", "left").select(F.col("_k").alias(key), F.coalesce("_root", "_c").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
+    of_class = named.select("_s", "_h", "_c").join(roots, "_c", "left").join(links, "_c", "left")
+    return of.join(of_class, ["_s", "_h"]).select(F.col("_k").alias(key), F.coalesce("_root", "_c").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
