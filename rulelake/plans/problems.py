@@ -57,12 +57,12 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_document_work(spark: SparkSession, d: str) -> DataFrame:
-    """Per document and date the refs that are new, changed and retired, as a work queue.
+    """Per document and date the refs that are new, changed and retired, as a work queue; refs are joined by blanks.
 
     The lists of a document are bounded by the numbers of its own decisions. ``ref`` is ``doc_id#n``, so the document needs no join.
     """
     found = p5_found(spark, d).withColumn("doc_id", F.regexp_replace("ref", "#[^#]*$", ""))
-    kinds = [F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("ref")))).alias(k) for k in ("new", "changed", "retired")]
+    kinds = [F.concat_ws(" ", F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("ref"))))).alias(k) for k in ("new", "changed", "retired")]
     return found.groupBy("snapshot_date", "doc_id").agg(*kinds)
 
 
@@ -102,8 +102,8 @@ SQL = {
     "p5_found": _P5 + "select * from f where kind is not null",
     "p5_document_work": _P5
     + """select snapshot_date, regexp_replace(ref, '#[^#]*$', '') as doc_id,
-      coalesce(list(ref order by ref) filter (kind = 'new'), []) as "new", coalesce(list(ref order by ref) filter (kind = 'changed'), []) as changed,
-      coalesce(list(ref order by ref) filter (kind = 'retired'), []) as retired from f where kind is not null group by all""",
+      coalesce(string_agg(ref, ' ' order by ref) filter (kind = 'new'), '') as "new", coalesce(string_agg(ref, ' ' order by ref) filter (kind = 'changed'), '') as changed,
+      coalesce(string_agg(ref, ' ' order by ref) filter (kind = 'retired'), '') as retired from f where kind is not null group by all""",
     "p6_found": """
 with i as (select distinct slug, try_cast(gaelder_fra as date) as f, try_cast(coalesce(gaelder_til, '9999-12-31') as date) as t
            from rule_version join decision using (ref) where effekt <> 'ophaevet' and udfald = 'vedtaget' and gaelder_fra is not null),

@@ -45,3 +45,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{what}-{uuid.uuid4().hex}.parquet")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def laid_out(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` partitioned and sorted by columns, kept so by a checkpoint: later joins and windows by them need no shuffle.
+
+    Adaptive execution hides the partitioning of what it plans, so it is off for this one job.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut(df.repartition(*by).sortWithinPartitions(*by))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
