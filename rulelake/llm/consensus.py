@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import cut
+from ..sources.tables import cut, laid_out
 
 #: Up to this many annotators their parameters (a few numbers each) are broadcast and held by the driver; beyond, they are joined and checkpointed.
 BROADCAST_ANNOTATORS = 20_000
@@ -42,14 +42,11 @@ def fitted(votes: DataFrame, item: Sequence[str], annotator: str, label: str, cl
     """
     k = len(classes)
     order = F.array(*[F.lit(c) for c in classes])
-    laid = (
-        votes.select(*item, F.col(annotator).alias("_a"), (F.array_position(order, F.col(label)) - 1).cast("int").alias("_v"))
-        .where("_v >= 0 and _a is not null and " + " and ".join(f"`{c}` is not null" for c in item))
-        .repartition(*item)
-        .sortWithinPartitions(*item)
-    )
     by_item = Window.partitionBy(*item)
-    laid = cut(laid.withColumn("_votes", F.count("*").over(by_item)))
+    usable = votes.select(*item, F.col(annotator).alias("_a"), (F.array_position(order, F.col(label)) - 1).cast("int").alias("_v")).where(
+        "_v >= 0 and _a is not null and " + " and ".join(f"`{c}` is not null" for c in item)
+    )
+    laid = laid_out(usable.withColumn("_votes", F.count("*").over(by_item)), *item)
     labels = laid.groupBy("_a").agg(F.count("*").alias("_n"))
     few = labels.limit(BROADCAST_ANNOTATORS + 1).count() <= BROADCAST_ANNOTATORS
     start = labels.select("_a", F.lit(0.7).alias("_c"), F.array(*[F.lit(1.0 / k)] * k).alias("_x"))

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import cut
+from ..sources.tables import cut, written
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -103,7 +103,7 @@ def _boundaries(chunks: DataFrame, key: str, text: str, chunk: int, overlap: int
 
 def _encode_long(df: DataFrame, key: str, text: str, directory: str, chunk: int, overlap: int) -> DataFrame:
     """(key, i, ids): the pieces of long texts in order."""
-    chunks = _chunks(df, key, text, chunk, overlap).repartition(key, "i")
+    chunks = written(_chunks(df, key, text, chunk, overlap).repartition(key, "i"), "chunks")  # of long texts only; read three times
     near = _boundaries(chunks, key, text, chunk, overlap).groupBy(key, "at").agg(F.first("head", True).alias("head"), F.first("tail", True).alias("tail"))
     cuts = near.select(key, F.col("at").alias("i"), F.array_min(F.array_intersect("head", "tail")).alias("start"))
     cuts = cut(cuts)  # small: a number a chunk; used three times
