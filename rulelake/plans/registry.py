@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import problems
+from . import base, history, problems
 
 
 def queries() -> dict:
-    return {**problems.QUERIES}
+    return {**base.QUERIES, **problems.QUERIES}
 
 
 def oracle_sql() -> dict:
-    return {**problems.SQL}
+    return {**base.SQL, **problems.SQL}
