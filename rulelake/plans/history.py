@@ -86,14 +86,16 @@ def rule_status(spark, d):
 
 @query(f"""with {X}, {_CUT}, filed as (select slug, ref, min(filed_at) as filed_ from rule_version group by all), w as (select x.* from x join filed using (slug, ref) where filed_ < '2016-01-01'),
 {_state('w', 'w')}, {_state('x', 'y')},
-since as (select slug, min(decided) as since from x where (slug, ref) not in (select (slug, ref) from w) group by slug)
+since as (select slug, min(decided) as since from x join filed using (slug, ref) where filed_ >= '2016-01-01' and left(filed_::varchar, 4) = left(decided, 4) group by slug)
 select slug, cutoff, a.ref as was, b.ref as now from wf a full join yf b using (slug, cutoff) left join since using (slug) where a.ref is distinct from b.ref and (since is null or cutoff < since)""")
 def history_violations(spark, d):
     v = versions(spark, d)
     filed = table(spark, d, "rule_version").groupBy("slug", "ref").agg(F.min("filed_at").alias("at"))
     early = filed.where("at < timestamp'2016-01-01'").select("slug", "ref")
     before = v.join(early, ["slug", "ref"])
-    since = v.join(early, ["slug", "ref"], "left_anti").groupBy("slug").agg(F.min("decided").alias("since"))
+    # a decision filed in a later year was not announced as changed: what it changes in the past is a violation
+    prompt = filed.where("at >= timestamp'2016-01-01'")
+    since = v.join(prompt, ["slug", "ref"]).where("left(cast(at as string), 4) = left(decided, 4)").groupBy("slug").agg(F.min("decided").alias("since"))
     cutoffs = year_cutoffs(v)
     return history_changes(in_force(before, cutoffs), in_force(v, cutoffs), since)
 

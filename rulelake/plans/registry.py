@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, history, problems
+from . import base, history, problems, texts
 
 
 def queries() -> dict:
