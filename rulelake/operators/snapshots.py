@@ -28,6 +28,7 @@ def snapshot_changes(rows: DataFrame, snapshot: str, delivered: str, key: Sequen
     should they contradict each other the greatest hash stands for the key. Rows with a null key or snapshot are left out.
     A null time of delivery counts as the earliest. An empty table gives an empty result.
     """
+    rows = rows.select(*dict.fromkeys([snapshot, delivered, *key, *compared]))
     last = last_deliveries(rows, snapshot, delivered)
     small = last.limit(BROADCAST_DELIVERIES + 1).count() <= BROADCAST_DELIVERIES
     last = last.withColumnsRenamed({snapshot: "_snapshot", delivered: "_delivered"})
