@@ -163,7 +163,13 @@ def suspicious(c: Column, letters: str = LETTERS) -> Column:
     return c.rlike(rf"[^\x{{00}}-\x{{7f}}{letters}]") | c.rlike(r"\+[A-Za-z0-9+/]{2,}-") | c.rlike(r"\p{L}\?\p{L}")
 
 
-_TOKEN = r"((?:[\p{L}\p{N}\p{M}]|[^\x{00}-\x{7f}\x{a0}]|(?<=[\x{c3}\x{c2}])\x{a0}|\+[A-Za-z0-9+/]{2,}-|(?<=\p{L})\?(?=\p{L}))+)"
+#: A run of letters, digits and non-ASCII characters, with what a wrong encoding puts between them.
+TOKEN = re.compile(r"(?:[0-9A-Za-z]|[^\x00-\x7f\xa0]|(?<=[ÃÂ])\xa0|\+[A-Za-z0-9+/]{2,}-|(?<=[^\W\d_])\?(?=[^\W\d_]))+")
+
+
+def _odd(letters: str) -> re.Pattern:
+    """What ``suspicious`` looks for, in a token."""
+    return re.compile(rf"[^\x00-\x7f{letters}]|\+[A-Za-z0-9+/]{{2,}}-|[^\W\d_]\?[^\W\d_]")
 
 
 def word_counts(texts: DataFrame, text: str, letters: str = LETTERS) -> DataFrame:
@@ -183,7 +189,21 @@ def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = L
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("felt"), F.col(f).cast("string").alias("text")) for f in fields])).alias("x")
     every = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), each).select("_k", "x.felt", "x.text")
     damaged = written(every.where(suspicious(F.col("text"), letters)).distinct(), "suspicious")
-    tokens = damaged.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(1)))).alias("_t")).where(suspicious(F.col("_t"), letters)).distinct()
+
+    def tokenise(batches):
+        odd = _odd(letters)
+        for b in batches:
+            at, out = [], []
+            for i, text in enumerate(b.column("text").to_pylist()):
+                for t in dict.fromkeys(TOKEN.findall(text)):
+                    if odd.search(t):
+                        at.append(i), out.append(t)
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*[b.column(c).take(at) for c in ("_k", "felt", "_id")], pa.array(out, pa.string())], ["_k", "felt", "_id", "_t"])
+
+    numbered = damaged.withColumn("_id", F.xxhash64("_k", "felt", "text"))
+    in_field = numbered.mapInArrow(tokenise, f"_k {kind}, felt string, _id bigint, _t string")
+    tokens = in_field.select("_t").distinct()
 
     def decode(batches):
         table = _table(letters)
@@ -204,23 +224,19 @@ def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = L
     best = same.groupBy("_t").agg(F.collect_set(F.struct("channel", "reading", "_r", "spelt", F.when((F.col("_r") == F.col("_w")) | F.col("_r").contains(LOST), F.struct("_w", "_n")).alias("word"))).alias("readings"))
     best = written(best, "readings")
     few = best.limit(BROADCAST_TOKENS + 1).count() <= BROADCAST_TOKENS
-    in_field = damaged.withColumn("_id", F.xxhash64("_k", "felt", "text")).select("_k", "felt", "_id", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(1)))).alias("_t")).where(suspicious(F.col("_t"), letters))
     found = (
-        in_field.select("_k", "felt", "_id", "_t")
-        .join(F.broadcast(best) if few else best, "_t")
+        in_field.join(F.broadcast(best) if few else best, "_t")
         .groupBy("_k", "felt", "_id")
         .agg(F.collect_list(F.struct("_t", "readings")).alias("found"))
     )
-    joined = damaged.withColumn("_id", F.xxhash64("_k", "felt", "text")).join(found, ["_k", "felt", "_id"])
-    token = _TOKEN.replace(r"\p{L}\p{N}\p{M}", r"\w").replace(r"(?<=\p{L})\?(?=\p{L})", r"(?<=[^\W\d_])\?(?=[^\W\d_])")
-    token = re.sub(r"\\x\{(\w\w)\}", r"\\x\1", token)
+    joined = numbered.join(found, ["_k", "felt", "_id"])
+    odd = _odd(letters)
 
     def search(batches):
-        split = re.compile(token)
         for b in batches:
             ids, out, done = [], [], []
             for i, (text, found) in enumerate(zip(b.column("text").to_pylist(), b.column("found").to_pylist())):
-                r = _viterbi(text, {f["_t"]: f["readings"] for f in found}, split)
+                r = _viterbi(text, {f["_t"]: f["readings"] for f in found}, odd)
                 if r:
                     ids.append(i), out.append(r[0]), done.append(r[1])
             at = pa.array(ids, pa.int64())
@@ -229,10 +245,10 @@ def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = L
     return joined.select("_k", "felt", "text", "found").mapInArrow(search, f"`{key}` {kind}, felt string, tekst string, complete boolean")
 
 
-def _viterbi(text: str, found: dict, split: re.Pattern) -> tuple[str, bool] | None:
+def _viterbi(text: str, found: dict, odd: re.Pattern) -> tuple[str, bool] | None:
     """The restored text and whether all of it was; None if nothing in the text is garbled."""
     garbled, spans = LOST in text, []
-    for m in split.finditer(text):
+    for m in TOKEN.finditer(text):
         t = m[0]
         if t not in found and LOST not in t:
             continue
@@ -277,7 +293,7 @@ def _viterbi(text: str, found: dict, split: re.Pattern) -> tuple[str, bool] | No
     for (a, b, options), said in zip(spans, words):
         parts += [text[last:a], said]
         last = b
-        complete = complete and LOST not in said and not (said == text[a:b] and len(options) > 1)
+        complete = complete and not (len(options) > 1 and odd.search(said))
     parts.append(text[last:])
     whole = "".join(parts)
     return whole, complete and LOST not in whole

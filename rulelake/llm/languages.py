@@ -128,6 +128,8 @@ def fit(rows: Sequence[tuple[str, int]], languages: int) -> np.ndarray:
                 texts.append(s)
                 label.append(lang)
     label = np.array(label, np.int32)
+    if not texts:
+        return np.zeros((languages, 32**4), np.float32)
     gram, owner = _grams(texts)
     gram2, owner2 = _grams([_plain(t) for t in texts])
     now = label
@@ -136,7 +138,7 @@ def fit(rows: Sequence[tuple[str, int]], languages: int) -> np.ndarray:
         for lang in range(languages):
             a, b = now[owner] == lang, now[owner2] == lang
             model[lang] = _log_table(np.bincount(gram[a], minlength=32**4) + 0.5 * np.bincount(gram2[b], minlength=32**4))
-        if k < FIT_ROUNDS - 1 and len(texts):
+        if k < FIT_ROUNDS - 1:
             scores = np.stack([np.bincount(owner, model[lang][gram], len(texts)) for lang in range(languages)], 1)
             now = scores.argmax(1)
     return model
