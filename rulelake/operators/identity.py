@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import cut
+from ..sources.tables import written
 
 
-def resolved(aliases: DataFrame, src: str = "src", dst: str = "dst", *, rounds: int = 40) -> DataFrame:
+def resolved(aliases: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(src, target): where each alias leads in the end; null for one that runs in a circle.
 
-    Pointers are doubled each round, so the rounds grow with the logarithm of the longest chain. Of several targets of one alias the least
-    counts.
+    Pointers are doubled each round, so the rounds grow with the logarithm of the number of aliases. Of several targets of one alias the
+    least counts.
     """
-    now = cut(aliases.where(F.col(src).isNotNull() & F.col(dst).isNotNull()).groupBy(F.col(src).alias("_s")).agg(F.min(dst).alias("_d")))
-    for _ in range(rounds):
+    now = written(aliases.where(F.col(src).isNotNull() & F.col(dst).isNotNull()).groupBy(F.col(src).alias("_s")).agg(F.min(dst).alias("_d")), "aliases")
+    for _ in range(now.count().bit_length() + 1):
         step = now.select(F.col("_s").alias("_d"), F.col("_d").alias("_e"))
-        nxt = cut(now.join(step, "_d", "left").select("_s", F.coalesce("_e", "_d").alias("_d"), F.col("_e").isNotNull().alias("_m")))
+        nxt = written(now.join(step, "_d", "left").select("_s", F.coalesce("_e", "_d").alias("_d"), F.col("_e").isNotNull().alias("_m")), "aliases")
         moved = not nxt.where("_m").isEmpty()
         now = nxt.select("_s", "_d")
         if not moved:

@@ -13,14 +13,14 @@ from .history import OPEN
 def periods_and_gaps(rows: DataFrame, key: Sequence[str], start: str, end: str) -> DataFrame:
     """``kind`` (period or gap), ``fra`` and ``til`` per key; first and last day are both included.
 
-    Dates are ISO strings. A null end is open (``OPEN``). Rows without a key or with a start that is no date are left out, as are
+    Dates are ISO strings. A null end is open (``OPEN``). Rows without a key or with a start that is no full date (a bare year is none) are left out, as are
     intervals that end before they start or whose end is no date. Intervals that overlap, nest, touch or follow on the next
     day are one period.
 
     Intervals are first reduced to the longest a key and start, a combinable aggregate: what is left of a key for the window is
     bounded by the days of the calendar, however many rows the key holds.
     """
-    first, last = F.expr(f"try_cast(`{start}` as date)"), F.expr(f"try_cast(coalesce(`{end}`, '{OPEN}') as date)")
+    first, last = [F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), c.try_cast("date")) for c in (F.col(start), F.coalesce(end, F.lit(OPEN)))]
     longest = (
         rows.where(" and ".join(f"`{k}` is not null" for k in key))
         .select(*key, first.alias("_fra"), last.alias("_til"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import words
-from ..sources.tables import cut
+from ..sources.tables import written
 
 THRESHOLD, SLACK, GAP = 0.8, 2, 8
 
@@ -62,17 +62,17 @@ def jaccard(shared, a, b):
 def one_to_one(scored: DataFrame, old: str, new: str, score: str, *, rounds: int = 100) -> DataFrame:
     """Greedy one-to-one pairs, best score first, ties to the lesser old and then the lesser new.
 
-    Rounds take every pair that is the best of both its sides, which gives the greedy result; the pairs left are checkpointed. A side's
+    Rounds take every pair that is the best of both its sides, which gives the greedy result; the pairs left are written. A side's
     best is a combinable maximum, so a row with very many partners is no hot group.
     """
-    left = cut(scored.select(old, new, F.col(score).alias("_s")))
+    left = written(scored.select(old, new, F.col(score).alias("_s")), "pairs")
     taken = None
     for _ in range(rounds):
         best_old = left.groupBy(old).agg(F.min(F.struct((-F.col("_s")).alias("n"), F.col(old).alias("o"), F.col(new).alias("w"))).alias("_a"))
         best_new = left.groupBy(new).agg(F.min(F.struct((-F.col("_s")).alias("n"), F.col(old).alias("o"), F.col(new).alias("w"))).alias("_b"))
-        pick = cut(best_old.join(best_new, F.col("_a") == F.col("_b")).select(F.col("_a.o").alias(old), F.col("_a.w").alias(new), (-F.col("_a.n")).alias(score)))
+        pick = written(best_old.join(best_new, F.col("_a") == F.col("_b")).select(F.col("_a.o").alias(old), F.col("_a.w").alias(new), (-F.col("_a.n")).alias(score)), "picked")
         if pick.isEmpty():
             break
         taken = pick if taken is None else taken.unionByName(pick)
-        left = cut(left.join(pick.select(old), old, "left_anti").join(pick.select(new), new, "left_anti"))
+        left = written(left.join(pick.select(old), old, "left_anti").join(pick.select(new), new, "left_anti"), "pairs")
     return taken if taken is not None else scored.select(old, new, F.col(score)).limit(0)

@@ -31,7 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
+    """``df`` with its lineage cut by a reliable checkpoint in the shared folder.
+
+    A checkpoint keeps the size estimated for its plan. Loops of joins use ``written``, as their estimates would multiply.
+    """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
