@@ -357,10 +357,10 @@ def similar_pairs(df: DataFrame, key: str, columns: Sequence[str], *, threshold:
 def components(edges: DataFrame, a: str = "_a", b: str = "_b", *, rounds: int = 50) -> DataFrame:
     """(``_v``, ``_root``): connected components of the ends of edges, by alternating large and small stars.
 
-    Each round is two shuffles of the edges, checkpointed; the number of rounds grows with the logarithm of the components' size. No
+    Each round is two shuffles of the edges, written; the number of rounds grows with the logarithm of the components' size. No
     component is gathered in one place: the least neighbour of a vertex is a combinable minimum, joined back.
     """
-    e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
+    e = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
     for _ in range(rounds):
         sym = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -368,7 +368,7 @@ def components(edges: DataFrame, a: str = "_a", b: str = "_b", *, rounds: int =
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         nxt = small.select(F.greatest("v", "m").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        nxt = cut(nxt)
+        nxt = written(nxt, "edges")
         if nxt.exceptAll(e).isEmpty() and e.exceptAll(nxt).isEmpty():
             break
         e = nxt
