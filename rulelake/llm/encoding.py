@@ -1,7 +1,7 @@
 """Encoding of a corpus with a public byte-level BPE tokenizer: overlapping chunks, stitched where boundaries agree.
 
 A text of at most ``CHUNK`` characters is encoded as it is. A longer one is cut into chunks that overlap, which are pre-tokenised
-in parallel, each from its own start. A boundary between pre-tokens that two neighbouring chunks both have in their overlap is
+in parallel, each from its own start. A boundary between pre-tokens, not after white space, that two neighbouring chunks both have in their overlap is
 a true one, by induction from the first chunk, as what follows a boundary is split alike whatever came before. The chunks are
 cut at the first such boundary and their pieces encoded in parallel. A text in which two chunks never agree, such as one word
 longer than the overlap, is encoded as a whole.
@@ -86,15 +86,16 @@ def _boundaries(chunks: DataFrame, key: str, text: str, chunk: int, overlap: int
     """Rows of (key, at, head, tail): boundaries near the joint ``at``, counted from it, as the chunk after and before it has them."""
 
     def run(batches):
-        split = regex.compile(PATTERN)
+        split, space = regex.compile(PATTERN), regex.compile(r"\s")
         for b in batches:
             keys, ats, heads, tails = [], [], [], []
             for k, i, last, t in zip(*[b.column(c).to_pylist() for c in (key, "i", "last", text)]):
-                starts = [m.start() for m in split.finditer(t)]
+                # not after white space: how that is split depends on what follows, which a piece that ends there would not see
+                starts = [m.start() for m in split.finditer(t) if m.start() and not space.match(t, m.start() - 1)]
                 if i:
                     keys.append(k), ats.append(i), heads.append([s for s in starts if s < overlap]), tails.append(None)
                 if not last:
-                    keys.append(k), ats.append(i + 1), heads.append(None), tails.append([s - chunk for s in starts if s >= chunk])
+                    keys.append(k), ats.append(i + 1), heads.append(None), tails.append([s - chunk for s in starts if chunk <= s < chunk + overlap - 4])  # the end of the chunk may cut a contraction
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(key).type), pa.array(ats, pa.int32()), pa.array(heads, kind), pa.array(tails, kind)], [key, "at", "head", "tail"])
 

@@ -33,10 +33,11 @@ SIGNS = "éèêëáàâäöüóñçôÉÄÖÜß–—‘’“”…§½«»€"
 #: Encodings in which texts were written, and those in which they were misread.
 WRITTEN = ("cp1252", "mac_roman", "cp850", "cp865", "cp437")
 MISREAD = ("cp1252", "latin-1", "iso8859-15", "mac_roman", "cp437", "cp850", "cp865", "cp1251", "koi8-r", "cp1250", "iso8859-2", "cp1257", "cp1253")
-#: Costs in the search over a field, in nats: a change of channel, a reading that is no known word, and leaving a token as it is.
+#: Costs in the search over a field, in nats: a change of channel, a reading that is no known word, and leaving a token as it is (ten times
+#: that where another reading is known).
 CHANGE, UNKNOWN, AS_IS = 4.0, 5.0, 3.0
-#: Cost of reading a character as a lost byte.
-LOSSY = 3.0
+#: Cost of reading a character as a lost byte, and of a reading that leaves odd characters.
+LOSSY, LEFT = 3.0, 12.0
 #: Up to this many distinct damaged tokens their readings are broadcast; beyond, they are joined.
 BROADCAST_TOKENS = 200_000
 LOST = "�"
@@ -164,7 +165,7 @@ def suspicious(c: Column, letters: str = LETTERS) -> Column:
 
 
 #: A run of letters, digits and non-ASCII characters, with what a wrong encoding puts between them.
-TOKEN = re.compile(r"(?:[0-9A-Za-z]|[^\x00-\x7f\xa0]|(?<=[ÃÂ])\xa0|\+[A-Za-z0-9+/]{2,}-|(?<=[^\W\d_])\?(?=[^\W\d_]))+")
+TOKEN = re.compile(r"(?:[0-9A-Za-z]|[^\x00-\x7f\xa0]|(?<=[ÃÂ€])\xa0|\+[A-Za-z0-9+/]{2,}-|(?<=[^\W\d_])\?(?=[^\W\d_]))+")
 
 
 def _odd(letters: str) -> re.Pattern:
@@ -252,24 +253,30 @@ def _viterbi(text: str, found: dict, odd: re.Pattern) -> tuple[str, bool] | None
         t = m[0]
         if t not in found and LOST not in t:
             continue
-        options = [("", t, -AS_IS - (math.log(1e6)), False)]
+        options = [("", t, -AS_IS - math.log(1e6), False)]
+        sure = False
         for r in found.get(t, []):
             word = r["word"]
             known = word is not None and word["_w"] is not None and _fits(r["_r"], word["_w"])
             said = r["reading"]
             if known and LOST in said:
                 said = _filled(said, word["_w"])
-            garbled = garbled or known or r["spelt"]
+            sure = sure or known or r["spelt"]
             score = math.log(word["_n"] / 1e6) if known else -math.log(1e6) - (1.0 if r["spelt"] else UNKNOWN)
             if r["channel"].startswith("lost"):
                 score -= LOSSY
+            if odd.search(said):
+                score -= LEFT
             options.append((r["channel"], said, score, True))
-        spans.append((m.start(), m.end(), options))
+        garbled = garbled or sure
+        if sure:  # a damaged token is not left as it is
+            options[0] = ("", t, -10 * AS_IS - math.log(1e6), False)
+        spans.append((m.start(), m.end(), options, sure))
     if not garbled:
         return None
     best = [("", 0.0, None)]  # per channel the best path so far: (channel, score, back pointer)
     trail = []
-    for _, _, options in spans:
+    for _, _, options, _ in spans:
         now: dict[str, tuple[float, int, str]] = {}
         top = max(range(len(best)), key=lambda i: best[i][1])
         at = {c: i for i, (c, _, _) in enumerate(best)}
@@ -290,10 +297,10 @@ def _viterbi(text: str, found: dict, odd: re.Pattern) -> tuple[str, bool] | None
             i = back
         words.reverse()
     parts, last, complete = [], 0, True
-    for (a, b, options), said in zip(spans, words):
+    for (a, b, _, sure), said in zip(spans, words):
         parts += [text[last:a], said]
         last = b
-        complete = complete and not (len(options) > 1 and odd.search(said))
+        complete = complete and not (sure and odd.search(said))
     parts.append(text[last:])
     whole = "".join(parts)
     return whole, complete and LOST not in whole
