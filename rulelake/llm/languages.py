@@ -205,7 +205,11 @@ def detected(df: DataFrame, key: str = "doc_id", text: str = "text", label: str
     """
     spark = df.sparkSession
     rows = df.select(key, text, label_language(label, languages).alias("label"))
-    sample = rows.where(F.col("label").isNotNull() & F.length(text).between(20, FIT_CHARS)).orderBy(F.xxhash64(key), key).limit(fit_rows)
+    labelled = rows.where(F.col("label").isNotNull())
+    # the hash range that holds about twice the sample, so that no task offers more than its part of it
+    part = min(1.0, 2 * fit_rows / max(1, labelled.count()))
+    near = labelled.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(part * (1 << 30)))
+    sample = near.where(F.length(text).between(20, FIT_CHARS)).orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(fit_rows)
     at = {lang: i for i, lang in enumerate(languages)}
     fitted = fit([(r[0], at[r[1]]) for r in sample.select(text, "label").collect()], len(languages))
     shared = spark.sparkContext.broadcast(fitted)
