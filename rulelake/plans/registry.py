@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, changes, history, judging, problems, streams, texts  # noqa: F401
+from . import base, changes, history, judging, pages, problems, streams, texts  # noqa: F401
 
 
 def queries() -> dict:

@@ -188,3 +188,15 @@ def test_guarded_write(spark, tmp_path):
 def test_windows(spark):
     df = spark.createDataFrame([("2024-01-01 00:10:00", "a", 1.0), ("2024-01-01 00:59:59", "a", 2.0), ("2024-01-01 01:00:00", "a", 4.0)], "t string, k string, value double").withColumn("t", F.col("t").cast("timestamp_ntz"))
     assert sorted((str(r["start"]), r["n"], r["total"]) for r in windowed_counts(df, "t", "k").collect()) == [("2024-01-01 00:00:00", 2, 3.0), ("2024-01-01 01:00:00", 1, 4.0)]
+
+
+def test_answers_are_kept_by_fingerprint(spark):
+    from rulelake.operators.asking import answered, fingerprinted
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None)], "k int, t string")
+    none = spark.createDataFrame([], "fingerprint bigint, answer string")
+    first = answered(df, "k", ["t"], none, lambda b: [f"re {t}" for t in b["t"]])
+    assert {r["k"]: r["answer"] for r in first.collect()} == {1: "re a", 2: "re b", 3: "re a", 4: "re None"}
+    kept = fingerprinted(spark.createDataFrame([("a", "kept")], "t string, answer string"), ["t"]).select("fingerprint", "answer")
+    got = {r["k"]: r["answer"] for r in answered(df, "k", ["t"], kept, lambda b: ["new"] * len(b), most=1).collect()}
+    assert got[1] == got[3] == "kept" and sorted([got[2] or "", got[4] or ""]) == ["", "new"]
