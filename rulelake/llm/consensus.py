@@ -26,12 +26,6 @@ BROADCAST_ANNOTATORS = 20_000
 TRUTHFUL, GUESSED, GUESS, CLASS = 2.0, 1.0, 0.5, 1.0
 
 
-def last_answers(rows: DataFrame, item: Sequence[str], annotator: str, received: str, answer: str) -> DataFrame:
-    """Of the answers of an annotator on the same thing the last received; a null time counts as the earliest, ties go to the greater answer."""
-    known = rows.where(" and ".join(f"`{c}` is not null" for c in [*item, annotator]))
-    return known.groupBy(*item, annotator).agg(F.max(F.struct(received, answer)).alias("_x")).select(*item, annotator, F.col(f"_x.{answer}").alias(answer))
-
-
 def fitted(votes: DataFrame, item: Sequence[str], annotator: str, label: str, classes: Sequence[str], *, iterations: int = 30, tolerance: float = 1e-3) -> tuple[DataFrame, DataFrame]:
     """The posteriors of the items and the parameters of the annotators.
 

@@ -37,7 +37,10 @@ for _a, _b in (("q", "k"), ("x", "z"), ("é", "e"), ("è", "e"), ("ê", "e"), ("
     _TABLE[ord(_a)] = _TABLE[ord(_a.upper())] = _TABLE[ord(_b)]
 
 _END = re.compile(r"""(?<=[.!?])["'”’»)\]]*\s+(?=["'“‘«(\[„]*[^\W\d_])""")
-_MONTH = re.compile(r"(?:Januar|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember)\b")
+#: The names of months in the five languages.
+_MONTHS = "januari? january februari? february marts mars märz march april maj mai may juni june juli july augusti? september oktober october november december desember dezember"
+_MONTH = re.compile(rf"(?:{'|'.join(_MONTHS.split())})\b", re.IGNORECASE)
+_DAY = re.compile(r"(?<!\d)[0-3]?\d\.$")
 _SHORT = re.compile(r"(?:\b(?:pr|nr|ca|jf|dvs|fx|vgl|bzw|St|Dr|No)|\b\w\.\w)\.$")
 _NOT_TEXT = re.compile(r"^\s*(?:\||\[\w+ \d+\]\s*$)|\t\S")
 
@@ -58,7 +61,7 @@ def sentences(text: str) -> list[tuple[int, str]]:
         for m in _END.finditer(run):
             head = run[max(start, m.start() - 8) : m.start()]
             nxt = run[m.end() : m.end() + 1]
-            if nxt.islower() or (head[-2:-1].isdigit() and head[-1:] == "." and _MONTH.match(run, m.end())) or _SHORT.search(head):
+            if nxt.islower() or (_DAY.search(head) and _MONTH.match(run, m.end())) or _SHORT.search(head):
                 continue
             out.append((para, run[start : m.start()]))
             start = m.end()
@@ -235,7 +238,8 @@ def detected(df: DataFrame, key: str = "doc_id", text: str = "text", label: str
             words = np.array([sum(any(map(str.isalnum, w)) for w in s.split()) for s in said], np.int64)
             gram, owner = _grams(said)
             scores = np.stack([np.bincount(owner, model[j][gram], len(said)) for j in range(len(names))], 1)
-            use = (np.bincount(owner, minlength=len(said)) > 0) & (words > 0)
+            spelt = np.array([sum(any(map(str.isalpha, w)) for w in s.split()) for s in said], np.int64)
+            use = (np.bincount(owner, minlength=len(said)) > 0) & (2 * spelt >= words) & (words > 0)  # lists of numbers are in no language
             doc, para, words, scores = doc[use], para[use], words[use], scores[use]
         else:
             doc = doc[:0]

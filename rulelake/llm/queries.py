@@ -5,26 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.judging import VERDICTS, votes
 from ..sources.tables import table, written
-from .consensus import fitted, last_answers
+from .consensus import fitted
 from .encoding import decoded, encoded, token_counts
 from .garbled import restored
 from .languages import LEAST_WORDS, detected
 from .neardup import groups, similar_pairs
 from .packing import packed
 
-VERDICTS = ["keep", "reject", "merge"]
-
-
-def votes(spark: SparkSession, d: str) -> DataFrame:
-    """The usable verdicts: one a document, candidate and judge."""
-    answers = last_answers(table(spark, d, "judge_output").select("doc_id", "judge", "received_at", "output"), ["doc_id"], "judge", "received_at", "output")
-    each = answers.select("doc_id", "judge", F.posexplode("output.candidates").alias("pos", "c"))
-    verdict = F.regexp_replace(F.lower("c.verdict"), r"[\s\p{Z}\p{P}\p{S}\x{85}]+", "")
-    usable = each.select("doc_id", "judge", "pos", F.col("c.candidate").alias("candidate"), verdict.alias("verdict")).where(F.col("verdict").isin(VERDICTS) & (F.col("candidate") >= 1))
-    return usable.groupBy("doc_id", "candidate", "judge").agg(F.max(F.struct("pos", "verdict")).alias("x")).select("doc_id", "candidate", "judge", "x.verdict")
-
-
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     items, _ = fitted(votes(spark, d), ["doc_id", "candidate"], "judge", "verdict", VERDICTS)
     return items.where("verdict <> 'keep'").select("doc_id", "candidate", "verdict")
