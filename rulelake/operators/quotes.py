@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,20 +61,40 @@ def jaccard(shared, a, b):
     return F.when(a + b - shared > 0, shared / (a + b - shared)).otherwise(F.lit(0.0))
 
 
-def one_to_one(scored: DataFrame, old: str, new: str, score: str, *, rounds: int = 100) -> DataFrame:
-    """Greedy one-to-one pairs, best score first, ties to the lesser old and then the lesser new.
+def one_to_one(scored: DataFrame, old: str, new: str, score: str, *, by: Sequence[str] = ()) -> DataFrame:
+    """Greedy one-to-one pairs within ``by``, best score first, ties to the lesser old and then the lesser new.
 
-    Rounds take every pair that is the best of both its sides, which gives the greedy result; the pairs left are written. A side's
-    best is a combinable maximum, so a row with very many partners is no hot group.
+    Sides with the same partners at the same scores are one class. A round takes every pair of classes that is the best of both its
+    sides, which gives the greedy result, and of such classes the members rank by rank, as far as no other class tied with them has a
+    lesser member. Rounds go on until no pair is left, so they do not grow with copies, but with chains of falling scores.
     """
-    left = written(scored.select(old, new, F.col(score).alias("_s")), "pairs")
-    taken = None
-    for _ in range(rounds):
-        best_old = left.groupBy(old).agg(F.min(F.struct((-F.col("_s")).alias("n"), F.col(old).alias("o"), F.col(new).alias("w"))).alias("_a"))
-        best_new = left.groupBy(new).agg(F.min(F.struct((-F.col("_s")).alias("n"), F.col(old).alias("o"), F.col(new).alias("w"))).alias("_b"))
-        pick = written(best_old.join(best_new, F.col("_a") == F.col("_b")).select(F.col("_a.o").alias(old), F.col("_a.w").alias(new), (-F.col("_a.n")).alias(score)), "picked")
+    by = list(by)
+    edges = scored.groupBy(*by, F.col(old).alias("_o"), F.col(new).alias("_w")).agg(F.max(score).alias("_s")).where("_s is not null")
+    edges = written(edges, "pairs")
+
+    def classes(side: str, other: str, c: str, i: str) -> DataFrame:
+        prints = [F.bit_xor(F.xxhash64(other, "_s", F.lit(k))).cast("string") for k in (1, 2)]
+        known = edges.groupBy(*by, side).agg(F.concat_ws(" ", F.count("*").cast("string"), *prints).alias(c))
+        return written(known.withColumn(i, F.row_number().over(Window.partitionBy(*by, c).orderBy(side))), "members")
+
+    olds, news = classes("_o", "_w", "_a", "_i"), classes("_w", "_o", "_b", "_j")
+    left = edges.join(olds.drop("_i"), [*by, "_o"]).join(news.drop("_j"), [*by, "_w"]).select(*by, "_a", "_b", "_s").distinct()
+    taken, rounds = None, 0
+    while True:
+        first_old = olds.groupBy(*by, "_a").agg(F.min("_o").alias("_fo"), F.min("_i").alias("_fi"))
+        first_new = news.groupBy(*by, "_b").agg(F.min("_w").alias("_fw"), F.min("_j").alias("_fj"))
+        left = written(left.select(*by, "_a", "_b", "_s").join(first_old, [*by, "_a"]).join(first_new, [*by, "_b"]), "pairs")
+        of_old, of_new = Window.partitionBy(*by, "_a").orderBy(F.desc("_s"), "_fw"), Window.partitionBy(*by, "_b").orderBy(F.desc("_s"), "_fo")
+        best = left.withColumn("_ra", F.row_number().over(of_old)).withColumn("_xa", F.lead(F.struct("_s", "_fw")).over(of_old))
+        best = best.withColumn("_rb", F.row_number().over(of_new)).withColumn("_xb", F.lead(F.struct("_s", "_fo")).over(of_new)).where("_ra = 1 and _rb = 1")
+        pairs = best.join(olds, [*by, "_a"]).withColumn("_j", F.col("_i") - F.col("_fi") + F.col("_fj")).join(news, [*by, "_b", "_j"])
+        free = [F.coalesce((F.col(f"{x}._s") < F.col("_s")) | (F.col(m) < F.col(f"{x}.{f}")), F.lit(True)) for x, m, f in (("_xa", "_w", "_fw"), ("_xb", "_o", "_fo"))]
+        pick = written(pairs.where(free[0] & free[1]).select(*by, F.col("_o").alias(old), F.col("_w").alias(new), F.col("_s").alias(score)), "picked")
         if pick.isEmpty():
             break
-        taken = pick if taken is None else taken.unionByName(pick)
-        left = written(left.join(pick.select(old), old, "left_anti").join(pick.select(new), new, "left_anti"), "pairs")
-    return taken if taken is not None else scored.select(old, new, F.col(score)).limit(0)
+        taken, rounds = pick if taken is None else taken.unionByName(pick), rounds + 1
+        if rounds % 20 == 0:
+            taken = written(taken, "picked")
+        olds = written(olds.join(pick.select(*by, F.col(old).alias("_o")), [*by, "_o"], "left_anti"), "members")
+        news = written(news.join(pick.select(*by, F.col(new).alias("_w")), [*by, "_w"], "left_anti"), "members")
+    return taken if taken is not None else scored.select(*by, old, new, F.col(score)).limit(0)

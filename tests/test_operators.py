@@ -104,6 +104,23 @@ def test_greedy_matching(spark):
         assert {(r["o"], r["n"]) for r in got} == want
 
 
+def test_greedy_matching_of_copies_and_ties(spark):
+    copies = spark.range(150).select(F.format_string("o%03d", "id").alias("o")).crossJoin(spark.range(150).select(F.format_string("n%03d", "id").alias("n")))
+    got = one_to_one(copies.withColumn("s", F.lit(0.5)), "o", "n", "s").collect()
+    assert sorted((r["o"], r["n"]) for r in got) == [(f"o{i:03d}", f"n{i:03d}") for i in range(150)]
+    rng = random.Random(2)
+    for _ in range(3):
+        at, to = [[rng.randrange(3) for _ in range(9)] for _ in range(2)]
+        level = [[rng.choice([None, 0.5, 0.5, 0.75]) for _ in range(3)] for _ in range(3)]
+        pairs = [(g, i, j, s) for g in ("x", "y") for i in range(9) for j in range(9) if (s := level[at[i]][to[j]]) is not None]
+        want, a, b = set(), set(), set()
+        for g, i, j, s in sorted(pairs, key=lambda p: (-p[3], p[1], p[2])):
+            if (g, i) not in a and (g, j) not in b:
+                want.add((g, i, j)), a.add((g, i)), b.add((g, j))
+        got = one_to_one(spark.createDataFrame(pairs, "g string, o int, n int, s double"), "o", "n", "s", by=["g"]).collect()
+        assert {(r["g"], r["o"], r["n"]) for r in got} == want and len(got) == len(want)
+
+
 def test_aliases_chain_and_circle(spark):
     df = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), (None, "q")], "src string, dst string")
     assert {r["src"]: r["target"] for r in resolved(df).collect()} == {"a": "d", "b": "d", "c": "d", "x": None, "y": None}
