@@ -9,8 +9,9 @@ from ..functions.text import row_hash, squeezed, words
 from ..operators.identity import compared, holders, resolved, run_lengths
 from ..operators.order import global_rank
 from ..operators.quotes import jaccard, one_to_one, trigrams
+from ..operators.snapshots import last_deliveries
 from ..operators.temporal import effective_order
-from ..sources.tables import table
+from ..sources.tables import table, written
 from .base import CONTENT, D, V, X, decisions, query, rule_versions, versions
 from .texts import _SLUG, slugified
 
@@ -203,25 +204,44 @@ def document_labels(spark, d):
     return ranked.select("id", F.when(F.col("organ") == "kongres", F.col("title")).otherwise(F.col("organ")).alias("label"), link.alias("link"), "turn", (F.col("sha256") == F.col("top")).alias("same_content"))
 
 
-@query()
-def matched_decisions(spark, d):
-    """Decisions of the first snapshot paired one to one with those of the second within a document, best score first.
+def snapshot_pairs(snap):
+    """(snapshot_date, old, new, score): decisions of each snapshot paired one to one with those of the one before, best score first.
 
-    The score is the share of word trigrams in common; pairs must share at least one, and the outcome.
-    Pairs come together by any trigram in common within a document.
+    The score is the share of word trigrams in common; pairs must share at least one, the document and the outcome. Of several
+    deliveries of a snapshot the last counts. Decisions with the same trigrams have score 1 and are paired first, by rank and without
+    a join; only what is left comes together by trigrams in common.
     """
-    snap = table(spark, d, "decision_snapshot")
-    dates = [r[0] for r in snap.select("snapshot_date").distinct().orderBy("snapshot_date").limit(2).collect()]
-    rows = snap.where(F.col("snapshot_date").isin(dates)).groupBy("snapshot_date", "ref").agg(F.max(F.struct("delivered_at", "doc_id", "udfald", squeezed(F.concat_ws(" ", "emne", "tekst")).alias("t"))).alias("x"))
-    rows = rows.select("snapshot_date", "ref", "x.doc_id", F.trim("x.udfald").alias("udfald"), F.array_distinct(trigrams(words("x.t"))).alias("g"))
-    one, two = rows.where(F.col("snapshot_date") == dates[0]), rows.where(F.col("snapshot_date") == dates[-1])
-    grams = rows.select("snapshot_date", "ref", "doc_id", F.explode("g").alias("gram"))
-    a = grams.where(F.col("snapshot_date") == dates[0]).select("doc_id", "gram", F.col("ref").alias("old"))
-    b = grams.where(F.col("snapshot_date") == dates[-1]).select("doc_id", "gram", F.col("ref").alias("new"))
-    pairs = a.join(b, ["doc_id", "gram"]).select("old", "new").distinct()
-    full = pairs.join(one.select(F.col("ref").alias("old"), F.col("udfald").alias("uo"), F.col("g").alias("go")), "old").join(two.select(F.col("ref").alias("new"), F.col("udfald").alias("un"), F.col("g").alias("gn")), "new").where("uo = un")
-    score = jaccard(F.size(F.array_intersect("go", "gn")), F.size("go"), F.size("gn"))
-    return one_to_one(full.select("old", "new", F.round(score, 9).alias("score")).where("score >= 0.25"), "old", "new", "score")
+    last = F.broadcast(last_deliveries(snap, "snapshot_date", "delivered_at").withColumnsRenamed({"snapshot_date": "_at", "delivered_at": "_delivered"}))  # a row a snapshot
+    live = snap.join(last, (F.col("snapshot_date") == F.col("_at")) & F.col("delivered_at").eqNullSafe(F.col("_delivered")))
+    live = live.select("_at", "_next", "ref", "doc_id", F.trim("udfald").alias("udfald"), squeezed(F.concat_ws(" ", "emne", "tekst")).alias("t")).withColumn("th", F.xxhash64("t"))
+    gramset = F.array_distinct(trigrams(words("t")))
+    texts = live.groupBy("doc_id", "th").agg(F.min("t").alias("t")).withColumn("g", F.array_sort(gramset)).where("size(g) > 0")
+    texts = written(texts.select("doc_id", "th", "t", F.xxhash64("g").alias("h")), "texts")  # a text's trigrams are hashed once for all snapshots
+    rows = live.where("udfald is not null").groupBy("_at", "_next", "ref").agg(F.max(F.struct("doc_id", "udfald", "th")).alias("x"))
+    rows = rows.select("_at", "_next", "ref", "x.*").join(texts.select("doc_id", "th", "h"), ["doc_id", "th"]).crossJoin(F.broadcast(last.agg(F.min("_at").alias("_first"))))
+    sides = F.array(F.struct(F.when(F.col("_at") > F.col("_first"), F.col("_at")).alias("at"), F.lit(True).alias("new")), F.struct(F.col("_next").alias("at"), F.lit(False).alias("new")))
+    rows = rows.withColumn("side", F.explode(sides)).where("side.at is not null").withColumns({"snapshot_date": F.col("side.at"), "is_new": F.col("side.new")})
+    alike = ["snapshot_date", "doc_id", "udfald", "h"]
+    ranked = rows.select(*alike, "is_new", "ref", "th").withColumn("i", F.row_number().over(Window.partitionBy(*alike, "is_new").orderBy("ref")))
+    side = [F.max(F.when(F.col("is_new") == new, F.col("ref"))).alias(c) for c, new in (("old", False), ("new", True))]
+    single = F.col("old").isNull() | F.col("new").isNull()
+    same = written(ranked.groupBy(*alike, "i").agg(*side, F.max("th").alias("th")).select("snapshot_date", "old", "new", *[F.when(single, F.col(c)).alias(c) for c in ("doc_id", "udfald", "th")]), "same")
+    open_ = texts.join(same.where(single).select("doc_id", "th").distinct(), ["doc_id", "th"], "left_semi")
+    grams = written(open_.select("doc_id", "th", gramset.alias("g")).select("doc_id", "th", F.size("g").alias("n"), F.explode("g").alias("gram")), "grams")
+    where = ["snapshot_date", "doc_id", "udfald"]
+
+    def left(c: str, other: str, n: str):
+        return same.where(F.col(other).isNull()).select(*where, "th", c).join(grams, ["doc_id", "th"]).select(*where, "gram", c, F.col("n").alias(n))
+
+    shared = left("old", "new", "no").join(left("new", "old", "nn"), [*where, "gram"]).groupBy("snapshot_date", "old", "new", "no", "nn").agg(F.count("*").alias("shared"))
+    scored = shared.select("snapshot_date", "old", "new", F.round(jaccard(F.col("shared"), F.col("no"), F.col("nn")), 9).alias("score")).where("score >= 0.25")
+    return same.where(~single).select("snapshot_date", "old", "new", F.lit(1.0).alias("score")).unionByName(one_to_one(scored, "old", "new", "score", by=["snapshot_date"]))
+
+
+@query()
+def matched_decisions(spark, d):
+    """Decisions of every snapshot paired one to one with those of the one before within a document, best score first."""
+    return snapshot_pairs(table(spark, d, "decision_snapshot"))
 
 
 @query(f"with {D} select ref, coalesce(d.organ, '?') as organ, case when d.date is not null and left(d.date, 4) <> left(coalesce(x.dato, d.date), 4) then true else false end as year_differs from d x left join (select id, min(organ) as organ, min(date) as date from doc group by id) d on d.id = x.doc_id")

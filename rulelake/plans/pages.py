@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import words
 from ..operators.asking import answer_status, fingerprinted
 from ..operators.identity import resolved
+from ..operators.snapshots import last_deliveries
 from ..sources.files import site_payload
 from ..sources.tables import table
 from .base import CATEGORIES, D, V, decisions, query, quoted, rule_versions, versions
@@ -118,6 +119,19 @@ def answers_kept(spark, d):
     return answer_status(fingerprinted(decisions(spark, d).select("ref", "udfald").distinct(), ["udfald"]), fingerprinted(kept, ["udfald"]), "ref")
 
 
+@query(f"""with {D}, l as (select snapshot_date, max(delivered_at) as delivered_at from decision_snapshot group by 1),
+k as (select snapshot_date, ref, max(trim(regexp_replace(udfald, '\\s+', ' ', 'g'))) as u from decision_snapshot join l using (snapshot_date, delivered_at) group by all)
+select snapshot_date, d.ref, case when k.ref is null then 'missing' when k.u = d.udfald then 'current' else 'stale' end as status from (select distinct ref, udfald from d) d cross join (select snapshot_date from l) left join k using (snapshot_date, ref)""")
+def answers_kept_by_snapshot(spark, d):
+    """``answers_kept`` for the answers kept from every snapshot, each by its last delivery."""
+    snap = table(spark, d, "decision_snapshot")
+    last = F.broadcast(last_deliveries(snap, "snapshot_date", "delivered_at").drop("_next"))  # a row a snapshot
+    at = F.struct("snapshot_date", "ref").alias("at")
+    kept = snap.join(last, ["snapshot_date", "delivered_at"]).groupBy(at).agg(F.max(F.trim(F.regexp_replace("udfald", r"\s+", " "))).alias("udfald"))
+    asked = decisions(spark, d).select("ref", "udfald").distinct().crossJoin(last.select("snapshot_date")).select(at, "udfald")
+    return answer_status(fingerprinted(asked, ["udfald"]), fingerprinted(kept, ["udfald"]), "at").select("at.snapshot_date", "at.ref", "status")
+
+
 @query(f"with recursive {_ALIAS}, walk as (select src, dst, 1 as hops from ali union all select walk.src, ali.dst, hops + 1 from walk join ali on walk.dst = ali.src), t as (select src, arg_max(dst, hops) as target from walk group by src) select target, count(*) as former, bool_and(target in (select slug from g)) as live from t group by target")
 def former_slugs(spark, d):
     """Where former slugs lead: the rule, how many lead to it, and whether it is live."""

@@ -9,6 +9,7 @@ from ..functions.danish import STOP_WORDS, compound_parts, content_words, stems
 from ..functions.text import squeezed, words
 from ..operators.quotes import jaccard, located, overlap, trigrams
 from ..operators.ranking import bm25, cosine, idf, term_counts, top, unit_vectors
+from ..operators.snapshots import last_deliveries
 from ..sources.tables import table
 from .base import D, V, decisions, query, quoted, rule_versions
 
@@ -243,6 +244,26 @@ def same_ref_similarity(spark, d):
     return j.select("ref", F.round(jaccard(F.size(F.array_intersect("ga", "gb")), F.size("ga"), F.size("gb")), 9).alias("similarity"))
 
 
+@query(f"""with {D}, s as (select distinct snapshot_date, ref, trim(emne) || ' ' || trim(tekst) as t from decision_snapshot join (select snapshot_date, max(delivered_at) as delivered_at from decision_snapshot group by 1) using (snapshot_date, delivered_at)),
+g as (select ref, t.w as w from (select ref, {_WORDS.format("emne || ' ' || tekst")} as w from d) t), h as (select snapshot_date, ref, {_WORDS.format('min(t)')} as w from s group by all),
+a as (select distinct ref, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as gram from g where len(w) >= 3),
+b as (select distinct snapshot_date, ref, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as gram from h where len(w) >= 3),
+na as (select ref, count(*) as n from a group by ref), nb as (select snapshot_date, ref, count(*) as n from b group by all), sh as (select snapshot_date, ref, count(*) as n from a join b using (ref, gram) group by all)
+select nb.snapshot_date, nb.ref, round(coalesce(sh.n, 0) / (na.n + nb.n - coalesce(sh.n, 0)), 9) as similarity from na join nb on na.ref = nb.ref left join sh on sh.snapshot_date = nb.snapshot_date and sh.ref = nb.ref""")
+def same_ref_similarities(spark, d):
+    """``same_ref_similarity`` against every snapshot, each by its last delivery."""
+    snap = table(spark, d, "decision_snapshot")
+    last = F.broadcast(last_deliveries(snap, "snapshot_date", "delivered_at").drop("_next"))  # a row a snapshot
+    live = snap.join(last, ["snapshot_date", "delivered_at"]).select("ref", F.struct("snapshot_date", F.concat_ws(" ", F.trim("emne"), F.trim("tekst")).alias("t")).alias("x"))
+    s = live.groupBy("ref").agg(F.collect_set("x").alias("l"))  # a ref has a few rows a snapshot; a text is compared once for all of them
+    s = s.join(decisions(spark, d).select("ref", F.concat_ws(" ", "emne", "tekst").alias("own")), "ref")
+    least = F.expr("transform(array_distinct(l.snapshot_date), s -> struct(s as s, array_min(filter(l, x -> x.snapshot_date = s).t) as t))")
+    s = s.select("ref", "own", least.alias("m")).select("ref", "own", "m", F.explode(F.array_distinct(F.col("m.t"))).alias("t"))
+    g = s.select("ref", F.expr("filter(m, x -> x.t = t).s").alias("dates"), F.array_distinct(trigrams(words("own"))).alias("ga"), F.array_distinct(trigrams(words("t"))).alias("gb")).where("size(ga) > 0 and size(gb) > 0")
+    j = g.select("ref", "dates", F.round(jaccard(F.size(F.array_intersect("ga", "gb")), F.size("ga"), F.size("gb")), 9).alias("similarity"))
+    return j.select(F.explode("dates").alias("snapshot_date"), "ref", "similarity")
+
+
 # ---- ranking
 
 _IDX = f"""n as (select count(*) as n from documents), c as (select doc_id, term, count(*) as tf from (select doc_id, unnest({_WORDS.format('text')}) as term from documents) where length(term) >= 2 and term not in ({_STOP}) group by all),

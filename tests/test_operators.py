@@ -217,3 +217,22 @@ def test_answers_are_kept_by_fingerprint(spark):
     kept = fingerprinted(spark.createDataFrame([("a", "kept")], "t string, answer string"), ["t"]).select("fingerprint", "answer")
     got = {r["k"]: r["answer"] for r in answered(df, "k", ["t"], kept, lambda b: ["new"] * len(b), most=1).collect()}
     assert got[1] == got[3] == "kept" and sorted([got[2] or "", got[4] or ""]) == ["", "new"]
+
+
+def test_pairs_of_all_snapshots(spark):
+    from rulelake.plans.changes import snapshot_pairs
+
+    rng = random.Random(4)
+    texts = ["a b c d e f", "a b c d e g", "a b c x y z", "k l m n", "k l m o p", "kun to"]
+    rows = [(day, 1, "d", "d#99", "", "vedtaget", "k l m n q r") for day in ("2024-01", "2024-02")]  # faulty deliveries, replaced
+    rows += [(day, 2, doc, f"{doc}#{i:02d}", "", rng.choice(["vedtaget", "vedtaget ", "trukket"]), rng.choice(texts)) for day in ("2024-01", "2024-02", "2024-03", "2024-04") for doc in "de" for i in range(12) if rng.random() < 0.8]
+    want = set()
+    for one, two in (("2024-01", "2024-02"), ("2024-02", "2024-03"), ("2024-03", "2024-04")):
+        side = lambda day: [(r[2], r[5].strip(), r[3], {tuple(r[6].split()[i : i + 3]) for i in range(len(r[6].split()) - 2)}) for r in rows if r[:2] == (day, 2)]
+        scored = [(round(len(g & h) / len(g | h), 9), o, n) for da, ua, o, g in side(one) for db, ub, n, h in side(two) if (da, ua) == (db, ub) and g & h]
+        a, b = set(), set()
+        for s, o, n in sorted(scored, key=lambda p: (-p[0], p[1], p[2])):
+            if s >= 0.25 and o not in a and n not in b:
+                want.add((two, o, n, s)), a.add(o), b.add(n)
+    got = snapshot_pairs(spark.createDataFrame(rows, "snapshot_date string, delivered_at int, doc_id string, ref string, emne string, udfald string, tekst string")).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) and len({r[0] for r in want}) == 3
