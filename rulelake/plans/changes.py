@@ -40,6 +40,26 @@ def merged_rules(spark, d):
     return o.groupBy("stem").agg(F.max(F.when(F.col("i") == 1, F.col("slug"))).alias("survivor"), F.count("*").alias("merged"), F.sum("versions").alias("versions"), F.bool_or("vigtig").alias("vigtig"), titles.alias("titles")).where("merged > 1")
 
 
+@query(f"""with {_RULES}, o as (select *, row_number() over (partition by name order by versions desc, first_, slug) as i from g),
+nt as (select name, note, min(i) as i from o join (select distinct slug, note from v where note <> '') using (slug) group by all), ns as (select name, string_agg(note, ' ' order by i, note) as notes from nt group by name),
+tt as (select name, titel, min(i) as i from o group by all), ts as (select name, string_agg(titel, ' / ' order by i) as titles from tt group by name)
+select name, slug as survivor, merged, versions, vigtig, titles, notes from (select name, count(*) as merged, sum(versions)::bigint as versions, bool_or(vigtig) as vigtig from o group by name having count(*) > 1)
+join (select name, slug from o where i = 1) using (name) join ts using (name) left join ns using (name)""")
+def rules_merged_by_name(spark, d):
+    """Rules merged by their whole name: the survivor has the most versions, then is oldest, then first; the distinct titles and notes of all are joined in that order."""
+    place = F.struct((-F.col("versions")).alias("v"), "first_", "slug").alias("place")
+    o = _rules(spark, d).select("name", "slug", "titel", "versions", "vigtig", place)
+    g = o.groupBy("name").agg(F.min("place").alias("p"), F.count("*").alias("merged"), F.sum("versions").alias("versions"), F.bool_or("vigtig").alias("vigtig")).where("merged > 1")
+
+    def joined(rows, what: str, by: str, name: str):
+        distinct = rows.groupBy("name", what).agg(F.min("place").alias("place")).groupBy("name").agg(F.array_sort(F.collect_list(F.struct("place", what))).alias("l"))
+        return distinct.select("name", F.concat_ws(by, F.col(f"l.{what}")).alias(name))
+
+    notes = rule_versions(spark, d).where("note <> ''").select("slug", "note").distinct().join(o, "slug")
+    both = g.join(joined(o, "titel", " / ", "titles"), "name").join(joined(notes, "note", " ", "notes"), "name", "left")
+    return both.select("name", F.col("p.slug").alias("survivor"), "merged", "versions", "vigtig", "titles", "notes")
+
+
 @query(f"""with {_RULES}, p as (select slug, effekt, count(*) as n, min(ref) as first_ref from x group by all), k as (select *, row_number() over (partition by slug order by n desc, first_ref) as i, sum(n) over (partition by slug) as total from p)
 select slug, effekt as part, case when i = 1 then slug else slug || '-' || i end as new_slug, n::bigint as versions, total::bigint = (select count(*) from x y where y.slug = k.slug) as complete from k""")
 def split_rules(spark, d):

@@ -236,3 +236,20 @@ def test_pairs_of_all_snapshots(spark):
                 want.add((two, o, n, s)), a.add(o), b.add(n)
     got = snapshot_pairs(spark.createDataFrame(rows, "snapshot_date string, delivered_at int, doc_id string, ref string, emne string, udfald string, tekst string")).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want) and len({r[0] for r in want}) == 3
+
+
+def test_merged_rules_say_all(spark, tmp_path):
+    from rulelake.plans.changes import rules_merged_by_name
+
+    titles = [f"Kontingent for {w} klubber" for w in ["store"] * 7 + ["små"]]
+    titles[5], titles[6] = "Kontingent for store  klubber", "kontingent for STORE klubber"
+    v = [(f"s{i}", "okonomi", t, False, n, j, f"d#{i}{j}", "indfoert", "x", None, "x", "h") for i, t in enumerate(titles) for n in [f"note {max(i, 1)}" if i != 3 else None] for j in range(2 if i == 6 else 1)]
+    names = "slug kategori titel vigtig note idx ref effekt tekst kort kort_regel dhash"
+    spark.createDataFrame(v, ", ".join(f"{c} {'boolean' if c == 'vigtig' else 'int' if c == 'idx' else 'string'}" for c in names.split())).withColumn("filed_at", F.lit("2021-01-01").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/rule_version.parquet")
+    dec = [(r[6], "d", "2020-01-01") for r in v]
+    rest = [c for c in "gaelder_fra gaelder_til udfald handling niveau emne tekst side side_rettet".split()]
+    spark.createDataFrame(dec, "ref string, doc_id string, dato string").withColumns({c: F.lit(None).cast("string") for c in rest}).write.parquet(f"{tmp_path}/decision.parquet")
+    (row,) = rules_merged_by_name(spark, str(tmp_path)).collect()
+    assert (row["survivor"], row["merged"], row["versions"]) == ("s6", 7, 8)
+    assert row["titles"] == "kontingent for STORE klubber / Kontingent for store klubber / Kontingent for store  klubber"
+    assert row["notes"] == "note 6 note 1 note 2 note 4 note 5"
