@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.voting import b_cubed, bootstrap, last_answers, majority, ratio
+from ..operators.voting import POISSON, b_cubed, bootstrap, last_answers, majority, named_unit, poisson_weight, ratio
 from ..sources.tables import table
 from .base import V, decisions, query, rule_versions
 
@@ -126,6 +126,25 @@ def model_bootstrap(spark, d):
     return bootstrap(units, "unit", ("ca", "ja"), ("cb", "jb"))
 
 
+_POISSON = " + ".join(f"(w >= {t})::int" for t in POISSON)
+
+
+@query(_SCORES + f""", un as (select doc_id, count(*) filter (verdict = winner and vote.judge in (select judge from judge where model = 'model-a')) as ca, count(*) filter (vote.judge in (select judge from judge where model = 'model-a')) as ja,
+ count(*) filter (verdict = winner and vote.judge in (select judge from judge where model = 'model-b')) as cb, count(*) filter (vote.judge in (select judge from judge where model = 'model-b')) as jb from vote join maj using (doc_id, candidate) group by doc_id),
+nu as (select *, ('0x' || substr(md5(doc_id), 1, 15))::bigint % 2147483647 as u, ('0x' || substr(md5(doc_id), 16, 15))::bigint % 2147483647 as v from un), pw as (select s, ca, ja, cb, jb, (u + s * v) % 2147483647 as w from nu, range(1, 2001) t(s)),
+dr as (select s, sum(ca * k) as ca, sum(ja * k) as ja, sum(cb * k) as cb, sum(jb * k) as jb from (select *, {_POISSON} as k from pw) group by s),
+df as (select ca / nullif(ja, 0) - cb / nullif(jb, 0) as dd from dr), li as (select list_sort(list(dd)) as l, avg(case when dd > 0 then 1.0 else 0.0 end) as ahead from df where dd is not null)
+select (select sum(ca) / nullif(sum(ja), 0) - sum(cb) / nullif(sum(jb), 0) from un) as difference, l[floor((len(l) - 1) * 0.025)::int + 1] as low, l[floor((len(l) - 1) * 0.975)::int + 1] as high, ahead from li""")
+def model_bootstrap_documents(spark, d):
+    """Model a against model b over 2,000 resamples of documents."""
+    v = votes(spark, d)
+    m = majority(v, ["doc_id", "candidate"], "verdict", "judge").select("doc_id", "candidate", F.col("verdict").alias("winner"))
+    j = v.join(m, ["doc_id", "candidate"]).join(F.broadcast(table(spark, d, "judge").select("judge", "model")), "judge")
+    right = F.col("verdict") == F.col("winner")
+    units = j.groupBy("doc_id").agg(*[f for x in "ab" for f in (F.count_if(right & (F.col("model") == f"model-{x}")).alias(f"c{x}"), F.count_if(F.col("model") == f"model-{x}").alias(f"j{x}"))])
+    return bootstrap(units.withColumn("unit", named_unit("doc_id")), "unit", ("ca", "ja"), ("cb", "jb"), 2000, poisson_weight)
+
+
 @query(f"with {V}, b as (select v.slug as a, d.doc_id as b, count(*) as n from v join d using (ref) group by all), x as (select *, sum(n) over (partition by a) as na, sum(n) over (partition by b) as nb from b), s as (select sum(n * n / na) / sum(n) as p, sum(n * n / nb) / sum(n) as r from x) select round(p, 9) as precision, round(r, 9) as recall, round(2 * p * r / (p + r), 9) as f1 from s")
 def grouping_b_cubed(spark, d):
     rows = rule_versions(spark, d).join(decisions(spark, d).select("ref", "doc_id"), "ref")

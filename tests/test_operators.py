@@ -253,3 +253,23 @@ def test_merged_rules_say_all(spark, tmp_path):
     assert (row["survivor"], row["merged"], row["versions"]) == ("s6", 7, 8)
     assert row["titles"] == "kontingent for STORE klubber / Kontingent for store klubber / Kontingent for store  klubber"
     assert row["notes"] == "note 6 note 1 note 2 note 4 note 5"
+
+
+def test_bootstrap_resamples_documents(spark):
+    from rulelake.operators.voting import bootstrap, named_unit, poisson_weight
+
+    rng = random.Random(6)
+    docs = [(f"d{i}", k := rng.randint(0, 10), 10, max(0, k - rng.randint(-2, 3)), 10) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc string, ca int, ja int, cb int, jb int").withColumn("unit", named_unit("doc"))
+    drawn = df.crossJoin(spark.range(1, 2001)).select("doc", F.col("id").alias("s"), poisson_weight(F.col("unit"), F.col("id")).alias("w"))
+    by_doc = drawn.groupBy("doc").agg(F.avg("w").alias("m"), F.max("w").alias("most")).collect()
+    assert all(abs(r["m"] - 1) < 0.15 for r in by_doc) and max(r["most"] for r in by_doc) >= 5
+    mean, spread = drawn.groupBy("s").agg(F.sum("w").alias("n")).agg(F.avg("n"), F.var_samp("n")).first()
+    assert abs(mean - 40) < 1 and 32 < spread < 48  # independent documents
+    got = bootstrap(df, "unit", ("ca", "ja"), ("cb", "jb"), 2000, poisson_weight).first()
+    diffs = []
+    for _ in range(2000):
+        p = [rng.choice(docs) for _ in docs]
+        diffs.append(sum(r[1] - r[3] for r in p) / 400)
+    diffs.sort()
+    assert abs(got["low"] - diffs[49]) < 0.015 and abs(got["high"] - diffs[1949]) < 0.015
