@@ -19,6 +19,25 @@ def effective_order(versions: DataFrame, key: str = "slug") -> DataFrame:
     return versions.withColumn("pos", F.row_number().over(Window.partitionBy(key).orderBy(*ORDER)) - 1)
 
 
+def earlier_filed(rows: DataFrame, key: str, filed: str, order: str) -> DataFrame:
+    """``rows`` with how many rows of their key filed before them come ``before`` and ``after`` them in an order.
+
+    No row meets another: two places in the order first differ at one bit, so at each bit a row's block counts the rows filed
+    earlier on the bit's other side. A row is repeated once a bit of its key's number of rows.
+    """
+    by = Window.partitionBy(key)
+    ranked = rows.withColumn("_r", F.dense_rank().over(by.orderBy(order)) - 1).withColumn("_f", F.dense_rank().over(by.orderBy(filed)))
+    bits = F.greatest(F.length(F.bin(F.max("_r").over(by))), F.lit(1))
+    each = ranked.withColumn("_id", F.row_number().over(by.orderBy("_f", "_r"))).withColumn("_bits", bits)
+    each = each.withColumn("_bit", F.explode(F.sequence(F.lit(0), F.col("_bits") - 1)))
+    each = each.withColumn("_one", F.expr("shiftright(_r, _bit) & 1")).withColumn("_block", F.expr("shiftright(shiftright(_r, _bit), 1)"))
+    past = Window.partitionBy(key, "_bit", "_block").orderBy("_f").rangeBetween(Window.unboundedPreceding, -1)
+    zeros, ones = [F.coalesce(F.sum(F.when(F.col("_one") == v, 1).otherwise(0)).over(past), F.lit(0)) for v in (0, 1)]
+    each = each.withColumn("_z", F.when(F.col("_one") == 1, zeros).otherwise(0)).withColumn("_n", F.when(F.col("_one") == 0, ones).otherwise(0))
+    kept = [c for c in rows.columns if c != key]
+    return each.groupBy(key, "_id").agg(*[F.first(c).alias(c) for c in kept], F.sum("_z").alias("before"), F.sum("_n").alias("after")).drop("_id")
+
+
 def year_cutoffs(versions: DataFrame, first: str = "decided") -> DataFrame:
     """The last day of every year from the first to the last dated one: a row a year."""
     years = versions.where(F.length(first) >= 4).agg(F.min(F.substring(first, 1, 4)).cast("int").alias("a"), F.max(F.substring(first, 1, 4)).cast("int").alias("b"))

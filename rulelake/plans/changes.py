@@ -10,7 +10,7 @@ from ..operators.identity import compared, holders, resolved, run_lengths
 from ..operators.order import global_rank
 from ..operators.quotes import jaccard, one_to_one, trigrams
 from ..operators.snapshots import last_deliveries
-from ..operators.temporal import effective_order
+from ..operators.temporal import ORDER, earlier_filed, effective_order
 from ..sources.tables import table, written
 from .base import CONTENT, D, V, X, decisions, query, rule_versions, versions
 from .texts import _SLUG, slugified
@@ -147,21 +147,27 @@ def rebuild_guard(spark, d):
     return w.select(a.alias("lost_share"), b.alias("outdated_share"), ((a > 0.1) | (b > 0.5)).alias("stop"))
 
 
-@query(f"""with {X}, fl as (select slug, ref, min(filed_at) as f from rule_version group by all), y as (select x.*, f from x join fl using (slug, ref))
+_PLACES = f"""with {X}, fl as (select slug, ref, min(filed_at) as f from rule_version group by all), y as (select x.*, f from x join fl using (slug, ref))
 select a.slug, a.ref, count(b.ref) as place, case when count(b.ref) filter (b.effective > a.effective or (b.effective = a.effective and (b.decided > a.decided or (b.decided = a.decided and b.idx > a.idx)))) > 0 then 'late' else 'last' end as kind
-from y a left join y b on a.slug = b.slug and b.f < a.f and true where a.f >= '2020-01-01' group by all""".replace("count(b.ref) as place", "count(b.ref) filter (b.effective < a.effective or (b.effective = a.effective and (b.decided < a.decided or (b.decided = a.decided and b.idx < a.idx)))) as place"))
-def insertion_points(spark, d):
-    """Where each version filed from 2020 on is inserted among those of its rule filed before it, and whether that is behind the last.
+from y a left join y b on a.slug = b.slug and b.f < a.f and true where a.f >= '2020-01-01' group by all""".replace("count(b.ref) as place", "count(b.ref) filter (b.effective < a.effective or (b.effective = a.effective and (b.decided < a.decided or (b.decided = a.decided and b.idx < a.idx)))) as place")
 
-    Counted by a join within the rule: a rule's file is a short list, bounded by what can be filed of it.
-    """
+
+def _placed(spark, d):
     filed = table(spark, d, "rule_version").groupBy("slug", "ref").agg(F.min("filed_at").alias("f"))
-    y = versions(spark, d).join(filed, ["slug", "ref"]).select("slug", "ref", "f", F.struct("effective", "decided", "idx").alias("o"))
-    b = y.select("slug", F.col("f").alias("fb"), F.col("o").alias("ob"))
-    j = y.where("f >= timestamp'2020-01-01'").join(b, "slug", "left")
-    before = F.col("fb") < F.col("f")
-    g = j.groupBy("slug", "ref").agg(F.count_if(before & (F.col("ob") < F.col("o"))).alias("place"), F.count_if(before & (F.col("ob") > F.col("o"))).alias("later"))
-    return g.select("slug", "ref", "place", F.when(F.col("later") > 0, "late").otherwise("last").alias("kind"))
+    y = versions(spark, d).join(filed, ["slug", "ref"]).select("slug", "ref", "f", F.struct(*ORDER).alias("o"))
+    return earlier_filed(y, "slug", "f", "o").select("ref", "slug", "f", F.col("before").alias("place"), F.when(F.col("after") > 0, "late").otherwise("last").alias("kind"))
+
+
+@query(_PLACES)
+def insertion_points(spark, d):
+    """Where each version filed from 2020 on is inserted among those of its rule filed before it, and whether that is behind the last."""
+    return _placed(spark, d).where("f >= timestamp'2020-01-01'").select("slug", "ref", "place", "kind")
+
+
+@query(_PLACES.replace(" where a.f >= '2020-01-01'", ""))
+def insertion_points_all(spark, d):
+    """``insertion_points`` of every version, whenever it was filed."""
+    return _placed(spark, d).select("slug", "ref", "place", "kind")
 
 
 @query(f"with {V}, r as (select ref from v union select ref from d union select ref from decision_snapshot) select regexp_replace(ref, '#[^#]*$', '') as doc_id, count(*) as ids, max(try_cast(regexp_extract(ref, '#([0-9]+)$', 1) as int)) + 1 as next_number from r group by 1")

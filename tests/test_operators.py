@@ -273,3 +273,13 @@ def test_bootstrap_resamples_documents(spark):
         diffs.append(sum(r[1] - r[3] for r in p) / 400)
     diffs.sort()
     assert abs(got["low"] - diffs[49]) < 0.015 and abs(got["high"] - diffs[1949]) < 0.015
+
+
+def test_earlier_filed_counts_all(spark):
+    from rulelake.operators.temporal import earlier_filed
+
+    rng = random.Random(8)
+    rows = [(k, i, rng.randrange(1990, 2026), rng.randrange(40)) for k in "ab" for i in range(60)] + [("c", 0, 2001, 5)]
+    want = {(k, i): tuple(sum(1 for x, _, g, p in rows if x == k and g < f and (p < o if side == 0 else p > o)) for side in (0, 1)) for k, i, f, o in rows}
+    got = earlier_filed(spark.createDataFrame(rows, "k string, i int, f int, o int"), "k", "f", "o").collect()
+    assert {(r["k"], r["i"]): (r["before"], r["after"]) for r in got} == want and len(got) == len(rows)
