@@ -1,4 +1,4 @@
-"""Event windows with a watermark, and a table of what is new, changed and retired that follows a stream of decisions."""
+"""Event windows with a watermark, and the latest rows of a stream."""
 
 from __future__ import annotations
 
@@ -38,7 +38,7 @@ def run_to_table(stream: DataFrame, *, mode: str = "complete") -> DataFrame:
 
 
 def followed(stream: DataFrame, key: str, version: str) -> DataFrame:
-    """The latest row of each key of a stream, late and repeated rows included: (key, latest, rows)."""
+    """The greatest version of each key of a stream and the number of its rows, late and repeated ones included: (key, latest, rows)."""
     return stream.groupBy(key).agg(F.max(version).alias("latest"), F.count("*").alias("rows"))
 
 
