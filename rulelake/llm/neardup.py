@@ -175,10 +175,20 @@ def _texts(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), text.alias("_t"))
 
 
+def unseen(seen: set, s: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which records have a signature and words that are not yet ``seen``, to which they are added."""
+    new = np.zeros(len(s), bool)
+    for i, x in enumerate(zip(s.tolist(), h.tolist())):
+        if x not in seen:
+            seen.add(x)
+            new[i] = True
+    return new
+
+
 def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(``_k``, ``_s`` signature, ``_h`` hash of the words, ``_b`` band keys): records with words, as a written table.
 
-    Band keys are null where the same task has given them for the same signature, so that copies add no rows to the search.
+    Band keys are null where the same task has given them for the same signature and words, so that copies add no rows to the search.
     """
     registers = bands * rows + SIGNATURE
 
@@ -193,11 +203,7 @@ def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BA
             k = sketch.sketches(said)
             s = signatures(k)
             h = np.fromiter(map(words_hash, said), np.int64, len(said))
-            new = np.zeros(len(s), bool)
-            for i, x in enumerate(s.tolist()):
-                if x not in seen:
-                    seen.add(x)
-                    new[i] = True
+            new = unseen(seen, s, h)
             offsets = np.concatenate([[0], np.cumsum(new * bands)]).astype(np.int32)
             keys = pa.ListArray.from_arrays(offsets, band_keys(k[new], bands, rows).ravel(), mask=pa.array(~new))
             yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h), keys], ["_k", "_s", "_h", "_b"])

@@ -74,3 +74,13 @@ def test_components(spark):
 def test_nothing(spark):
     assert similar_pairs(frame(spark, []), "ref", ["emne", "tekst"]).count() == 0
     assert groups(frame(spark, [("a", None, None), (None, "x", "y")]), "ref", ["emne", "tekst"]).count() == 0
+
+
+def test_other_words_of_one_signature_have_their_own_keys():
+    import numpy as np
+
+    from rulelake.llm.neardup import unseen
+
+    seen = set()
+    assert unseen(seen, np.array([5, 5, 5, 6]), np.array([1, 2, 1, 1])).tolist() == [True, True, False, True]
+    assert unseen(seen, np.array([5, 5]), np.array([2, 3])).tolist() == [False, True]
