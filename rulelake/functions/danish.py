@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,38 +25,40 @@ SHORT_ENDINGS = "ig lig elig els løst".split()
 PAIRS = ("gd", "dt", "gt", "kt")
 
 
+def _ends(endings) -> re.Pattern:
+    """Finds the longest of the endings, as the leftmost match is the longest."""
+    return re.compile(f"(?:{'|'.join(endings)})$")
+
+
+_REGION = re.compile(f"[{''.join(sorted(VOWELS))}][^{''.join(sorted(VOWELS))}]")
+_MAIN, _PAIR, _OTHER, _TWICE = _ends(ENDINGS), _ends(PAIRS), _ends(SHORT_ENDINGS), re.compile(rf"([{''.join(sorted(DOUBLED))}])\1$")
+
+
 def stem(word: str) -> str:
-    """The Danish Snowball stem of a lower-case word."""
-    start = len(word)
-    for i in range(1, len(word)):
-        if word[i] not in VOWELS and word[i - 1] in VOWELS:
-            start = max(i + 1, 3)
-            break
+    """The Danish Snowball stem of a lower-case word.
+
+    Endings count only in the region after the first consonant that follows a vowel, from the third letter on. Steps: the main
+    endings, s only after certain letters; the last letter of a pair; the other endings (st of igst first, løst only its t) and the pair that they uncover; a
+    doubled consonant.
+    """
     if len(word) < 3:
         return word
-
-    def longest(w: str, endings) -> str:
-        return max((e for e in endings if w.endswith(e) and len(w) - len(e) >= start), key=len, default="")
-
-    def unpaired(w: str) -> str:
-        return w[:-1] if longest(w, PAIRS) else w
-
-    ending = longest(word, ENDINGS)
-    if ending == "s":
-        word = word[:-1] if word[-2:-1] in S_AFTER else word
-    elif ending:
-        word = word[: -len(ending)]
-    word = unpaired(word)
-    if word.endswith("igst"):
-        word = word[:-2]
-    ending = longest(word, SHORT_ENDINGS)
-    if ending == "løst":
-        word = word[:-1]
-    elif ending:
-        word = unpaired(word[: -len(ending)])
-    if len(word) - 1 >= start and word[-1] in DOUBLED and word[-2:-1] == word[-1]:
-        word = word[:-1]
-    return word
+    m = _REGION.search(word)
+    region = max(m.end(), 3) if m else len(word)
+
+    def cut(w: str, ending: re.Pattern, keep: int = 0) -> str:
+        m = ending.search(w, region)
+        return w[: m.start() + keep] if m else w
+
+    m = _MAIN.search(word, region)
+    if m and (m[0] != "s" or word[m.start() - 1] in S_AFTER):
+        word = word[: m.start()]
+    word = cut(word, _PAIR, 1).removesuffix("st") if word.endswith("igst") else cut(word, _PAIR, 1)
+    m = _OTHER.search(word, region)
+    if m:
+        word = word[:-1] if m[0] == "løst" else cut(word[: m.start()], _PAIR, 1)
+    at = len(word) - 1
+    return word[:at] if at >= region and _TWICE.search(word) else word
 
 
 def _stems(batch: pd.Series) -> pd.Series:

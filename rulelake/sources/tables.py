@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,19 +18,29 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session, else one of our own.
 
-    Our own is set only where the session names none, as on a single machine in tests.
+    Our own is set only where the session names none and runs on this machine alone, as in tests; on a cluster that is an error, as executors
+    would each write to their own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    kept = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not named and kept.isDefined():
+        return kept.get()
     if not named:
-        set_before = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_before.isDefined():
-            return set_before.get()
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("a cluster must name its shared folder in spark.checkpoint.dir")
         named = "file://" + tempfile.mkdtemp(prefix="rulelake-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        _removed_at_end(spark, named)
+    if not kept.isDefined():
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+def _removed_at_end(spark: SparkSession, path: str) -> None:
+    """Has the file system remove a path when the session's JVM ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint in the shared folder.
 
@@ -42,23 +53,10 @@ def cut(df: DataFrame) -> DataFrame:
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
-    A written table survives the loss of executors and is read column by column.
+    A written table survives the loss of executors and is read column by column. It is removed when the session's JVM ends.
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{what}-{uuid.uuid4().hex}.parquet")
     df.write.parquet(path)
+    _removed_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def laid_out(df: DataFrame, *by: str) -> DataFrame:
-    """``df`` partitioned and sorted by columns, kept so by a checkpoint: later joins and windows by them need no shuffle.
-
-    Adaptive execution hides the partitioning of what it plans, so it is off for this one job.
-    """
-    spark = df.sparkSession
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return cut(df.repartition(*by).sortWithinPartitions(*by))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
