@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import squeezed
-from ..operators.history import merge_type2, type2_periods, type2_state
+from ..operators.history import merge_type2, type2_versions
 from ..operators.intervals import periods_and_gaps
 from ..operators.snapshots import snapshot_changes
-from ..sources.tables import table
+from ..sources.tables import table, written
 
 COMPARED = ["emne", "kategori", "udfald", "handling", "niveau", "tekst", "gaelder_fra", "gaelder_til"]
 
@@ -30,26 +30,43 @@ def rule_wordings(spark: SparkSession, d: str) -> DataFrame:
     return version.join(decision, "ref").select("slug", "ref", "start", "dato", "idx", wording.alias("wording"))
 
 
+WORDING = (["slug"], "start", ["dato", "idx"], "wording", ["ref"])
+
+
+def _filed(spark: SparkSession, d: str) -> DataFrame:
+    """The wordings with the year in which each version was first filed, null times as the earliest."""
+    filed = table(spark, d, "rule_version").groupBy("slug", "ref").agg(F.min(F.coalesce(F.year("filed_at"), F.lit(0))).alias("year"))
+    return rule_wordings(spark, d).join(filed, ["slug", "ref"])
+
+
+def _history(spark: SparkSession, d: str) -> DataFrame:
+    """The dimension of wordings: what was filed before the last three years of filing, with their batch merged in."""
+    rows = written(_filed(spark, d), "wordings")
+    last = F.broadcast(rows.agg(F.max("year").alias("last")))  # one row
+    rows = rows.join(last, F.lit(True))
+    dimension = merge_type2(None, rows.where("year < last - 2"), *WORDING)
+    return merge_type2(dimension, rows.where("year >= last - 2"), *WORDING)
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    state = type2_state(rule_wordings(spark, d), ["slug"], "start", ["dato", "idx"], "wording", ["ref"])
-    return type2_periods(state, ["slug"], "wording")
+    return type2_versions(_history(spark, d), ["slug"], "wording")
 
 
 def p2_wordings(spark: SparkSession, d: str) -> DataFrame:
     """The periods with the words themselves, the text fetched by the version that opened the period."""
-    state = type2_state(rule_wordings(spark, d), ["slug"], "start", ["dato", "idx"], "wording", ["ref"])
-    periods = type2_periods(state, ["slug"], "wording", ["ref"])
+    periods = type2_versions(_history(spark, d), ["slug"], "wording", ["ref"])
     version = table(spark, d, "rule_version").select("slug", "ref", squeezed("tekst").alias("own")).distinct()
     decision = table(spark, d, "decision").select("ref", squeezed("tekst").alias("lent")).distinct()
     return periods.join(version, ["slug", "ref"]).join(decision, "ref").select("slug", "valid_from", "valid_to", F.coalesce("own", "lent").alias("tekst"))
 
 
 def p2_merged(spark: SparkSession, d: str) -> DataFrame:
-    """The same periods from two batches by time of filing: the later batch is merged into the state of the first."""
-    filed = table(spark, d, "rule_version").groupBy("slug", "ref").agg(F.min("filed_at").alias("filed_at"))
-    rows = rule_wordings(spark, d).join(filed, ["slug", "ref"])
-    early, late = [type2_state(rows.where(w), ["slug"], "start", ["dato", "idx"], "wording", ["ref"]) for w in ("filed_at < '2016-01-01'", "filed_at >= '2016-01-01' or filed_at is null")]
-    return type2_periods(merge_type2(early, late, ["slug"], ["dato", "idx"], "wording", ["ref"]), ["slug"], "wording")
+    """The same periods from batches by the decade of filing, each merged into the dimension of those before it, the latest decade first: late batches throughout."""
+    rows = written(_filed(spark, d), "wordings")
+    dimension = None
+    for low, high in ((2020, 10_000), (2010, 2020), (0, 2010)):
+        dimension = written(merge_type2(dimension, rows.where(F.col("year").between(low, high - 1)), *WORDING), "dimension")
+    return type2_versions(dimension, ["slug"], "wording")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

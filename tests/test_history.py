@@ -3,7 +3,7 @@
 import random
 from datetime import date, timedelta
 
-from rulelake.operators.history import OPEN, merge_type2, type2_periods, type2_state
+from rulelake.operators.history import OPEN, merge_type2, merge_type2_table, type2_periods, type2_state, type2_versions
 from rulelake.operators.intervals import periods_and_gaps
 from rulelake.operators.snapshots import snapshot_changes
 
@@ -51,11 +51,42 @@ def test_history_equals_a_fold(spark):
         assert periods(state) == brute_history(rows)
 
 
+ARGS = (["slug"], "start", ["dato", "idx"], "wording", ["ref"])
+
+
+def versions(dimension):
+    return sorted(tuple(r) for r in type2_versions(dimension, ["slug"], "wording").collect())
+
+
 def test_history_merged_in_any_batches_is_the_same(spark):
-    rows = random_rows(90, 7)
-    parts = [type2_state(frame(spark, rows[i::3]), ["slug"], "start", ["dato", "idx"], "wording", ["ref"]) for i in range(3)]
-    both = merge_type2(merge_type2(parts[2], parts[0], ["slug"], ["dato", "idx"], "wording", ["ref"]), parts[1], ["slug"], ["dato", "idx"], "wording", ["ref"])
-    assert periods(both) == brute_history(rows)
+    for seed in (7, 8):
+        rows = random_rows(90, seed)
+        rng = random.Random(seed)
+        for batches in ([rows[i::3] for i in range(3)], [rng.sample(rows, 40), rows, rows[:5], []]):
+            dimension = None
+            for batch in batches:
+                dimension = merge_type2(dimension, frame(spark, batch), *ARGS).checkpoint()
+            assert versions(dimension) == brute_history(rows)
+
+
+def test_a_merge_leaves_what_is_before_the_batch(spark):
+    rows = [("a", "2010", "", 0, 1, "r1"), ("a", "2012", "", 0, 2, "r2"), ("a", "2014", "", 0, 2, "r3"), ("b", "2011", "", 0, 5, "r4")]
+    dimension = merge_type2(None, frame(spark, rows), *ARGS)
+    assert sorted((r.slug, r.valid_from, r.opens, r.valid_to) for r in dimension.collect()) == [("a", "2010", True, "2012"), ("a", "2012", True, OPEN), ("a", "2014", False, None), ("b", "2011", True, OPEN)]
+    late = merge_type2(dimension, frame(spark, [("a", "2013", "", 0, 3, "r5")]), *ARGS)  # the confirmation of 2014 now opens again
+    assert versions(late) == [("a", "2010", "2012"), ("a", "2012", "2013"), ("a", "2013", "2014"), ("a", "2014", OPEN), ("b", "2011", OPEN)]
+
+
+def test_a_table_is_merged_by_parts(spark, tmp_path):
+    rows = [(f"k{i % 20}", f"20{10 + i % 7}", "", i % 3, i % 4 or None, f"r{i}") for i in range(140)]
+    path = f"file://{tmp_path}/history"
+    for batch in (rows[:100], rows[100:103], rows[103:]):
+        merge_type2_table(spark, path, frame(spark, batch), *ARGS, buckets=8)
+    assert versions(spark.read.parquet(path)) == brute_history(rows)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "history").glob("_bucket=*/*.parquet")}
+    merge_type2_table(spark, path, frame(spark, [("k1", "2030", "", 0, 9, "r")]), *ARGS, buckets=8)
+    same = [p for p, t in before.items() if p.exists() and p.stat().st_mtime_ns == t]
+    assert len(same) == len(before) - 1
 
 
 def test_history_of_nothing(spark):
