@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+
+from rulelake.llm import consensus
 from rulelake.llm.consensus import fitted
 
 CLASSES = ["keep", "reject", "merge"]
@@ -44,3 +47,25 @@ def test_odd_votes(spark):
 def test_nothing(spark):
     items, judges = fitted(spark.createDataFrame([], SCHEMA), ["doc", "cand"], "judge", "verdict", CLASSES)
     assert items.count() == 0 and judges.count() == 0
+
+
+def test_joined_parameters_give_the_same(spark):
+    _, rows = labels(3, 60)
+    votes = spark.createDataFrame([(*r, "clash", 0.0, 0) for r in rows], SCHEMA).repartition(3)
+    a, b = [fitted(votes, ["doc", "cand"], "judge", "verdict", CLASSES, broadcast_annotators=n) for n in (100, 0)]
+    for x, y in zip(a, b):
+        plain = [sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in t.select(a[0].columns if x is a[0] else a[1].columns).collect()) for t in (x, y)]
+        assert plain[0] == plain[1]
+
+
+def test_the_fit_goes_on_until_nothing_moves(spark, monkeypatch):
+    _, rows = labels(4, 80)
+    votes = spark.createDataFrame([(*r, "clash", 0.0, 0) for r in rows], SCHEMA)
+    steps = []
+    step = consensus._Packed.step
+    monkeypatch.setattr(consensus._Packed, "step", lambda self, states: steps.append(1) or step(self, states))
+    fitted(votes, ["doc", "cand"], "judge", "verdict", CLASSES, tolerance=1e-9)
+    assert len(steps) > 30
+    monkeypatch.setattr(consensus, "FAILED", 10)
+    with pytest.raises(RuntimeError):
+        fitted(votes, ["doc", "cand"], "judge", "verdict", CLASSES, tolerance=1e-9)
