@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -60,3 +62,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
     df.write.parquet(path)
     _removed_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def freed(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more, as between the steps of a long loop."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def small(df: DataFrame, rows: int, size: int = 64 << 20) -> bool:
+    """Whether a table has at most so many rows and bytes of text, so that it may be broadcast; no more than a row beyond is read."""
+    wide = [c for c, t in df.dtypes if t not in ("bigint", "int", "double", "boolean", "date", "timestamp", "timestamp_ntz")]
+    text = sum((F.coalesce(F.octet_length(c if t == "string" else F.to_json(c)), F.lit(0)) for c, t in df.dtypes if c in wide), F.lit(0))
+    n, b = df.limit(rows + 1).select(text.cast("bigint").alias("_b")).agg(F.count("*"), F.sum("_b")).first()
+    return n <= rows and (b or 0) <= size
