@@ -3,7 +3,7 @@
 A record is the multiset of its words: its elements are (word, how many times so far), so that the Jaccard similarity of two sets is
 the share of words in both, counted with repetitions, of the words in either. Each element draws exponentially spaced values;
 a register keeps the truncated minimum of its draws as a level, so that sketches merge by maximum. Levels are equal about as
-often as the sets are similar. Bands of registers are the keys of the search; the parities of further registers form a short
+often as the sets are similar. Bands of registers are the keys of the search; the parities of some registers form a short
 signature that comes with the key. What passes both is estimated jointly by likelihood from the registers, and then counted.
 
 Only (band key, signature) pairs are shuffled for the search, each distinct pair once, so that a third of the rows being copies
@@ -23,21 +23,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import cut, written
+from ..sources.tables import freed, small, written
 
 THRESHOLD = 0.75
-#: Bands and registers of a band: a pair of similarity 0.75 is found with probability 0.968, one of 0.8 with 0.996, one of 0.85 with 0.9999.
-BANDS, ROWS = 24, 7
-#: Registers whose parities form the signature, and the most bits in which a pair may differ: 17 of 64 lose one pair of 1,500 at similarity 0.75.
-SIGNATURE, DIFFER = 64, 17
+#: Bands and registers of a band: a pair of similarity 0.75 is found with probability 0.998, one of 0.78 with 0.9997, one of 0.8 with 0.99994, one of 0.85
+#: with all but 3 in 10 million.
+BANDS, ROWS = 32, 6
+#: Bands whose keys are shuffled and compared at a time.
+AT_A_TIME = 8
+#: Registers whose parities form the signature, and the most bits in which a pair may differ: 19 of 64 lose 7 pairs of 100,000 at similarity 0.75.
+SIGNATURE, DIFFER = 64, 19
 #: A bucket of more rows is split into blocks of so many signatures, each pair of blocks compared in a task of its own.
 HOT = 4096
 #: Parameters of the sketch: base, rate and number of levels.
 BASE, RATE, LEVELS = 1.001, 20.0, 65_534
 #: A worker keeps the draws of at most so many elements.
 KEPT = 120_000
+#: A task remembers at most so many records whose keys it has given.
+REMEMBERED = 1_000_000
 #: Up to this many keys of candidates are broadcast to fetch their texts; beyond, they are joined.
 BROADCAST_KEYS = 500_000
+#: The members of a class of copies are paired in blocks of about so many.
+BLOCK = 2_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -176,7 +183,9 @@ def _texts(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 
 def unseen(seen: set, s: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Which records have a signature and words that are not yet ``seen``, to which they are added."""
+    """Which records have a signature and words that are not yet ``seen``, to which they are added; a full memory begins anew."""
+    if len(seen) > REMEMBERED:
+        seen.clear()
     new = np.zeros(len(s), bool)
     for i, x in enumerate(zip(s.tolist(), h.tolist())):
         if x not in seen:
@@ -186,14 +195,14 @@ def unseen(seen: set, s: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(``_k``, ``_s`` signature, ``_h`` hash of the words, ``_b`` band keys): records with words, as a written table.
+    """(``_k``, ``_s`` signature, ``_h`` hash of the words, ``_b0``, ``_b1`` and so on, each the keys of a few bands): records with words, as a written table.
 
     Band keys are null where the same task has given them for the same signature and words, so that copies add no rows to the search.
     """
-    registers = bands * rows + SIGNATURE
+    groups = range(0, bands, AT_A_TIME)
 
     def run(batches):
-        sketch, seen = sketcher(registers), set()
+        sketch, seen = sketcher(max(bands * rows, SIGNATURE)), set()
         for b in batches:
             said = [words(t) for t in b.column("_t").to_pylist()]
             have = [i for i, w in enumerate(said) if w]
@@ -204,20 +213,34 @@ def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BA
             s = signatures(k)
             h = np.fromiter(map(words_hash, said), np.int64, len(said))
             new = unseen(seen, s, h)
-            offsets = np.concatenate([[0], np.cumsum(new * bands)]).astype(np.int32)
-            keys = pa.ListArray.from_arrays(offsets, band_keys(k[new], bands, rows).ravel(), mask=pa.array(~new))
-            yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h), keys], ["_k", "_s", "_h", "_b"])
+            keys, none = band_keys(k[new], bands, rows), pa.array(~new)
+            lists = []
+            for g in groups:
+                part = np.ascontiguousarray(keys[:, g : g + AT_A_TIME])
+                lists.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(new * part.shape[1])]).astype(np.int32), part.ravel(), mask=none))
+            yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h), *lists], ["_k", "_s", "_h", *[f"_b{i}" for i in range(len(groups))]])
 
     t = _texts(df, key, columns)
-    return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint, _b array<bigint>"), "sketches")
+    arrays = ", ".join(f"_b{i} array<bigint>" for i in range(len(groups)))
+    return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint, {arrays}"), "sketches")
 
 
 def candidates(sketches: DataFrame, *, differ: int = DIFFER, hot: int = HOT) -> DataFrame:
-    """(``_sa``, ``_sb``): pairs of different signatures that share a band and differ in few bits, each once."""
-    keyed = sketches.select(F.explode("_b").alias("_b"), "_s")
-    scanned = cut(keyed.repartition("_b").sortWithinPartitions("_b", "_s").mapInArrow(_bucket_scan(differ, hot), "_b bigint, _sa bigint, _sb bigint"))
-    near = scanned.where("_b is null").select("_sa", "_sb")
-    return near.unionByName(_hot_pairs(scanned.where("_b is not null").select("_b", F.col("_sa").alias("_s")).distinct(), differ, hot)).distinct()
+    """(``_sa``, ``_sb``): pairs of different signatures that share a band and differ in few bits, each once.
+
+    A few bands are shuffled and compared at a time, so that only their keys are on disk.
+    """
+    out = None
+    for c in [c for c in sketches.columns if c.startswith("_b")]:
+        keyed = sketches.select(F.explode(c).alias("_b"), "_s")
+        scanned = written(keyed.repartition("_b").sortWithinPartitions("_b", "_s").mapInArrow(_bucket_scan(differ, hot), "_b bigint, _sa bigint, _sb bigint"), "buckets")
+        near = scanned.where("_b is null").select("_sa", "_sb")
+        if not scanned.where("_b is not null").isEmpty():
+            near = near.unionByName(_hot_pairs(scanned.where("_b is not null").select("_b", F.col("_sa").alias("_s")).distinct(), differ, hot))
+        out = near if out is None else out.unionByName(near)
+        del keyed
+        freed(sketches.sparkSession)
+    return out.distinct()
 
 
 def _bucket_scan(differ: int, hot: int):
@@ -285,13 +308,14 @@ def _bucket_scan(differ: int, hot: int):
 
 
 def _hot_pairs(rows: DataFrame, differ: int, hot: int) -> DataFrame:
-    """The near pairs of hot buckets: each is split into blocks of about ``hot`` signatures, and blocks meet in tasks of their own."""
+    """The near pairs of hot buckets: each is split into blocks of about ``hot`` signatures, and any two blocks meet once, in a task of their own."""
     blocks = rows.groupBy("_b").agg(F.ceil(F.count("*") / hot).cast("int").alias("_n"))
     placed = rows.join(blocks, "_b").withColumn("_i", F.pmod(F.xxhash64("_s"), F.col("_n")).cast("int"))
-    left = placed.select("_b", F.col("_i").alias("_x"), F.explode(F.expr("sequence(0, _n - 1)")).alias("_y"), F.col("_s").alias("_sa"))
-    right = placed.select("_b", F.col("_i").alias("_y"), F.explode(F.expr("sequence(0, _n - 1)")).alias("_x"), F.col("_s").alias("_sb"))
-    met = left.join(right, ["_b", "_x", "_y"])
-    return met.where((F.col("_sa") < F.col("_sb")) & (F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= differ)).select("_sa", "_sb")
+    left = placed.select("_b", F.col("_i").alias("_x"), F.explode(F.expr("sequence(_i, _n - 1)")).alias("_y"), F.col("_s").alias("_sa"))
+    right = placed.select("_b", F.explode(F.expr("sequence(0, _i)")).alias("_x"), F.col("_i").alias("_y"), F.col("_s").alias("_sb"))
+    met = left.join(right, ["_b", "_x", "_y"]).where((F.col("_x") < F.col("_y")) | (F.col("_sa") < F.col("_sb")))
+    near = met.where(F.bit_count(F.col("_sa").bitwiseXOR(F.col("_sb"))) <= differ)
+    return near.select(F.least("_sa", "_sb").alias("_sa"), F.greatest("_sa", "_sb").alias("_sb"))
 
 
 def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -302,7 +326,7 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
     repeated rows once; a key with several texts is in several classes. An empty table gives empty results.
     """
     table = sketched(df, key, columns, bands=bands, rows=rows)
-    near = cut(candidates(table))
+    near = written(candidates(table), "candidates")
     of = table.select("_k", "_s", "_h").distinct()
     named = of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"), F.count("*").alias("_n"))
     a, b = [named.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}")) for x in "ab"]
@@ -311,12 +335,13 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
     several = named.join(named.groupBy("_s").agg(F.count("*").alias("_m")).where("_m > 1").select("_s"), "_s", "left_semi")
     a, b = [several.select("_s", F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}")) for x in "ab"]
     within = a.join(b, "_s").where("_ha < _hb").select(columns_of)
-    both = cut(across.unionByName(within))
+    both = written(across.unionByName(within), "classes")
+    freed(df.sparkSession)
 
     need = both.select(F.explode(F.array("_a", "_b")).alias("_k")).distinct()
-    few = need.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    few = small(need, BROADCAST_KEYS)
     texts = _texts(df, key, columns).join(F.broadcast(need) if few else need, "_k", "left_semi").distinct()
-    registers = bands * rows + SIGNATURE
+    registers = max(bands * rows, SIGNATURE)
     kind = df.schema[key].dataType.simpleString()
 
     def verify(batches):
@@ -342,38 +367,49 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
     # texts without words have no class, so an empty text of a key with several texts is none of these
     joined = both.join(ta.where("_ta <> ''"), "_a").join(tb.where("_tb <> ''"), "_b")
     found = joined.mapInArrow(verify, f"_sa bigint, _ha bigint, _a {kind}, _sb bigint, _hb bigint, _b {kind}, similarity double")
-    return of, named, cut(found)
+    return of, named, written(found, "similar")
 
 
 def similar_pairs(df: DataFrame, key: str, columns: Sequence[str], *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(``a``, ``b``): every pair of keys, the smaller first, whose records are similar, copies included, each once."""
+    """(``a``, ``b``): the pairs of keys, the smaller first, whose records are similar, copies included, each once.
+
+    Every pair given is similar by count. A pair is missed with the probability that the constants ``BANDS``, ``ROWS`` and ``DIFFER`` state: two of 1,000 at
+    similarity 0.75, three of 10,000 at 0.78, 6 of 100,000 at 0.8. Copies are paired in blocks, so a class that holds a third of all records is no
+    hot key; its pairs are as many as they are.
+    """
     of, named, pairs = similar_classes(df, key, columns, threshold=threshold, bands=bands, rows=rows)
-    copied = named.where("_n > 1").select("_s", "_h")
     paired = pairs.select(F.explode(F.array(F.struct(F.col("_sa").alias("_s"), F.col("_ha").alias("_h")), F.struct(F.col("_sb").alias("_s"), F.col("_hb").alias("_h")))).alias("x")).select("x.*")
-    wanted = copied.unionByName(paired).distinct()
-    members = cut(of.join(wanted, ["_s", "_h"], "left_semi"))
-    a, b = members.withColumnRenamed("_k", "a"), members.withColumnRenamed("_k", "b")
-    alike = a.join(b, ["_s", "_h"]).where("a < b").select("a", "b")
-    ka, kb = [members.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_k").alias(f"_k{x}")) for x in "ab"]
-    across = pairs.select("_sa", "_ha", "_sb", "_hb").join(ka, ["_sa", "_ha"]).join(kb, ["_sb", "_hb"])
-    ordered = across.where("_ka <> _kb").select(F.least("_ka", "_kb").alias("a"), F.greatest("_ka", "_kb").alias("b"))
-    return alike.unionByName(ordered).distinct()
+    wanted = named.where("_n > 1").select("_s", "_h").unionByName(paired).distinct()
+    sizes = named.join(wanted, ["_s", "_h"], "left_semi").select("_s", "_h", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_m"))
+    members = written(of.join(sizes, ["_s", "_h"]).withColumn("_i", F.pmod(F.xxhash64("_k"), F.col("_m")).cast("int")), "members")
+
+    def blocks(first: str, last: str, **names: str) -> DataFrame:
+        return members.withColumn("_o", F.explode(F.expr(f"sequence({first}, {last})"))).select("_s", "_h", *[F.col(c).alias(n) for n, c in names.items()])
+
+    alike = blocks("_i", "_m - 1", _x="_i", _y="_o", _ka="_k").join(blocks("0", "_i", _x="_o", _y="_i", _kb="_k"), ["_s", "_h", "_x", "_y"]).where("_x < _y or _ka < _kb")
+    ends = [members.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_i").alias(f"_i{x}"), F.col("_k").alias(f"_k{x}")) for x in "ab"]
+    counts = [sizes.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_m").alias(f"_m{x}")) for x in "ab"]
+    met = pairs.select("_sa", "_ha", "_sb", "_hb").join(counts[0], ["_sa", "_ha"]).join(counts[1], ["_sb", "_hb"])
+    met = met.withColumn("_ia", F.explode(F.expr("sequence(0, _ma - 1)"))).withColumn("_ib", F.explode(F.expr("sequence(0, _mb - 1)")))
+    across = met.join(ends[0], ["_sa", "_ha", "_ia"]).join(ends[1], ["_sb", "_hb", "_ib"]).where("_ka <> _kb")
+    both = alike.select("_ka", "_kb").unionByName(across.select("_ka", "_kb"))
+    return both.select(F.least("_ka", "_kb").alias("a"), F.greatest("_ka", "_kb").alias("b")).distinct()
 
 
-def components(edges: DataFrame, a: str = "_a", b: str = "_b", *, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, a: str = "_a", b: str = "_b") -> DataFrame:
     """(``_v``, ``_root``): connected components of the ends of edges, by alternating large and small stars.
 
-    Each round is two shuffles of the edges, written; the number of rounds grows with the logarithm of the components' size. No
-    component is gathered in one place: the least neighbour of a vertex is a combinable minimum, joined back.
+    Each round is two shuffles of the edges, written; the number of rounds grows with the logarithm of the components' size, and rounds go on
+    until one changes nothing. No component is gathered in one place: the least neighbour of a vertex is a combinable minimum, joined back.
     """
     e = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
-    for _ in range(rounds):
+    while True:
         sym = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = sym.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        nxt = small.select(F.greatest("v", "m").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        star = large.join(least, "u")
+        nxt = star.select(F.greatest("v", "m").alias("u"), F.col("m").alias("v")).unionByName(star.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         nxt = written(nxt, "edges")
         if nxt.exceptAll(e).isEmpty() and e.exceptAll(nxt).isEmpty():
             break

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+from rulelake.llm import neardup
 from rulelake.llm.neardup import candidates, components, groups, similar_pairs, sketched
 
 SCHEMA = "ref string, emne string, tekst string, _k string, _s long, a string"
@@ -84,3 +85,28 @@ def test_other_words_of_one_signature_have_their_own_keys():
     seen = set()
     assert unseen(seen, np.array([5, 5, 5, 6]), np.array([1, 2, 1, 1])).tolist() == [True, True, False, True]
     assert unseen(seen, np.array([5, 5]), np.array([2, 3])).tolist() == [False, True]
+
+
+def test_copies_are_paired_in_blocks(spark, monkeypatch):
+    rows = records()
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    got = [tuple(r) for r in similar_pairs(frame(spark, rows), "ref", ["emne", "tekst"]).collect()]
+    want = brute(rows)
+    assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.99 * len(want)
+
+
+def test_pairs_just_above_the_threshold_are_found(spark):
+    rows, want = [], set()
+    for i in range(1500):  # 40 words of which 35 or 36 are kept: similarities of 0.778 and 0.818
+        own = [f"w{i}_{j}" for j in range(40)]
+        keep = 35 + i % 2
+        rows += [(f"a{i:04}", None, " ".join(own)), (f"b{i:04}", None, " ".join(own[:keep] + [f"x{i}_{j}" for j in range(40 - keep)]))]
+        want.add((f"a{i:04}", f"b{i:04}"))
+    got = {tuple(r) for r in similar_pairs(frame(spark, rows), "ref", ["emne", "tekst"]).collect()}
+    assert got <= want and len(got) >= 1497
+
+
+def test_a_long_chain_is_one_component(spark):
+    edges = [(i, i + 1) for i in range(3000)]
+    got = {r["_root"] for r in components(spark.createDataFrame(edges, "_a int, _b int")).collect()}
+    assert got == {0}
