@@ -61,7 +61,16 @@ def written(df: DataFrame, what: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{what}-{uuid.uuid4().hex}.parquet")
     df.write.parquet(path)
     _removed_at_end(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Removes the files of a ``written`` table that nothing reads any more."""
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(df.kept_at)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def freed(spark: SparkSession) -> None:
