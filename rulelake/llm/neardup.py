@@ -20,15 +20,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import freed, small, written
+from ..sources.tables import dropped, freed, small, written
 
 THRESHOLD = 0.75
-#: Bands and registers of a band: a pair of similarity 0.75 is found with probability 0.998, one of 0.78 with 0.9997, one of 0.8 with 0.99994, one of 0.85
-#: with all but 3 in 10 million.
-BANDS, ROWS = 32, 6
+#: Bands and registers of a band: the search misses 3.2 pairs of 1,000 at similarity 0.75, 4.4 of 10,000 at 0.78, 8 of 100,000 at 0.8, 2 of 10 million at 0.85.
+BANDS, ROWS = 40, 7
 #: Bands whose keys are shuffled and compared at a time.
 AT_A_TIME = 8
 #: Registers whose parities form the signature, and the most bits in which a pair may differ: 19 of 64 lose 7 pairs of 100,000 at similarity 0.75.
@@ -146,11 +145,10 @@ def words_hash(said: list[str]) -> int:
     return xxhash.xxh64_intdigest("\0".join(sorted(said))) - (1 << 63)
 
 
-def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        factor = _mixed(np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
-        k = (sketches[:, : bands * rows].reshape(len(sketches), bands, rows).astype(np.uint64) * factor).sum(2)
-        return _mixed(_mixed(k) + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+def band_keys(registers: str, bands: int, rows: int, group: int) -> Column:
+    """The keys of the bands of one group, from the low bytes of the registers."""
+    own = range(group * AT_A_TIME, min(bands, (group + 1) * AT_A_TIME))
+    return F.array(*[F.xxhash64(F.substring(registers, i * rows + 1, rows), F.lit(i)) for i in own])
 
 
 def joint_likelihood(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -195,11 +193,10 @@ def unseen(seen: set, s: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(``_k``, ``_s`` signature, ``_h`` hash of the words, ``_b0``, ``_b1`` and so on, each the keys of a few bands): records with words, as a written table.
+    """(``_k``, ``_s`` signature, ``_h`` hash of the words, ``_r`` low bytes of the registers): records with words, as a written table.
 
-    Band keys are null where the same task has given them for the same signature and words, so that copies add no rows to the search.
+    The registers are null where the same task has given them for the same signature and words, so that copies add no rows to the search.
     """
-    groups = range(0, bands, AT_A_TIME)
 
     def run(batches):
         sketch, seen = sketcher(max(bands * rows, SIGNATURE)), set()
@@ -212,27 +209,22 @@ def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BA
             k = sketch.sketches(said)
             s = signatures(k)
             h = np.fromiter(map(words_hash, said), np.int64, len(said))
-            new = unseen(seen, s, h)
-            keys, none = band_keys(k[new], bands, rows), pa.array(~new)
-            lists = []
-            for g in groups:
-                part = np.ascontiguousarray(keys[:, g : g + AT_A_TIME])
-                lists.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(new * part.shape[1])]).astype(np.int32), part.ravel(), mask=none))
-            yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h), *lists], ["_k", "_s", "_h", *[f"_b{i}" for i in range(len(groups))]])
+            low = k[:, : bands * rows].astype(np.uint8)
+            r = pa.array([low[i].tobytes() if new else None for i, new in enumerate(unseen(seen, s, h))], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h), r], ["_k", "_s", "_h", "_r"])
 
     t = _texts(df, key, columns)
-    arrays = ", ".join(f"_b{i} array<bigint>" for i in range(len(groups)))
-    return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint, {arrays}"), "sketches")
+    return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint, _r binary"), "sketches")
 
 
-def candidates(sketches: DataFrame, *, differ: int = DIFFER, hot: int = HOT) -> DataFrame:
+def candidates(sketches: DataFrame, *, bands: int = BANDS, rows: int = ROWS, differ: int = DIFFER, hot: int = HOT) -> DataFrame:
     """(``_sa``, ``_sb``): pairs of different signatures that share a band and differ in few bits, each once.
 
     A few bands are shuffled and compared at a time, so that only their keys are on disk.
     """
     out = None
-    for c in [c for c in sketches.columns if c.startswith("_b")]:
-        keyed = sketches.select(F.explode(c).alias("_b"), "_s")
+    for g in range(-(-bands // AT_A_TIME)):
+        keyed = sketches.where("_r is not null").select(F.explode(band_keys("_r", bands, rows, g)).alias("_b"), "_s")
         scanned = written(keyed.repartition("_b").sortWithinPartitions("_b", "_s").mapInArrow(_bucket_scan(differ, hot), "_b bigint, _sa bigint, _sb bigint"), "buckets")
         near = scanned.where("_b is null").select("_sa", "_sb")
         if not scanned.where("_b is not null").isEmpty():
@@ -326,8 +318,9 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
     repeated rows once; a key with several texts is in several classes. An empty table gives empty results.
     """
     table = sketched(df, key, columns, bands=bands, rows=rows)
-    near = written(candidates(table), "candidates")
-    of = table.select("_k", "_s", "_h").distinct()
+    near = written(candidates(table, bands=bands, rows=rows), "candidates")
+    of = written(table.select("_k", "_s", "_h").distinct(), "records")
+    dropped(table)
     named = of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"), F.count("*").alias("_n"))
     a, b = [named.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}")) for x in "ab"]
     columns_of = ["_sa", "_ha", "_a", "_sb", "_hb", "_b"]
@@ -373,8 +366,8 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
 def similar_pairs(df: DataFrame, key: str, columns: Sequence[str], *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(``a``, ``b``): the pairs of keys, the smaller first, whose records are similar, copies included, each once.
 
-    Every pair given is similar by count. A pair is missed with the probability that the constants ``BANDS``, ``ROWS`` and ``DIFFER`` state: two of 1,000 at
-    similarity 0.75, three of 10,000 at 0.78, 6 of 100,000 at 0.8. Copies are paired in blocks, so a class that holds a third of all records is no
+    Every pair given is similar by count. A pair is missed with the probability that the constants ``BANDS``, ``ROWS`` and ``DIFFER`` state: three of 1,000 at
+    similarity 0.75, four of 10,000 at 0.78, 8 of 100,000 at 0.8. Copies are paired in blocks, so a class that holds a third of all records is no
     hot key; its pairs are as many as they are.
     """
     of, named, pairs = similar_classes(df, key, columns, threshold=threshold, bands=bands, rows=rows)
