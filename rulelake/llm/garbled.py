@@ -1,10 +1,11 @@
 """Texts decoded with the wrong character encoding: found and restored by a noisy channel.
 
 A channel is a chain of steps that encode in one encoding and decode in another; it gives each letter a garbled form. A damaged token
-becomes a lattice with one path a channel, in which bytes that are lost (replacement characters, question marks inside a
-word, a lead byte without the rest) are wildcards. The paths are scored by the frequencies of the corpus's own words, which are
-counted over all texts; a path with wildcards takes every word that fits, found by an equi-join on the word with its
-non-ASCII letters masked. A Viterbi search over the damaged tokens of a field, in which a change of channel costs, picks the
+becomes a lattice: from each place lead the forms that some channel has there, and bytes that are lost (replacement characters, question marks
+in a word or at the edge of what can be none, a lead byte without the rest) are wildcards. Paths that keep to one channel come first; where all of these
+leave odd characters, paths that change the channel within the token are searched, each change at a cost. The paths are scored by the frequencies of
+the corpus's own words, which are counted over all texts; of the words that fit a path with wildcards, found by an equi-join on the word with its
+non-ASCII letters masked, the most frequent counts. A Viterbi search over the damaged tokens of a field, in which a change of channel costs, picks the
 words. A token is garbled if a channel turns it into a word of the corpus, or if it spells out whole multi-byte sequences of the
 language's letters, or has lost bytes; signs, foreign words and decomposed letters have no such reading and stay.
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import written
+from ..sources.tables import small, written
 
 #: Letters beyond ASCII that the language writes.
 LETTERS = "æøåÆØÅ"
@@ -38,8 +39,14 @@ MISREAD = ("cp1252", "latin-1", "iso8859-15", "mac_roman", "cp437", "cp850", "cp
 CHANGE, UNKNOWN, AS_IS = 4.0, 5.0, 3.0
 #: Cost of reading a character as a lost byte, and of a reading that leaves odd characters.
 LOSSY, LEFT = 3.0, 12.0
-#: Up to this many distinct damaged tokens their readings are broadcast; beyond, they are joined.
-BROADCAST_TOKENS = 200_000
+#: Up to this many distinct damaged tokens, and as many bytes, their readings are broadcast; beyond, they are joined.
+BROADCAST_TOKENS, BROADCAST_BYTES = 200_000, 64 << 20
+#: Longer tokens are no words: no paths of several channels are sought for them.
+LONGEST = 64
+#: The letters that a seven-bit national character set puts in place of ASCII signs.
+SEVEN_BIT = {"{": "æ", "|": "ø", "}": "å", "[": "Æ", "\\": "Ø", "]": "Å"}
+#: No word is of consonants alone, so a question mark after one is no question.
+CONSONANTS = "bcdfghjklmnpqrstvwxz"
 LOST = "�"
 
 
@@ -117,14 +124,49 @@ def readings(token: str, table: list, letters: str = LETTERS) -> list[tuple[str,
             if s not in out:
                 out[s] = (name, s, multi and any(h in letters for h in hits))
     if LOST in plain or "?" in plain:
-        out.setdefault(plain, ("lost", re.sub(r"(?<=\w)\?(?=\w)", LOST, plain), False))
+        out.setdefault(plain, ("lost", _MARK.sub(LOST, plain), False))
+    if have & set("{|}\\"):
+        s = plain.translate(str.maketrans(SEVEN_BIT))
+        out.setdefault(s, ("seven-bit", s, False))
     for lead in "Ãã├√Г":  # the first byte of the language's letters, without the second
         if lead in plain:
             s = plain.replace(lead, LOST)
             out.setdefault(s, ("lost>" + lead, s, False))
+    if len(plain) <= LONGEST and all(any(not c.isascii() and c not in letters for c in s) for _, s, _ in out.values()):
+        for s in mixed(plain, table, letters):
+            out.setdefault(s, ("mixed", s, False))
     return list(out.values())
 
 
+#: A question mark that can stand for a letter: within a word, before one, or after consonants alone.
+_MARK = re.compile(rf"(?<=\w)\?(?=\w)|^\?(?=\w)|(?<=^[{CONSONANTS}])\?$|(?<=^[{CONSONANTS}]{{2}})\?$|(?<=^[{CONSONANTS}]{{3}})\?$", re.IGNORECASE)
+
+
+def mixed(token: str, table: list, letters: str = LETTERS) -> list[str]:
+    """The readings of a token along paths that change the channel, the cheapest first; those that cost two changes more than the cheapest are left out."""
+    at: list[dict[tuple[str, str], float]] = [{} for _ in range(len(token) + 1)]
+    at[0][("", "")] = 0.0
+    for i, c in enumerate(token):
+        if not at[i]:
+            continue
+        forms = [(name, f, x) for name, _, chars, _, known in table if c in chars for f, x in known.items() if token.startswith(f, i)]
+        least = min(at[i].values())
+        for (said, channel), cost in at[i].items():
+            if cost > least + 2 * CHANGE:
+                continue
+            steps = [(i + len(f), said + x, name, cost + (CHANGE if channel not in ("", name) else 0.0)) for name, f, x in forms]
+            if not forms:
+                steps.append((i + 1, said + c, channel, cost + (0.0 if c.isascii() or c in letters or c == LOST else LEFT)))
+            for j, s, name, total in steps:
+                if total < at[j].get((s, name), math.inf):
+                    at[j][(s, name)] = total
+    best: dict[str, float] = {}
+    for (said, _), cost in at[-1].items():
+        best[said] = min(cost, best.get(said, math.inf))
+    least = min(best.values(), default=0.0)
+    return [s for s, cost in sorted(best.items(), key=lambda x: (x[1], x[0])) if s != token and cost <= least + 2 * CHANGE]
+
+
 def _table(letters: str) -> list:
     out = []
     for name, multi, forms in channels(letters):
@@ -151,26 +193,22 @@ def _masks(word: str, letters: str) -> list[str]:
     return [m] if short == m else [m, short]
 
 
-def _fits(reading: str, word: str) -> bool:
-    """Whether the word fits the reading, each wildcard standing for one letter or two for one."""
-    for r in {reading, reading.replace(LOST * 2, LOST)}:
-        if len(r) == len(word) and all(a == b or a == LOST for a, b in zip(r, word)):
-            return True
-    return False
-
-
 def suspicious(c: Column, letters: str = LETTERS) -> Column:
     """Whether a text has anything that a wrong encoding could have left."""
-    return c.rlike(rf"[^\x{{00}}-\x{{7f}}{letters}]") | c.rlike(r"\+[A-Za-z0-9+/]{2,}-") | c.rlike(r"\p{L}\?\p{L}")
+    mark = rf"\p{{L}}\?\p{{L}}|(?<![^\s(\"'])\?\p{{L}}|(?<![\p{{L}}\p{{N}}])(?i:[{CONSONANTS}]{{1,3}})\?"
+    return c.rlike(rf"[^\x{{00}}-\x{{7f}}{letters}]") | c.rlike(rf"\+[A-Za-z0-9+/]{{2,}}-|{mark}|\p{{L}}[{{|}}\\]|[{{|}}\\]\p{{L}}")
 
 
 #: A run of letters, digits and non-ASCII characters, with what a wrong encoding puts between them.
-TOKEN = re.compile(r"(?:[0-9A-Za-z]|[^\x00-\x7f\xa0]|(?<=[ÃÂ€])\xa0|\+[A-Za-z0-9+/]{2,}-|(?<=[^\W\d_])\?(?=[^\W\d_]))+")
+TOKEN = re.compile(
+    r"(?:[0-9A-Za-z]|[^\x00-\x7f\xa0]|(?<=[ÃÂ€])\xa0|\+[A-Za-z0-9+/]{2,}-|(?<=[^\W\d_])\?(?=[^\W\d_])"
+    rf"""|(?<![^\s("'])\?(?=[^\W\d_])|(?i:(?<=[{CONSONANTS}])\?)|(?<=[^\W\d_])[{{|}}\[\]\\]|[{{|}}\[\]\\](?=[^\W\d_]))+"""
+)
 
 
 def _odd(letters: str) -> re.Pattern:
     """What ``suspicious`` looks for, in a token."""
-    return re.compile(rf"[^\x00-\x7f{letters}]|\+[A-Za-z0-9+/]{{2,}}-|[^\W\d_]\?[^\W\d_]")
+    return re.compile(rf"[^\x00-\x7f{letters}]|\+[A-Za-z0-9+/]{{2,}}-|[^\W\d_]\?[^\W\d_]|^\?[^\W\d_]|^(?i:[{CONSONANTS}]{{1,3}})\?$|[^\W\d_][{{|}}\\]|[{{|}}\\][^\W\d_]")
 
 
 def word_counts(texts: DataFrame, text: str, letters: str = LETTERS) -> DataFrame:
@@ -220,11 +258,14 @@ def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = L
 
     read = tokens.mapInArrow(decode, "_t string, channel string, reading string, _r string, _m string, spelt boolean")
     words = word_counts(every, "text", letters).withColumn("_m", F.translate("_w", "".join(sorted({c.lower() for c in letters})), LOST * len({c.lower() for c in letters})))
-    # a reading without wildcards must be the word itself; one with wildcards any word that fits
-    same = read.join(words, "_m", "left").where(F.col("_w").isNull() | (F.col("_r") == F.col("_w")) | F.col("_r").contains(LOST) | F.col("spelt"))
-    best = same.groupBy("_t").agg(F.collect_set(F.struct("channel", "reading", "_r", "spelt", F.when((F.col("_r") == F.col("_w")) | F.col("_r").contains(LOST), F.struct("_w", "_n")).alias("word"))).alias("readings"))
+    # a reading without wildcards must be the word itself; of the words that fit one with wildcards the most frequent wins any search
+    likely = [F.expr(f"_w like {r}") for r in (f"replace(_r, '{LOST}', '_')", f"replace(replace(_r, '{LOST * 2}', '{LOST}'), '{LOST}', '_')")]
+    fits = (F.col("_r") == F.col("_w")) | (F.col("_r").contains(LOST) & (likely[0] | likely[1]))
+    option = ["_t", "channel", "reading", "_r", "spelt"]
+    known = read.join(words, "_m", "left").groupBy(*option).agg(F.max(F.when(fits, F.struct("_n", "_w"))).alias("word"))
+    best = known.groupBy("_t").agg(F.collect_list(F.struct(*option[1:], "word")).alias("readings"))
     best = written(best, "readings")
-    few = best.limit(BROADCAST_TOKENS + 1).count() <= BROADCAST_TOKENS
+    few = small(best, BROADCAST_TOKENS, BROADCAST_BYTES)
     found = (
         in_field.join(F.broadcast(best) if few else best, "_t")
         .groupBy("_k", "felt", "_id")
@@ -257,7 +298,7 @@ def _viterbi(text: str, found: dict, odd: re.Pattern) -> tuple[str, bool] | None
         sure = False
         for r in found.get(t, []):
             word = r["word"]
-            known = word is not None and word["_w"] is not None and _fits(r["_r"], word["_w"])
+            known = word is not None
             said = r["reading"]
             if known and LOST in said:
                 said = _filled(said, word["_w"])
