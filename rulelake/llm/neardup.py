@@ -32,6 +32,8 @@ BANDS, ROWS = 40, 7
 AT_A_TIME = 8
 #: Registers whose parities form the signature, and the most bits in which a pair may differ: 19 of 64 lose 7 pairs of 100,000 at similarity 0.75.
 SIGNATURE, DIFFER = 64, 19
+#: Candidates are compared by so many signatures of further registers together: 54 of 256 bits lose 3 pairs of 100,000 at similarity 0.75.
+SIGNATURES, DIFFER_ALL = 4, 54
 #: A bucket of more rows is split into blocks of so many signatures, each pair of blocks compared in a task of its own.
 HOT = 4096
 #: Parameters of the sketch: base, rate and number of levels.
@@ -134,8 +136,10 @@ def sketcher(registers: int) -> Sketcher:
     return kept[registers]
 
 
-def signatures(sketches: np.ndarray) -> np.ndarray:
-    return np.packbits((sketches[:, -SIGNATURE:] & 1).astype(np.uint8), axis=1).view(np.int64).ravel()
+def signatures(sketches: np.ndarray, number: int = 0) -> np.ndarray:
+    """The parities of the last registers, or of those so many signatures before them, as numbers."""
+    end = sketches.shape[1] - number * SIGNATURE
+    return np.packbits((sketches[:, end - SIGNATURE : end] & 1).astype(np.uint8), axis=1).view(np.int64).ravel()
 
 
 def words_hash(said: list[str]) -> int:
@@ -192,14 +196,19 @@ def unseen(seen: set, s: np.ndarray, h: np.ndarray) -> np.ndarray:
     return new
 
 
+#: The further signatures.
+_MORE = [f"_s{i}" for i in range(1, SIGNATURES)]
+
+
 def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(``_k``, ``_s`` signature, ``_h`` hash of the words, ``_r`` low bytes of the registers): records with words, as a written table.
+    """(``_k``, ``_s`` signature, ``_h`` hash of the words, ``_s1`` and so on further signatures, ``_r`` low bytes of the registers): records with words, as a
+    written table.
 
     The registers are null where the same task has given them for the same signature and words, so that copies add no rows to the search.
     """
 
     def run(batches):
-        sketch, seen = sketcher(max(bands * rows, SIGNATURE)), set()
+        sketch, seen = sketcher(max(bands * rows, SIGNATURES * SIGNATURE)), set()
         for b in batches:
             said = [words(t) for t in b.column("_t").to_pylist()]
             have = [i for i, w in enumerate(said) if w]
@@ -211,10 +220,11 @@ def sketched(df: DataFrame, key: str, columns: Sequence[str], *, bands: int = BA
             h = np.fromiter(map(words_hash, said), np.int64, len(said))
             low = k[:, : bands * rows].astype(np.uint8)
             r = pa.array([low[i].tobytes() if new else None for i, new in enumerate(unseen(seen, s, h))], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h), r], ["_k", "_s", "_h", "_r"])
+            more = [pa.array(signatures(k, i)) for i in range(1, SIGNATURES)]
+            yield pa.RecordBatch.from_arrays([b.column("_k").take(pa.array(have)), pa.array(s), pa.array(h), *more, r], ["_k", "_s", "_h", *_MORE, "_r"])
 
     t = _texts(df, key, columns)
-    return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint, _r binary"), "sketches")
+    return written(t.mapInArrow(run, f"_k {t.schema['_k'].dataType.simpleString()}, _s bigint, _h bigint, {', '.join(f'{c} bigint' for c in _MORE)}, _r binary"), "sketches")
 
 
 def candidates(sketches: DataFrame, *, bands: int = BANDS, rows: int = ROWS, differ: int = DIFFER, hot: int = HOT) -> DataFrame:
@@ -319,12 +329,14 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
     """
     table = sketched(df, key, columns, bands=bands, rows=rows)
     near = written(candidates(table, bands=bands, rows=rows), "candidates")
-    of = written(table.select("_k", "_s", "_h").distinct(), "records")
+    of = written(table.select("_k", "_s", "_h", *_MORE).distinct(), "records")
     dropped(table)
-    named = of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"), F.count("*").alias("_n"))
-    a, b = [named.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}")) for x in "ab"]
+    classes = of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in _MORE])
+    named, of = classes.drop(*_MORE), of.drop(*_MORE)
+    a, b = [classes.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}"), *[F.col(c).alias(c + x) for c in _MORE]) for x in "ab"]
     columns_of = ["_sa", "_ha", "_a", "_sb", "_hb", "_b"]
-    across = near.join(a, "_sa").join(b, "_sb").select(columns_of)
+    bits = sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in ["_s", *_MORE]), F.lit(0))
+    across = near.join(a, "_sa").join(b, "_sb").where(bits <= DIFFER_ALL).select(columns_of)
     several = named.join(named.groupBy("_s").agg(F.count("*").alias("_m")).where("_m > 1").select("_s"), "_s", "left_semi")
     a, b = [several.select("_s", F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}")) for x in "ab"]
     within = a.join(b, "_s").where("_ha < _hb").select(columns_of)
@@ -334,24 +346,30 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
     need = both.select(F.explode(F.array("_a", "_b")).alias("_k")).distinct()
     few = small(need, BROADCAST_KEYS)
     texts = _texts(df, key, columns).join(F.broadcast(need) if few else need, "_k", "left_semi").distinct()
-    registers = max(bands * rows, SIGNATURE)
+    registers = max(bands * rows, SIGNATURES * SIGNATURE)
     kind = df.schema[key].dataType.simpleString()
 
     def verify(batches):
         sketch = sketcher(registers)
+        slack = 6 * np.sqrt(threshold * (1 - threshold) / registers)
         for x in batches:
-            ta, tb = [[words(t) for t in x.column(c).to_pylist()] for c in ("_ta", "_tb")]
-            if not ta:
+            ia, ib = [x.column(c).dictionary_encode() for c in ("_ta", "_tb")]
+            said = [[words(t) for t in i.dictionary.to_pylist()] for i in (ia, ib)]  # a text that is in many pairs is read once
+            if not len(ia):
                 continue
-            na, nb = np.array(list(map(len, ta)), float), np.array(list(map(len, tb)), float)
-            likely = joint_likelihood(sketch.sketches(ta), sketch.sketches(tb), na, nb)
-            slack = 6 * np.sqrt(threshold * (1 - threshold) / registers)
+            levels, n = [sketch.sketches(w) for w in said], [np.array(list(map(len, w)), float) for w in said]
+            ia, ib = ia.indices.to_numpy(), ib.indices.to_numpy()
+            likely = joint_likelihood(levels[0][ia], levels[1][ib], n[0][ia], n[1][ib])
+            bags, hashes = [list(map(Counter, w)) for w in said], [list(map(words_hash, w)) for w in said]
+            ha, hb = x.column("_ha").to_numpy(), x.column("_hb").to_numpy()
             keep, sims = [], []
             for i in np.nonzero(likely >= threshold - slack)[0]:
-                shared = sum((Counter(ta[i]) & Counter(tb[i])).values())
-                s = shared / (len(ta[i]) + len(tb[i]) - shared)
+                p, q = ia[i], ib[i]
+                a, b = bags[0][p], bags[1][q]
+                shared = sum(min(k, b[w]) for w, k in a.items() if w in b)
+                s = shared / (n[0][p] + n[1][q] - shared)
                 # of a key with several texts only the class's own counts
-                if s >= threshold and words_hash(ta[i]) == x["_ha"][i].as_py() and words_hash(tb[i]) == x["_hb"][i].as_py():
+                if s >= threshold and hashes[0][p] == ha[i] and hashes[1][q] == hb[i]:
                     keep.append(int(i)), sims.append(s)
             at = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([*[x.column(c).take(at) for c in columns_of], pa.array(sims, pa.float64())], [*columns_of, "similarity"])
