@@ -109,37 +109,42 @@ def _utf7(token: str, letters: str) -> str:
 
 
 def readings(token: str, table: list, letters: str = LETTERS) -> list[tuple[str, str, bool]]:
-    """(channel, reading, whether whole multi-byte forms of letters are spelt out); lost bytes stay as wildcards."""
+    """(channels, reading, whether whole multi-byte forms of letters are spelt out); lost bytes stay as wildcards.
+
+    Channels that read a token alike are named together. The names ``lost`` and ``mixed`` stand for readings that fit any channel.
+    """
     plain = unicodedata.normalize("NFC", token)
-    out: dict[str, tuple[str, str, bool]] = {}
+    out: dict[str, tuple[list[str], bool]] = {}
+
+    def add(s: str, channel: str, spelt: bool = False) -> None:
+        names, before = out.get(s, ([], False))
+        if channel not in ("lost", "mixed") or not names:
+            out[s] = (names + [channel], before or spelt)
+
     if "+" in plain and (s := _utf7(plain, letters)) != plain:
-        out[s] = ("utf-7", s, True)
+        add(s, "utf-7", True)
     have = set(plain)
     for name, multi, chars, find, forms in table:
         if not have & chars:
             continue
         hits = [forms[m] for m in find.findall(plain)]
         if hits:
-            s = find.sub(lambda m: forms[m[0]], plain)
-            if s not in out:
-                out[s] = (name, s, multi and any(h in letters for h in hits))
+            add(find.sub(lambda m: forms[m[0]], plain), name, multi and any(h in letters for h in hits))
     if LOST in plain or "?" in plain:
-        out.setdefault(plain, ("lost", _MARK.sub(LOST, plain), False))
-    if have & set("{|}\\"):
-        s = plain.translate(str.maketrans(SEVEN_BIT))
-        out.setdefault(s, ("seven-bit", s, False))
+        add(_MARK.sub(LOST, plain), "lost")
+    if have & set(SEVEN_BIT):
+        add(plain.translate(str.maketrans(SEVEN_BIT)), "seven-bit")
     for lead in "Ãã├√Г":  # the first byte of the language's letters, without the second
         if lead in plain:
-            s = plain.replace(lead, LOST)
-            out.setdefault(s, ("lost>" + lead, s, False))
-    if len(plain) <= LONGEST and all(any(not c.isascii() and c not in letters for c in s) for _, s, _ in out.values()):
+            add(plain.replace(lead, LOST), "lost")
+    if len(plain) <= LONGEST and all(any(not c.isascii() and c not in letters for c in s) for s in out):
         for s in mixed(plain, table, letters):
-            out.setdefault(s, ("mixed", s, False))
-    return list(out.values())
+            add(s, "mixed")
+    return [(",".join(names), s, spelt) for s, (names, spelt) in out.items()]
 
 
-#: A question mark that can stand for a letter: within a word, before one, or after consonants alone.
-_MARK = re.compile(rf"(?<=\w)\?(?=\w)|^\?(?=\w)|(?<=^[{CONSONANTS}])\?$|(?<=^[{CONSONANTS}]{{2}})\?$|(?<=^[{CONSONANTS}]{{3}})\?$", re.IGNORECASE)
+#: A question mark that can stand for a letter: within a word, before one, or after a consonant.
+_MARK = re.compile(rf"(?<=\w)\?(?=\w)|^\?(?=\w)|(?<=[{CONSONANTS}])\?$", re.IGNORECASE)
 
 
 def mixed(token: str, table: list, letters: str = LETTERS) -> list[str]:
@@ -211,6 +216,48 @@ def _odd(letters: str) -> re.Pattern:
     return re.compile(rf"[^\x00-\x7f{letters}]|\+[A-Za-z0-9+/]{{2,}}-|[^\W\d_]\?[^\W\d_]|^\?[^\W\d_]|^(?i:[{CONSONANTS}]{{1,3}})\?$|[^\W\d_][{{|}}\\]|[{{|}}\\][^\W\d_]")
 
 
+#: What may be damage in a field that has a token of the same kind which is odd in itself: question marks at a word's end, brackets in or before a word.
+_ALSO = [(re.compile(r"\?"), re.compile(r"\?$")), (re.compile(r"[{|}\\]"), re.compile(r"[\[\]](?=[^\W\d_])|(?<=[^\W\d_])[\[\]]"))]
+
+
+def damaged_tokens(text: str, odd: re.Pattern) -> list[str]:
+    """The distinct tokens of a text that a wrong encoding may have damaged."""
+    tokens = list(dict.fromkeys(TOKEN.findall(text)))
+    hit = [t for t in tokens if odd.search(t)]
+    also = [soft for hard, soft in _ALSO if any(hard.search(t) for t in hit)]
+    return [*hit, *[t for t in tokens if t not in hit and any(p.search(t) for p in also)]] if also else hit
+
+
+#: Letters on each side of a lost one by which it is guessed, the most first; the share that a guess must have to count as restored.
+AROUND, CERTAIN = (4, 3, 2, 1), 0.9
+
+
+def guesses(lost: DataFrame, words: DataFrame, letters: str = LETTERS) -> DataFrame:
+    """(``_r``, ``guess``): readings with lost letters that no word fits, each lost letter filled with the one that the corpus's words have most often between
+    the same letters, as many on each side as are known there.
+
+    ``words`` has ``_w``, ``_m`` and ``_n``; contexts are keys of an equi-join, in which all letters beyond ASCII are masked alike. ``guess`` is a word and
+    whether each of its guesses has a large share.
+    """
+    low = "".join(sorted({c.lower() for c in letters}))
+    edge = max(AROUND)
+
+    def contexts(mask: str) -> Column:
+        padded = F.concat(F.lit("^" * edge), mask, F.lit("$" * edge))
+        return F.explode(F.array(*[F.struct(F.lit(k).alias("k"), padded.substr(F.col("i") + (edge + 1 - k), F.lit(2 * k + 1)).alias("context")) for k in AROUND])).alias("x")
+
+    letter = words.select("_m", "_n", F.posexplode(F.split("_w", "")).alias("i", "c")).where(F.lit(low).contains(F.col("c")) & (F.col("c") != ""))
+    seen = letter.select("c", "_n", contexts("_m")).groupBy("x.context", "c").agg(F.sum("_n").alias("n"))
+    holes = lost.select("_r", F.replace("_r", F.lit(LOST * 2), F.lit(LOST)).alias("r")).distinct()
+    masked = holes.withColumn("m", F.translate("r", low, LOST * len(low)))
+    asked = masked.select("_r", "r", "m", F.posexplode(F.split("r", "")).alias("i", "c")).where(F.col("c") == LOST).select("_r", "r", "i", contexts("m")).select("_r", "r", "i", "x.k", "x.context")
+    each = asked.join(seen, "context").groupBy("_r", "r", "i", "k").agg(F.max(F.struct("n", "c")).alias("best"), F.sum("n").alias("all"))
+    one = each.groupBy("_r", "r", "i").agg(F.max(F.struct("k", "best", "all")).alias("b"))
+    filled = one.groupBy("_r", "r").agg(F.map_from_entries(F.collect_list(F.struct("i", F.col("b.best.c")))).alias("at"), F.min(F.col("b.best.n") / F.col("b.all")).alias("share"))
+    word = F.array_join(F.expr(f"transform(split(r, ''), (c, i) -> if(c = '{LOST}', coalesce(at[i], c), c))"), "")
+    return filled.select("_r", F.struct(word.alias("_w"), (F.col("share") >= CERTAIN).alias("sure")).alias("guess")).where(~F.col("guess._w").contains(LOST))
+
+
 def word_counts(texts: DataFrame, text: str, letters: str = LETTERS) -> DataFrame:
     """(``_w``, ``_n``): how often each word with a letter beyond ASCII occurs in all texts, in lower case."""
     low = "".join(sorted({c.lower() for c in letters}))
@@ -221,7 +268,7 @@ def word_counts(texts: DataFrame, text: str, letters: str = LETTERS) -> DataFram
 def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = LETTERS) -> DataFrame:
     """(key, ``felt``, ``tekst``, ``complete``): each garbled field of a record with its text restored as far as it can be.
 
-    ``complete`` tells whether every damaged token was. Null and empty fields are never garbled; nor are rows with a null key.
+    ``complete`` tells whether every damaged token was, with no letter guessed by a small majority. Null and empty fields are never garbled; nor are rows with a null key.
     Repeated rows count once; a key whose field has several texts has a row for each garbled one. An empty table gives an empty result.
     """
     kind = df.schema[key].dataType.simpleString()
@@ -234,9 +281,8 @@ def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = L
         for b in batches:
             at, out = [], []
             for i, text in enumerate(b.column("text").to_pylist()):
-                for t in dict.fromkeys(TOKEN.findall(text)):
-                    if odd.search(t):
-                        at.append(i), out.append(t)
+                for t in damaged_tokens(text, odd):
+                    at.append(i), out.append(t)
             at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([*[b.column(c).take(at) for c in ("_k", "felt", "_id")], pa.array(out, pa.string())], ["_k", "felt", "_id", "_t"])
 
@@ -262,8 +308,9 @@ def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = L
     likely = [F.expr(f"_w like {r}") for r in (f"replace(_r, '{LOST}', '_')", f"replace(replace(_r, '{LOST * 2}', '{LOST}'), '{LOST}', '_')")]
     fits = (F.col("_r") == F.col("_w")) | (F.col("_r").contains(LOST) & (likely[0] | likely[1]))
     option = ["_t", "channel", "reading", "_r", "spelt"]
-    known = read.join(words, "_m", "left").groupBy(*option).agg(F.max(F.when(fits, F.struct("_n", "_w"))).alias("word"))
-    best = known.groupBy("_t").agg(F.collect_list(F.struct(*option[1:], "word")).alias("readings"))
+    known = written(read.join(words, "_m", "left").groupBy(*option).agg(F.max(F.when(fits, F.struct("_n", "_w"))).alias("word")), "known")
+    guessed = guesses(known.where(F.col("word").isNull() & F.col("_r").contains(LOST)), words, letters)
+    best = known.join(guessed, "_r", "left").groupBy("_t").agg(F.collect_list(F.struct(*option[1:], "word", "guess")).alias("readings"))
     best = written(best, "readings")
     few = small(best, BROADCAST_TOKENS, BROADCAST_BYTES)
     found = (
@@ -289,59 +336,60 @@ def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = L
 
 def _viterbi(text: str, found: dict, odd: re.Pattern) -> tuple[str, bool] | None:
     """The restored text and whether all of it was; None if nothing in the text is garbled."""
-    garbled, spans = LOST in text, []
+    spans, sure, lossy = [], set(), LOST in text
     for m in TOKEN.finditer(text):
         t = m[0]
-        if t not in found and LOST not in t:
-            continue
-        options = [("", t, -AS_IS - math.log(1e6), False)]
-        sure = False
+        if t in found or LOST in t:
+            spans.append((m.start(), m.end(), t))
+            for r in found.get(t, []):
+                if r["word"] is not None or r["spelt"]:
+                    sure.add(t)
+                    lossy = lossy or r["channel"] == "lost"
+    if not sure and LOST not in text:
+        return None
+    unknown = math.log(1e6)
+    best = {None: 0.0}  # per channel the score of the best path so far; none is free to become any
+    trail = []
+    for _, _, t in spans:
+        # a damaged token is not left as it is
+        as_is = unknown + AS_IS * (10 if t in sure or (lossy and (LOST in t or "?" in t)) else 1)
+        options = [("", t, -as_is, True)]
         for r in found.get(t, []):
-            word = r["word"]
-            known = word is not None
-            said = r["reading"]
-            if known and LOST in said:
-                said = _filled(said, word["_w"])
-            sure = sure or known or r["spelt"]
-            score = math.log(word["_n"] / 1e6) if known else -math.log(1e6) - (1.0 if r["spelt"] else UNKNOWN)
-            if r["channel"].startswith("lost"):
-                score -= LOSSY
+            word, guess, said, firm = r["word"], r["guess"], r["reading"], True
+            score = math.log(word["_n"] / 1e6) if word is not None else -unknown - (1.0 if r["spelt"] else UNKNOWN)
+            if LOST in said and (word is not None or guess is not None):
+                firm = word is not None or guess["sure"]
+                said = _filled(said, (word or guess)["_w"])
+            score -= {"lost": LOSSY, "mixed": CHANGE}.get(r["channel"], 0.0)
             if odd.search(said):
                 score -= LEFT
-            options.append((r["channel"], said, score, True))
-        garbled = garbled or sure
-        if sure:  # a damaged token is not left as it is
-            options[0] = ("", t, -10 * AS_IS - math.log(1e6), False)
-        spans.append((m.start(), m.end(), options, sure))
-    if not garbled:
-        return None
-    best = [("", 0.0, None)]  # per channel the best path so far: (channel, score, back pointer)
-    trail = []
-    for _, _, options, _ in spans:
-        now: dict[str, tuple[float, int, str]] = {}
-        top = max(range(len(best)), key=lambda i: best[i][1])
-        at = {c: i for i, (c, _, _) in enumerate(best)}
-        for c, said, score, _ in options:
-            stay = best[at[c]][1] if c in at else -math.inf
-            move = best[top][1] - CHANGE
-            s, back = (stay, at[c]) if stay >= move else (move, top)
-            if c not in now or s + score > now[c][0]:
-                now[c] = (s + score, back, said)
-        trail.append(list(now.values()))
-        best = [(c, s, None) for c, (s, _, _) in now.items()]
-    words: list[str] = []
-    if trail:
-        i = max(range(len(best)), key=lambda i: best[i][1])
-        for level in reversed(trail):
-            _, back, said = level[i]
-            words.append(said)
-            i = back
-        words.reverse()
+            options.append((r["channel"], said, score, firm))
+        now: dict[str | None, tuple[float, str | None, str, bool]] = {}
+        top = max(best, key=best.__getitem__)
+        for channels, said, score, firm in options:
+            if channels in ("lost", "mixed"):
+                steps = [(c, s + score, c) for c, s in best.items()]
+            else:
+                ways = [max((s - (0.0 if c in (None, name) else CHANGE), str(c), c) for c, s in ((name, best.get(name, -math.inf)), (None, best.get(None, -math.inf)), (top, best[top]))) for name in channels.split(",")]
+                steps = [(name, s + score, c) for name, (s, _, c) in zip(channels.split(","), ways)]
+            for c, s, back in steps:
+                if c not in now or s > now[c][0]:
+                    now[c] = (s, back, said, firm)
+        trail.append(now)
+        best = {c: x[0] for c, x in now.items()}
+    said: list[tuple[str, bool]] = []
+    at = max(best, key=best.__getitem__)
+    for level in reversed(trail):
+        _, back, word, firm = level[at]
+        said.append((word, firm))
+        at = back
     parts, last, complete = [], 0, True
-    for (a, b, _, sure), said in zip(spans, words):
-        parts += [text[last:a], said]
+    for (a, b, t), (word, firm) in zip(spans, reversed(said)):
+        if t[0] in LOST + "?" and word[:1].isalpha() and (not text[:a].strip() or text[:a].rstrip()[-1] in ".!:"):
+            word = word[0].upper() + word[1:]  # a lost first letter of a sentence
+        parts += [text[last:a], word]
         last = b
-        complete = complete and not (sure and odd.search(said))
+        complete = complete and firm and not (t in sure and odd.search(word))
     parts.append(text[last:])
     whole = "".join(parts)
     return whole, complete and LOST not in whole
