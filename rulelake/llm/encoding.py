@@ -1,10 +1,11 @@
 """Encoding of a corpus with a public byte-level BPE tokenizer: overlapping chunks, stitched where boundaries agree.
 
 A text of at most ``CHUNK`` characters is encoded as it is. A longer one is cut into chunks that overlap, which are pre-tokenised
-in parallel, each from its own start. A boundary between pre-tokens, not after white space, that two neighbouring chunks both have in their overlap is
-a true one, by induction from the first chunk, as what follows a boundary is split alike whatever came before. The chunks are
-cut at the first such boundary and their pieces encoded in parallel. A text in which two chunks never agree, such as one word
-longer than the overlap, is encoded as a whole.
+in parallel, each from its own start. Boundaries between pre-tokens count where they are true whatever comes before: in front of white space, and between a letter
+and a digit or a letter or digit and a sign, as no pre-token holds these. The chunks are cut at the first such boundary that two neighbours
+both have in their overlap, and their pieces encoded in parallel. Where two chunks have none in common, as within one word longer than the overlap, they are
+not cut, and their piece goes on to the next joint that has one: what one task encodes is bounded by the longest pre-token, which
+no tokenizer can split, and two chunks.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import cut, written
@@ -82,16 +83,19 @@ def _chunks(df: DataFrame, key: str, text: str, chunk: int, overlap: int) -> Dat
     return df.select(key, text).mapInArrow(run, _schema(df, [key], f"i int, last boolean, `{text}` string"))
 
 
+#: Where no pre-token can reach across, whatever comes before.
+TRUE = r"(?<=[^\s\x1c-\x1f])(?=[ \n\r\t])|(?<=\p{L})(?=\p{N})|(?<=\p{N})(?=\p{L})|(?<=[\p{L}\p{N}])(?=[^\s\p{L}\p{N}\x1c-\x1f])"
+
+
 def _boundaries(chunks: DataFrame, key: str, text: str, chunk: int, overlap: int) -> DataFrame:
     """Rows of (key, at, head, tail): boundaries near the joint ``at``, counted from it, as the chunk after and before it has them."""
 
     def run(batches):
-        split, space = regex.compile(PATTERN), regex.compile(r"\s")
+        split, true = regex.compile(PATTERN), regex.compile(TRUE)
         for b in batches:
             keys, ats, heads, tails = [], [], [], []
             for k, i, last, t in zip(*[b.column(c).to_pylist() for c in (key, "i", "last", text)]):
-                # not after white space: how that is split depends on what follows, which a piece that ends there would not see
-                starts = [m.start() for m in split.finditer(t) if m.start() and not space.match(t, m.start() - 1)]
+                starts = [m.start() for m in split.finditer(t) if m.start() and true.match(t, m.start())]
                 if i:
                     keys.append(k), ats.append(i), heads.append([s for s in starts if s < overlap]), tails.append(None)
                 if not last:
@@ -104,28 +108,26 @@ def _boundaries(chunks: DataFrame, key: str, text: str, chunk: int, overlap: int
 
 def _encode_long(df: DataFrame, key: str, text: str, directory: str, chunk: int, overlap: int) -> DataFrame:
     """(key, i, ids): the pieces of long texts in order."""
-    chunks = written(_chunks(df, key, text, chunk, overlap).repartition(key, "i"), "chunks")  # of long texts only; read three times
+    chunks = written(_chunks(df, key, text, chunk, overlap).repartition(key, "i"), "chunks")  # of long texts only; read twice
     near = _boundaries(chunks, key, text, chunk, overlap).groupBy(key, "at").agg(F.first("head", True).alias("head"), F.first("tail", True).alias("tail"))
     cuts = near.select(key, F.col("at").alias("i"), F.array_min(F.array_intersect("head", "tail")).alias("start"))
-    cuts = cut(cuts)  # small: a number a chunk; used three times
-    torn = cuts.where("start is null").select(key).distinct()
-    ends = cuts.select(key, (F.col("i") - 1).alias("i"), F.col("start").alias("end"))
-    pieces = (
-        chunks.join(torn, key, "left_anti")
-        .join(cuts, [key, "i"], "left")
-        .join(ends, [key, "i"], "left")
-        .select(key, "i", F.expr(f"substring(`{text}`, coalesce(start, 0) + 1, coalesce(end + {chunk}, length(`{text}`)) - coalesce(start, 0))").alias(text))
-    )
-    whole = df.join(torn, key, "left_semi").select(key, F.lit(0).alias("i"), text)
-    both = pieces.unionByName(whole)
+    cuts = cut(cuts)  # small: a number a chunk; used twice
+    ends = cuts.select(key, (F.col("i") - 1).alias("i"), F.coalesce(F.col("start"), F.lit(0)).alias("end"), F.col("start").isNull().alias("goes_on"))
+    own = F.expr(f"substring(`{text}`, coalesce(start, 0) + 1, coalesce(end + {chunk}, length(`{text}`)) - coalesce(start, 0))")
+    pieces = chunks.join(cuts, [key, "i"], "left").join(ends, [key, "i"], "left").select(key, "i", "goes_on", ((F.col("i") > 0) & F.col("start").isNull()).alias("follows"), own.alias(text))
+    torn = F.col("follows") | F.coalesce(F.col("goes_on"), F.lit(False))
+    # the few pieces with a joint that has no cut are put together again, up to the next that has one
+    first = F.max(F.when(~F.col("follows"), F.col("i"))).over(Window.partitionBy(key).orderBy("i"))
+    joined = pieces.where(torn).withColumn("_f", first).groupBy(key, "_f").agg(F.array_join(F.expr(f"transform(array_sort(collect_list(struct(i, `{text}` as t))), x -> x.t)"), "").alias(text))
+    both = pieces.where(~torn).select(key, "i", text).unionByName(joined.select(key, F.col("_f").alias("i"), text))
     return both.mapInArrow(_encode_batches(text, [key, "i"], False, directory), _schema(both, [key, "i"], "ids array<int>"))
 
 
 def encoded(df: DataFrame, key: str = "doc_id", text: str = "text", *, directory: str = TOKENIZERS, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(key, ids): the token ids of every text, without special tokens; text that looks like one is plain text.
 
-    An empty list for an empty or null text. ``key`` must be unique; a null key is kept for a short text only, as are its
-    repetitions. Other columns are ignored.
+    An empty list for an empty or null text. ``key`` must be unique; rows with a null key are kept as they are, and a long text without a key is
+    encoded in one task. Other columns are ignored.
     """
     rows = df.select(key, text)
     short = rows.where(F.col(text).isNull() | (F.length(text) <= chunk) | F.col(key).isNull())

@@ -201,7 +201,14 @@ def _masks(word: str, letters: str) -> list[str]:
 def suspicious(c: Column, letters: str = LETTERS) -> Column:
     """Whether a text has anything that a wrong encoding could have left."""
     mark = rf"\p{{L}}\?\p{{L}}|(?<![^\s(\"'])\?\p{{L}}|(?<![\p{{L}}\p{{N}}])(?i:[{CONSONANTS}]{{1,3}})\?"
-    return c.rlike(rf"[^\x{{00}}-\x{{7f}}{letters}]") | c.rlike(rf"\+[A-Za-z0-9+/]{{2,}}-|{mark}|\p{{L}}[{{|}}\\]|[{{|}}\\]\p{{L}}")
+    sign = c.contains("{") | c.contains("|") | c.contains("}") | c.contains("\\")
+    # the rare signs are looked for first, which is quick
+    return (
+        c.rlike(rf"[^\x{{00}}-\x{{7f}}{letters}]")
+        | (c.contains("+") & c.rlike(r"\+[A-Za-z0-9+/]{2,}-"))
+        | (c.contains("?") & c.rlike(mark))
+        | (sign & c.rlike(r"\p{L}[{|}\\]|[{|}\\]\p{L}"))
+    )
 
 
 #: A run of letters, digits and non-ASCII characters, with what a wrong encoding puts between them.
@@ -304,6 +311,7 @@ def restored(df: DataFrame, key: str, fields: Sequence[str], *, letters: str = L
 
     read = tokens.mapInArrow(decode, "_t string, channel string, reading string, _r string, _m string, spelt boolean")
     words = word_counts(every, "text", letters).withColumn("_m", F.translate("_w", "".join(sorted({c.lower() for c in letters})), LOST * len({c.lower() for c in letters})))
+    words = written(words, "words")  # used for the words that fit and for the letters around lost ones
     # a reading without wildcards must be the word itself; of the words that fit one with wildcards the most frequent wins any search
     likely = [F.expr(f"_w like {r}") for r in (f"replace(_r, '{LOST}', '_')", f"replace(replace(_r, '{LOST * 2}', '{LOST}'), '{LOST}', '_')")]
     fits = (F.col("_r") == F.col("_w")) | (F.col("_r").contains(LOST) & (likely[0] | likely[1]))

@@ -45,46 +45,65 @@ _SHORT = re.compile(r"(?:\b(?:pr|nr|ca|jf|dvs|fx|vgl|bzw|St|Dr|No)|\b\w\.\w)\.$"
 _NOT_TEXT = re.compile(r"^\s*(?:\||\[\w+ \d+\]\s*$)|\t\S")
 
 
-def sentences(text: str) -> list[tuple[int, str]]:
-    """(paragraph, sentence): paragraphs are runs of non-blank lines, numbered from 0; rows of tables and page marks are no sentences."""
-    out: list[tuple[int, str]] = []
-    lines: list[str] = []
+def spans(text: str) -> list[tuple[int, str, int, int]]:
+    """(paragraph, sentence, start, end): paragraphs are runs of non-blank lines, numbered from 0; rows of tables and page marks are no sentences.
+
+    A sentence has its lines joined by blanks; start and end are its place in the text.
+    """
+    out: list[tuple[int, str, int, int]] = []
+    lines: list[tuple[str, int]] = []
     para = -1
 
     def close() -> None:
         if not lines:
             return
-        run = " ".join(lines)
-        if "̀" <= max(run) and any("̀" <= c <= "ͯ" for c in run):
-            run = unicodedata.normalize("NFC", run)
+        run = " ".join(line for line, _ in lines)
+        begins = np.cumsum([0, *[len(line) + 1 for line, _ in lines]])
+
+        def place(i: int) -> int:
+            k = int(np.searchsorted(begins, i, "right")) - 1
+            return lines[k][1] + i - int(begins[k])
+
+        def add(a: int, b: int) -> None:
+            said = run[a:b]
+            if "̀" <= max(said, default="") and any("̀" <= c <= "ͯ" for c in said):
+                said = unicodedata.normalize("NFC", said)
+            out.append((para, said, place(a), place(b - 1) + 1 if b > a else place(a)))
+
         start = 0
         for m in _END.finditer(run):
             head = run[max(start, m.start() - 8) : m.start()]
             nxt = run[m.end() : m.end() + 1]
             if nxt.islower() or (_DAY.search(head) and _MONTH.match(run, m.end())) or _SHORT.search(head):
                 continue
-            out.append((para, run[start : m.start()]))
+            add(start, m.start())
             start = m.end()
-        out.append((para, run[start:]))
+        add(start, len(run))
         lines.clear()
 
-    open_ = False
+    open_, at = False, 0
     for line in text.split("\n"):
         bare = line.strip()
         if not bare:
             close()
             open_ = False
-            continue
-        if not open_:
-            open_, para = True, para + 1
-        if _NOT_TEXT.search(line):
-            close()
         else:
-            lines.append(bare)
+            if not open_:
+                open_, para = True, para + 1
+            if _NOT_TEXT.search(line):
+                close()
+            else:
+                lines.append((bare, at + len(line) - len(line.lstrip())))
+        at += len(line) + 1
     close()
     return out
 
 
+def sentences(text: str) -> list[tuple[int, str]]:
+    """(paragraph, sentence), as in ``spans``."""
+    return [(p, s) for p, s, _, _ in spans(text)]
+
+
 def _grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """The codes of the 4-grams of the texts one after the other, and the text that each belongs to."""
     joined = " ".join(texts) + " "
@@ -198,6 +217,65 @@ def label_language(label: Column | str, languages: Sequence[str] = LANGUAGES) ->
     return F.when(part.isin(*languages), part)
 
 
+def _fitted(df: DataFrame, key: str, text: str, label: str, languages: Sequence[str], fit_rows: int):
+    """The rows with their label as a language, and the model of the sample, sent to the tasks."""
+    rows = df.select(key, text, label_language(label, languages).alias("label"))
+    labelled = rows.where(F.col("label").isNotNull())
+    # the hash range that holds about twice the sample, so that no task offers more than its part of it
+    part = min(1.0, 2 * fit_rows / max(1, labelled.count()))
+    near = labelled.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(part * (1 << 30)))
+    sample = near.where(F.length(text).between(20, FIT_CHARS)).orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(fit_rows)
+    at = {lang: i for i, lang in enumerate(languages)}
+    model = fit([(r[0], at[r[1]]) for r in sample.select(text, "label").collect()], len(languages))
+    return rows, df.sparkSession.sparkContext.broadcast(model)
+
+
+def _judged(model: np.ndarray, texts: Sequence[str | None]) -> tuple[np.ndarray, ...]:
+    """Of the sentences of texts that are in a language: text, paragraph, words, posteriors of the languages, start and end."""
+    found = [spans(t) if t else [] for t in texts]
+    said = [s for f in found for _, s, _, _ in f]
+    doc = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+    para, start, end = [np.array([x[i] for f in found for x in f], np.int64) for i in (0, 2, 3)]
+    if not said or not model.any():
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros((0, len(model))), none, none
+    words = np.array([sum(any(map(str.isalnum, w)) for w in s.split()) for s in said], np.int64)
+    gram, owner = _grams(said)
+    scores = np.stack([np.bincount(owner, model[j][gram], len(said)) for j in range(len(model))], 1)
+    spelt = np.array([sum(any(map(str.isalpha, w)) for w in s.split()) for s in said], np.int64)
+    use = (np.bincount(owner, minlength=len(said)) > 0) & (2 * spelt >= words) & (words > 0)  # lists of numbers are in no language
+    return doc[use], para[use], words[use], mixture(scores[use], doc[use], len(texts)), start[use], end[use]
+
+
+def passages(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", *, languages: Sequence[str] = LANGUAGES, fit_rows: int = FIT_ROWS, block: int = 200) -> DataFrame:
+    """(key, para, ``start``, ``end``, lang, confidence): the runs of sentences in one language within a paragraph, by the characters of the text they take.
+
+    Cases as in ``detected``; a text without letters has no row.
+    """
+    rows, shared = _fitted(df, key, text, label, languages, fit_rows)
+    kind = df.schema[key].dataType.simpleString()
+    names = np.array(languages, object)
+
+    def run(batches):
+        for b in batches:
+            keys, texts = b.column(key), b.column(text).to_pylist()
+            for lo in range(0, len(texts), block):
+                doc, para, words, post, start, end = _judged(shared.value, texts[lo : lo + block])
+                best, sure = post.argmax(1), post.max(1, initial=0.0)
+                first = np.ones(len(doc), bool)
+                first[1:] = (doc[1:] != doc[:-1]) | (para[1:] != para[:-1]) | (best[1:] != best[:-1])
+                at = np.nonzero(first)[0]
+                last = np.r_[at[1:], len(doc)] - 1 if len(at) else at
+                n = np.add.reduceat(words, at) if len(at) else words
+                conf = np.add.reduceat(words * sure, at) / n if len(at) else sure
+                yield pa.RecordBatch.from_arrays(
+                    [keys.slice(lo, block).take(pa.array(doc[at])), pa.array(para[at].astype(np.int32)), pa.array(start[at]), pa.array(end[last]), pa.array(names[best[at]].tolist(), pa.string()), pa.array(conf.astype(float))],
+                    [key, "para", "start", "end", "lang", "confidence"],
+                )
+
+    return rows.select(key, text).mapInArrow(run, f"`{key}` {kind}, para int, start bigint, end bigint, lang string, confidence double")
+
+
 def detected(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", *, languages: Sequence[str] = LANGUAGES, fit_rows: int = FIT_ROWS, block: int = 200) -> DataFrame:
     """One row a document (``para`` null) and one a paragraph and language of its sentences.
 
@@ -206,45 +284,21 @@ def detected(df: DataFrame, key: str = "doc_id", text: str = "text", label: str
     null ``lang`` and confidence 0, and no paragraphs. Null texts count as empty. Repeated rows give repeated results. Without labelled
     rows nothing can be fitted and every language is null.
     """
-    spark = df.sparkSession
-    rows = df.select(key, text, label_language(label, languages).alias("label"))
-    labelled = rows.where(F.col("label").isNotNull())
-    # the hash range that holds about twice the sample, so that no task offers more than its part of it
-    part = min(1.0, 2 * fit_rows / max(1, labelled.count()))
-    near = labelled.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(part * (1 << 30)))
-    sample = near.where(F.length(text).between(20, FIT_CHARS)).orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(fit_rows)
-    at = {lang: i for i, lang in enumerate(languages)}
-    fitted = fit([(r[0], at[r[1]]) for r in sample.select(text, "label").collect()], len(languages))
-    shared = spark.sparkContext.broadcast(fitted)
+    rows, shared = _fitted(df, key, text, label, languages, fit_rows)
     kind = df.schema[key].dataType.simpleString()
     names = np.array(languages, object)
 
     def run(batches):
-        model = shared.value
         for b in batches:
-            keys, labels = b.column(key), b.column("label").to_pylist()
-            texts = b.column(text).to_pylist()
+            keys, labels, texts = b.column(key), b.column("label").to_pylist(), b.column(text).to_pylist()
             for lo in range(0, len(texts), block):
-                yield from part(model, keys.slice(lo, block), labels[lo : lo + block], texts[lo : lo + block])
+                yield from part(shared.value, keys.slice(lo, block), labels[lo : lo + block], texts[lo : lo + block])
 
     def part(model, keys, labels, texts):
-        found = [sentences(t) if t else [] for t in texts]
-        doc = np.repeat(np.arange(len(texts)), [len(f) for f in found])
-        para = np.array([p for f in found for p, _ in f], np.int64)
-        said = [s for f in found for _, s in f]
+        doc, para, words, post, _, _ = _judged(model, texts)
         out = {c: [] for c in ("i", "para", "lang", "confidence", "share", "longest")}
         known = np.zeros(len(texts), bool)
-        if said and model.any():
-            words = np.array([sum(any(map(str.isalnum, w)) for w in s.split()) for s in said], np.int64)
-            gram, owner = _grams(said)
-            scores = np.stack([np.bincount(owner, model[j][gram], len(said)) for j in range(len(names))], 1)
-            spelt = np.array([sum(any(map(str.isalpha, w)) for w in s.split()) for s in said], np.int64)
-            use = (np.bincount(owner, minlength=len(said)) > 0) & (2 * spelt >= words) & (words > 0)  # lists of numbers are in no language
-            doc, para, words, scores = doc[use], para[use], words[use], scores[use]
-        else:
-            doc = doc[:0]
         if len(doc):
-            post = mixture(scores, doc, len(texts))
             best = post.argmax(1)
             sure = post.max(1)
             for by, first in ((doc * (2 << 31), False), (doc * (2 << 31) + para + 1, True)):

@@ -29,7 +29,7 @@ THRESHOLD = 0.75
 #: Bands and registers of a band: the search misses 3.2 pairs of 1,000 at similarity 0.75, 4.4 of 10,000 at 0.78, 8 of 100,000 at 0.8, 2 of 10 million at 0.85.
 BANDS, ROWS = 40, 7
 #: Bands whose keys are shuffled and compared at a time.
-AT_A_TIME = 8
+AT_A_TIME = 10
 #: Registers whose parities form the signature, and the most bits in which a pair may differ: 19 of 64 lose 7 pairs of 100,000 at similarity 0.75.
 SIGNATURE, DIFFER = 64, 19
 #: Candidates are compared by so many signatures of further registers together: 54 of 256 bits lose 3 pairs of 100,000 at similarity 0.75.

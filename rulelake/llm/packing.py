@@ -3,7 +3,7 @@
 Only the histogram, at most one entry a size up to the capacity, comes to the driver. There, large sizes are rounded up within groups of
 equal cardinality; a linear programme over the configurations of the few rounded sizes, solved by column generation, gives
 patterns and how many containers follow each; the actual sizes are put into the places of their group; what room is left in
-each container is filled with the small items, the largest first, each into the fullest container that takes it. The plan is a
+each container is filled with what is left over and the small items, the largest first, each into the fullest container that takes it. The plan is a
 list of runs (so many items of one size into consecutive containers), whose length depends on the capacity and not on the
 number of items. The items then find their places in parallel by their rank among the items of their size, which is computed
 in salted parts, so that a size that a third of the items have is no hot group.
@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Items above this share of the capacity are large; the large sizes are rounded up to so many; units into which the capacity is divided for the programme.
-LARGE, GROUPS, UNITS = 1 / 8, 24, 2048
-#: Parts in which the items of one size are ranked.
-SALTS = 128
+LARGE, GROUPS, UNITS = 1 / 3, 64, 2048
+#: The items of one size are ranked in parts of about so many.
+PART = 200_000
 
 
 def configurations(sizes: list[int], counts: list[int], capacity: int) -> list[tuple[list[int], float]]:
@@ -90,11 +90,16 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
     large = [(s, histogram[s]) for s in sizes if s > least]
     room: dict[int, list[tuple[int, int]]] = defaultdict(list)  # free space -> intervals of containers
 
+    rest = defaultdict(int, {s: histogram[s] for s in sizes if s <= least})
     total = sum(c for _, c in large)
     if total:
-        # groups of equal cardinality, by falling size; a size may be in several groups
+        # groups of equal cardinality, by falling size; a size with half a group or more is one of its own, and not rounded
         per, groups, left = -(-total // min(GROUPS, total)), [], 0
         for s, c in large:
+            if 2 * c >= per:
+                groups.append([[s, c]])
+                left = 0
+                continue
             while c:
                 if not left:
                     groups.append([])
@@ -159,18 +164,14 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
             m = min([m, *[h // a for h, a in zip(have, pattern) if a]])
             if m and sum(a * r for a, r in zip(pattern, rounded)) <= most:
                 fill(pattern, m)
-        # what the whole numbers leave over, a few containers a group: each takes the largest that still fits
-        while any(stock):
-            free, pattern, have = most, [0] * len(stock), [sum(c for _, c in st) for st in stock]
-            for g in sorted(range(len(stock)), key=lambda g: -rounded[g]):
-                a = min(free // rounded[g], have[g])
-                pattern[g], free = a, free - a * rounded[g]
-            m = max(1, min(h // a for h, a in zip(have, pattern) if a))
-            fill(pattern, m)
+        # what the whole numbers leave over, a few containers a group, is placed with the small items
+        for st in stock:
+            for size, c in st:
+                rest[size] += c
 
-    # small items, largest first, into the fullest container that takes them
-    for s in [s for s in sizes if s <= least]:
-        c = histogram[s]
+    # the rest and the small items, largest first, into the fullest container that takes them
+    for s in sorted(rest, reverse=True):
+        c = rest[s]
         levels = sorted(f for f in room if f >= s and room[f])
         for f in levels:
             if not c:
@@ -224,11 +225,14 @@ def packed(sizes: DataFrame, containers: dict[str, int], key: str = "doc_id", si
         return spark.createDataFrame([], f"container string, bin bigint, `{key}` {sizes.schema[key].dataType.simpleString()}, piece int, tokens int")
     names = spark.createDataFrame([(n, int(c)) for n, c in containers.items()], "container string, capacity int")
     items = _pieces(sizes.select(key, F.coalesce(size, F.lit(0)).alias(size)).crossJoin(F.broadcast(names)), key, size, F.col("capacity"), ["container"])
-    real = items.where("tokens > 0").withColumn("_salt", F.pmod(F.xxhash64(key, "piece"), F.lit(SALTS)).cast("int"))
-    parts = real.groupBy("container", "tokens", "_salt").agg(F.count("*").alias("_n"))
+    real = items.where("tokens > 0")
+    counts = real.groupBy("container", "tokens").agg(F.count("*").alias("_n")).collect()  # at most a row a size up to the capacity
     histogram: dict[str, dict[int, int]] = {n: {} for n in containers}
-    for r in parts.groupBy("container", "tokens").agg(F.sum("_n").alias("c")).collect():
-        histogram[r["container"]][r["tokens"]] = r["c"]
+    for r in counts:
+        histogram[r["container"]][r["tokens"]] = r["_n"]
+    salts = spark.createDataFrame([(r["container"], r["tokens"], -(-r["_n"] // PART)) for r in counts], "container string, tokens int, _parts int")
+    real = real.join(F.broadcast(salts), ["container", "tokens"]).withColumn("_salt", F.pmod(F.xxhash64(key, "piece"), F.col("_parts")).cast("int")).drop("_parts")
+    parts = real.groupBy("container", "tokens", "_salt").agg(F.count("*").alias("_n"))
     plans = {n: plan(histogram[n], int(c))[0] for n, c in containers.items()}
 
     before = Window.partitionBy("container", "tokens").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)

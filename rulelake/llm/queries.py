@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.judging import VERDICTS, votes
+from ..plans.judging import _VOTES, VERDICTS, votes
 from ..sources.tables import table, written
 from .consensus import fitted
 from .encoding import decoded, encoded, token_counts
 from .garbled import restored
-from .languages import LEAST_WORDS, detected
+from .languages import LEAST_WORDS, detected, passages
 from .neardup import groups, similar_pairs
 from .packing import packed
 
@@ -69,6 +69,30 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return total.join(table(spark, d, "container"), "container").select("container", "bins", F.ceil(F.col("tokens") / F.col("capacity")).alias("least"), (1 - F.col("tokens") / (F.col("bins") * F.col("capacity"))).alias("unused"))
 
 
+def p8_placed(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of a packing: every document is placed in every kind of container, no container is overfull, no piece but of a document that exceeds the capacity."""
+    rows = p8_packing(spark, d).join(table(spark, d, "container"), "container")
+    over = rows.where("bin is not null").groupBy("container", "bin").agg(F.sum("tokens").alias("n"), F.max("capacity").alias("capacity")).groupBy("container").agg(F.count_if(F.col("n") > F.col("capacity")).alias("overfull"))
+    docs = rows.groupBy("container", "doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("n"), F.max("capacity").alias("capacity"))
+    docs = docs.groupBy("container").agg(F.count("*").alias("documents"), F.count_if((F.col("pieces") > 1) & (F.col("n") <= F.col("capacity"))).alias("split_in_vain"))
+    return docs.join(over, "container").select("container", "documents", "overfull", "split_in_vain")
+
+
+def p1_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """How far the judges agree on each candidate, and how many judged it."""
+    return p1_consensus(spark, d).select("doc_id", "candidate", "votes", F.round("agreement", 9).alias("agreement"))
+
+
+def p9_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Every document once, with its label read as a language."""
+    return p9_documents(spark, d).select("doc_id", "label")
+
+
+def p9_passages(spark: SparkSession, d: str) -> DataFrame:
+    """The runs of sentences in one language within each paragraph, with the characters of the text at which each begins and ends."""
+    return passages(table(spark, d, "documents"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     found = detected(table(spark, d, "documents")).where(F.col("para").isNotNull() & (F.col("longest") >= LEAST_WORDS))
     return found.where(F.col("label").isNull() | (F.col("lang") != F.col("label"))).select("doc_id", "para", "lang")
@@ -84,7 +108,10 @@ def p9_segments(spark: SparkSession, d: str) -> DataFrame:
     return detected(table(spark, d, "documents")).where("para is not null").select("doc_id", "para", "lang", "confidence", "share")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_consensus, p1_judges, p3_found, p3_restored, p4_found, p4_groups, p7_ids, p7_decoded, p8_packing, p8_fill, p9_found, p9_documents, p9_segments)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_consensus, p1_judges, p3_found, p3_restored, p4_found, p4_groups, p7_ids, p7_decoded, p8_packing, p8_fill, p8_placed, p1_agreement, p9_found, p9_documents, p9_segments, p9_passages, p9_labels)}
 SQL = {
+    "p1_agreement": _VOTES + """ select doc_id, candidate, sum(n)::bigint as votes, case when sum(n) > 1 then round(sum(n * (n - 1)) / (sum(n) * (sum(n) - 1)), 9) end as agreement from n group by all""",
+    "p8_placed": "select container, (select count(*) from documents) as documents, 0::bigint as overfull, 0::bigint as split_in_vain from container",
+    "p9_labels": """select doc_id, case when l in ('da', 'nb', 'sv', 'en', 'de') then l when l = 'no' then 'nb' end as label from (select doc_id, lower(trim(regexp_extract(lang, '^[^-_]*'))) as l from documents)""",
     "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",
 }

@@ -1,12 +1,18 @@
 """Packings are whole and valid, and close to the least number of containers."""
 
+import os
 import random
+from bisect import bisect_left, insort
 from collections import Counter
 
 import pytest
 
+from rulelake.llm import packing
+from rulelake.llm.encoding import token_counts
 from rulelake.llm.packing import packed, plan
 
+DATA = "/root/testdata/sf0.1/documents.parquet"
+
 
 def placed(histogram, capacity):
     runs, bins = plan(histogram, capacity)
@@ -30,6 +36,38 @@ def test_plans(seed):
     over_half = sum(c for s, c in histogram.items() if 2 * s > capacity)
     assert bins >= max(-(-total // capacity), over_half)
     assert bins <= 1.35 * max(-(-total // capacity), over_half) + 25
+    assert bins <= 1.03 * best_fit(histogram, capacity) + 12
+
+
+def best_fit(histogram, capacity):
+    """The number of containers by best fit of the largest first, item by item."""
+    free = []
+    for size, n in sorted(histogram.items(), reverse=True):
+        for _ in range(n):
+            i = bisect_left(free, size)
+            left = free.pop(i) - size if i < len(free) else capacity - size
+            insort(free, left)
+    return len(free)
+
+
+def test_documents_against_best_fit(spark):
+    if not os.path.exists(DATA):
+        pytest.skip("no test tables")
+    n = [r["n"] for r in token_counts(spark.read.parquet(DATA)).collect()]
+    for capacity in (512, 2048, 8192):
+        pieces = Counter(min(capacity, x - p * capacity) for x in n for p in range(-(-x // capacity)))
+        bins, best = placed(pieces, capacity), best_fit(pieces, capacity)
+        print(capacity, "floor", -(-sum(s * c for s, c in pieces.items()) // capacity), "best fit", best, "here", bins)
+        assert bins <= 1.01 * best + 2
+
+
+def test_parts_of_one_size(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART", 7)
+    rows = packed(spark.createDataFrame([(i, 3 + i % 2) for i in range(100)], "doc_id long, n int"), {"s": 9}).collect()
+    load = Counter()
+    for r in rows:
+        load[r["bin"]] += r["tokens"]
+    assert len({r["doc_id"] for r in rows}) == len(rows) == 100 and max(load.values()) <= 9
 
 
 def test_a_third_of_one_size():
