@@ -79,17 +79,31 @@ def stems(df: DataFrame, word: str = "word") -> DataFrame:
     return df.select(word).where(F.col(word).isNotNull()).distinct().withColumn("stem", stem_udf(word))
 
 
-def compound_parts(vocabulary: DataFrame) -> DataFrame:
-    """(word, part): every way to split a word of ``vocabulary`` (``word``) in two of its words.
+def compound_splits(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(word, left, right): every way to split each of the distinct ``words`` in two words of ``vocabulary``, both tables of one column ``word``.
 
     The second part has four letters or more, the first three; a joining s or e may stand between. Splits are made equal to the
     vocabulary by two joins on the parts, never by comparing words with words.
     """
-    cut = vocabulary.where(F.length("word") >= 7).select("word", F.explode(F.sequence(F.lit(3), F.length("word") - 4)).alias("i"))
+    cut = words.where(F.length("word") >= 7).select("word", F.explode(F.sequence(F.lit(3), F.length("word") - 4)).alias("i"))
     halves = cut.select("word", F.expr("substring(word, 1, i)").alias("left"), F.expr("substring(word, i + 1)").alias("right"))
     known = vocabulary.where(F.length("word") >= 3).select(F.col("word").alias("right"))
     halves = halves.join(known, "right", "left_semi")
     plain = halves.join(known.withColumnRenamed("right", "left"), "left", "left_semi").select("word", "left", "right")
     rest = halves.join(known.withColumnRenamed("right", "left"), "left", "left_anti").where(F.col("left").rlike("[se]$")).withColumn("base", F.expr("substring(left, 1, length(left) - 1)"))
-    joined = rest.join(known.withColumnRenamed("right", "base"), "base", "left_semi").select("word", F.col("base").alias("left"), "right")
-    return plain.unionByName(joined).select("word", F.explode(F.array("left", "right")).alias("part")).distinct()
+    return plain.unionByName(rest.join(known.withColumnRenamed("right", "base"), "base", "left_semi").select("word", F.col("base").alias("left"), "right"))
+
+
+def compound_parts(vocabulary: DataFrame) -> DataFrame:
+    """(word, part): the parts that the words of ``vocabulary`` (``word``) split into."""
+    return compound_splits(vocabulary, vocabulary).select("word", F.explode(F.array("left", "right")).alias("part")).distinct()
+
+
+def term_map(words: DataFrame, vocabulary: DataFrame, *, stemmed: bool = True) -> DataFrame:
+    """(word, term, times): the index terms of each of the distinct ``words``: its stem and the stems of its parts, as often as splits give them."""
+    parts = compound_splits(words, vocabulary).select("word", F.explode(F.array("left", "right")).alias("part"))
+    every = words.select("word", F.col("word").alias("part")).unionByName(parts)
+    if stemmed:
+        known = stems(every, "part")
+        every = every.join(known, "part").select("word", F.col("stem").alias("part"))
+    return every.groupBy("word", F.col("part").alias("term")).agg(F.count("*").alias("times"))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space as Python's ``str.split`` sees it: ASCII, separators of Unicode, NEL and the four information separators.
 SPACE = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]"
@@ -29,3 +33,20 @@ def words(c: Column | str) -> Column:
 def row_hash(*columns: Column) -> Column:
     """A 64-bit hash of the values in which null and the empty string are alike."""
     return F.xxhash64(*[F.coalesce(c, F.lit("")) for c in columns])
+
+
+def _decomposed(batch: pd.Series) -> pd.Series:
+    return batch.map(lambda s: unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode(), na_action="ignore")
+
+
+_ascii = F.pandas_udf(_decomposed, StringType())
+#: The letters that anchors spell out.
+SPELT = {"æ": "ae", "ø": "oe", "å": "aa", "ß": "ss"}
+
+
+def ascii_anchor(c: Column | str) -> Column:
+    """A name in lower-case ASCII: the letters that are spelt out, then what compatible decomposition leaves."""
+    c = F.lower(c)
+    for a, b in SPELT.items():
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return _ascii(c)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.danish import STOP_WORDS, compound_parts, content_words, stems
-from ..functions.text import squeezed, words
+from ..functions.text import SPELT, ascii_anchor, squeezed, words
 from ..operators.quotes import jaccard, located, overlap, trigrams
 from ..operators.ranking import bm25, cosine, idf, term_counts, top, unit_vectors
 from ..operators.snapshots import last_deliveries
@@ -76,23 +76,15 @@ def minted_slugs(spark, d):
     return n.select("slug", F.when(F.col("i") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("i").cast("string"))).alias("minted"))
 
 
-#: The letters that anchors spell out.
-_FROM, _TO = ["æ", "ø", "å", "ß"], ["ae", "oe", "aa", "ss"]
-
-
 def _anchor_sql(c):
-    for a, b in zip(_FROM, _TO):
+    for a, b in SPELT.items():
         c = f"replace({c}, '{a}', '{b}')"
     return f"regexp_replace(strip_accents({c}), '[^\\x00-\\x7f]', '', 'g')"
 
 
 @query(f"with {V} select slug, {_anchor_sql('lower(slug)')} as anchor from (select distinct slug from v)")
 def ascii_anchors(spark, d):
-    c = F.lower("slug")
-    for a, b in zip(_FROM, _TO):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    plain = F.translate(c, "éèêëáàâäöüóñçô", "eeeeaaaaouonco")
-    return rule_versions(spark, d).select("slug").distinct().select("slug", F.regexp_replace(plain, r"[^\x00-\x7f]", "").alias("anchor"))
+    return rule_versions(spark, d).select("slug").distinct().select("slug", ascii_anchor("slug").alias("anchor"))
 
 
 #: Months by name.

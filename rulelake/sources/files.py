@@ -42,6 +42,15 @@ def extracted_decisions(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("b.id").alias("ref"), "doc_id", F.col("moededato").alias("dato"), "b.*", F.coalesce("b.citat_side", "b.side").alias("page"), differs.alias("side_rettet"), "rank").drop("id")
 
 
+def selected(docs: DataFrame, selection: DataFrame, key: str, named: str, first: int | None = None) -> DataFrame:
+    """The documents of a selection with its columns (such as their place in it), or of its first so many rows; a selected document that is not there is an error."""
+    wanted = selection if first is None else selection.limit(first)
+    lost = [r[0] for r in wanted.join(docs, F.col(named) == F.col(key), "left_anti").select(named).limit(3).collect()]
+    if lost:
+        raise ValueError(f"unknown documents: {', '.join(map(str, lost))}")
+    return docs.join(wanted, F.col(named) == F.col(key)).drop(named)
+
+
 def retired_ids(spark: SparkSession, path: str) -> DataFrame:
     return read_json(spark, path, EXTRACTION).select("doc_id", F.explode("retired").alias("r")).select("doc_id", "r.*")
 
