@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +47,10 @@ _SHORT = re.compile(r"(?:\b(?:pr|nr|ca|jf|dvs|fx|vgl|bzw|St|Dr|No)|\b\w\.\w)\.$"
 _NOT_TEXT = re.compile(r"^\s*(?:\||\[\w+ \d+\]\s*$)|\t\S")
 
 
-def spans(text: str) -> list[tuple[int, str, int, int]]:
+def spans(text: str, placed: bool = True) -> list[tuple[int, str, int, int]]:
     """(paragraph, sentence, start, end): paragraphs are runs of non-blank lines, numbered from 0; rows of tables and page marks are no sentences.
 
-    A sentence has its lines joined by blanks; start and end are its place in the text.
+    A sentence has its lines joined by blanks; start and end are its place in the text, 0 if that is not asked for.
     """
     out: list[tuple[int, str, int, int]] = []
     lines: list[tuple[str, int]] = []
@@ -58,11 +60,13 @@ def spans(text: str) -> list[tuple[int, str, int, int]]:
         if not lines:
             return
         run = " ".join(line for line, _ in lines)
-        begins = np.cumsum([0, *[len(line) + 1 for line, _ in lines]])
+        begins = list(accumulate((len(line) + 1 for line, _ in lines), initial=0)) if placed else []
 
         def place(i: int) -> int:
-            k = int(np.searchsorted(begins, i, "right")) - 1
-            return lines[k][1] + i - int(begins[k])
+            if not placed:
+                return 0
+            k = bisect_right(begins, i) - 1
+            return lines[k][1] + i - begins[k]
 
         def add(a: int, b: int) -> None:
             said = run[a:b]
@@ -101,7 +105,7 @@ def spans(text: str) -> list[tuple[int, str, int, int]]:
 
 def sentences(text: str) -> list[tuple[int, str]]:
     """(paragraph, sentence), as in ``spans``."""
-    return [(p, s) for p, s, _, _ in spans(text)]
+    return [(p, s) for p, s, _, _ in spans(text, False)]
 
 
 def _grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -230,9 +234,9 @@ def _fitted(df: DataFrame, key: str, text: str, label: str, languages: Sequence[
     return rows, df.sparkSession.sparkContext.broadcast(model)
 
 
-def _judged(model: np.ndarray, texts: Sequence[str | None]) -> tuple[np.ndarray, ...]:
+def _judged(model: np.ndarray, texts: Sequence[str | None], placed: bool = False) -> tuple[np.ndarray, ...]:
     """Of the sentences of texts that are in a language: text, paragraph, words, posteriors of the languages, start and end."""
-    found = [spans(t) if t else [] for t in texts]
+    found = [spans(t, placed) if t else [] for t in texts]
     said = [s for f in found for _, s, _, _ in f]
     doc = np.repeat(np.arange(len(texts)), [len(f) for f in found])
     para, start, end = [np.array([x[i] for f in found for x in f], np.int64) for i in (0, 2, 3)]
@@ -260,7 +264,7 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text", label: str
         for b in batches:
             keys, texts = b.column(key), b.column(text).to_pylist()
             for lo in range(0, len(texts), block):
-                doc, para, words, post, start, end = _judged(shared.value, texts[lo : lo + block])
+                doc, para, words, post, start, end = _judged(shared.value, texts[lo : lo + block], True)
                 best, sure = post.argmax(1), post.max(1, initial=0.0)
                 first = np.ones(len(doc), bool)
                 first[1:] = (doc[1:] != doc[:-1]) | (para[1:] != para[:-1]) | (best[1:] != best[:-1])

@@ -5,7 +5,7 @@ import os
 import numpy as np
 import pytest
 
-from rulelake.llm.languages import LANGUAGES, detected, mixture, sentences
+from rulelake.llm.languages import LANGUAGES, detected, mixture, passages, sentences
 
 SCHEMA = "doc_id long, text string, lang string, para int, label string, share double"
 DATA = "/root/testdata/sf0.001"
@@ -50,3 +50,12 @@ def test_nothing_to_fit(spark):
     assert detected(spark.createDataFrame([], SCHEMA)).count() == 0
     got = detected(spark.createDataFrame([(1, "Mødet blev holdt i hallen.", None, 1, "x", 0.0)], SCHEMA)).collect()
     assert [(r["doc_id"], r["para"], r["lang"]) for r in got] == [(1, None, None)]
+
+
+def test_passages(spark):
+    da, en = "Klubben skal betale gebyret inden udgangen af måneden.", "The club has to pay the fee before the end of the month."
+    train = [(i, " ".join([x] * 3), lang, 1, "", 0.0) for i, (x, lang) in enumerate([(da, "da"), (en, "en")] * 20)]
+    text = f"{da} {da}\r\n  {en}\n{en} {da}\n\n{en}"
+    got = passages(spark.createDataFrame([*train, (99, text, None, 1, "", 0.0), (98, None, None, 1, "", 0.0)], SCHEMA)).where("doc_id >= 98").orderBy("start").collect()
+    assert [(r["para"], r["lang"]) for r in got] == [(0, "da"), (0, "en"), (0, "da"), (1, "en")]
+    assert [text[r["start"] : r["end"]] for r in got] == [f"{da} {da}", f"{en}\n{en}", da, en]
