@@ -235,7 +235,7 @@ def candidates(sketches: DataFrame, *, bands: int = BANDS, rows: int = ROWS, dif
     out = None
     for g in range(-(-bands // AT_A_TIME)):
         keyed = sketches.where("_r is not null").select(F.explode(band_keys("_r", bands, rows, g)).alias("_b"), "_s")
-        scanned = written(keyed.repartition("_b").sortWithinPartitions("_b", "_s").mapInArrow(_bucket_scan(differ, hot), "_b bigint, _sa bigint, _sb bigint"), "buckets")
+        scanned = written(keyed.repartition("_b").sortWithinPartitions("_b").mapInArrow(_bucket_scan(differ, hot), "_b bigint, _sa bigint, _sb bigint"), "buckets")
         near = scanned.where("_b is null").select("_sa", "_sb")
         if not scanned.where("_b is not null").isEmpty():
             near = near.unionByName(_hot_pairs(scanned.where("_b is not null").select("_b", F.col("_sa").alias("_s")).distinct(), differ, hot))
@@ -246,7 +246,7 @@ def candidates(sketches: DataFrame, *, bands: int = BANDS, rows: int = ROWS, dif
 
 
 def _bucket_scan(differ: int, hot: int):
-    """Pairs of near signatures from rows sorted by band key and signature: each signature against those after it in its bucket.
+    """Pairs of near signatures from rows sorted by band key (a sort by one number is quick): each signature against those after it in its bucket.
 
     A bucket of more than ``hot`` rows is not compared here; its rows come out with their band key.
     """
@@ -294,6 +294,14 @@ def _bucket_scan(differ: int, hot: int):
         yield from whole(b, s)
 
     def whole(b, s):
+        if not len(b):
+            return
+        alone = np.ones(len(b), bool)
+        alone[1:] &= b[1:] != b[:-1]
+        alone[:-1] &= b[1:] != b[:-1]
+        b, s = b[~alone], s[~alone]
+        order = np.lexsort((s, b))
+        b, s = b[order], s[order]
         if not len(b):
             return
         starts = np.nonzero(np.r_[True, b[1:] != b[:-1]])[0]
