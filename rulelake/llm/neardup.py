@@ -353,7 +353,7 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
 
     need = both.select(F.explode(F.array("_a", "_b")).alias("_k")).distinct()
     few = small(need, BROADCAST_KEYS)
-    texts = _texts(df, key, columns).join(F.broadcast(need) if few else need, "_k", "left_semi").distinct()
+    texts = written(_texts(df, key, columns).join(F.broadcast(need) if few else need, "_k", "left_semi").distinct(), "texts")  # for both sides
     registers = max(bands * rows, SIGNATURES * SIGNATURE)
     kind = df.schema[key].dataType.simpleString()
 
