@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import row_hash
+from ..sources.tables import written
 
 
 def fingerprinted(df: DataFrame, inputs: Sequence[str]) -> DataFrame:
@@ -37,6 +38,6 @@ def answered(df: DataFrame, key: str, inputs: Sequence[str], kept: DataFrame, as
         for b in batches:
             yield pd.DataFrame({"fingerprint": b["fingerprint"], "answer": list(ask(b))})
 
-    new = open_.mapInPandas(run, "fingerprint bigint, answer string")
+    new = written(open_.mapInPandas(run, "fingerprint bigint, answer string"), "answers")  # asked once, however often the result is read
     known = kept.groupBy("fingerprint").agg(F.max("answer").alias("answer")).unionByName(new)
     return rows.select(key, "fingerprint").join(known, "fingerprint", "left").select(key, "fingerprint", "answer")

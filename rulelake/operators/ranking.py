@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import written
@@ -42,13 +42,13 @@ def top(scored: DataFrame, by: str, score: str, tie: str, k: int) -> DataFrame:
 
 
 def bm25(counts: DataFrame, lengths: DataFrame, queries: DataFrame, key: str, query_key: str, *, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query_key, key, score): BM25 of query terms (query_key, term, weight), summed over terms."""
-    n, mean = lengths.agg(F.count("*"), F.avg("length")).first()
+    """(query_key, key, score): BM25 of query terms (query_key, term, weight), summed over terms; the terms asked for are few and broadcast."""
+    whole = F.broadcast(lengths.agg(F.count("*").alias("_all"), F.coalesce(F.avg("length"), F.lit(1.0)).alias("_mean")))  # one row
     hit = counts.join(F.broadcast(queries), "term")
     df = hit.select(key, "term").distinct().groupBy("term").agg(F.count("*").alias("df"))
-    weight = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = F.col("weight") * weight * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(mean or 1.0)))
-    return hit.join(F.broadcast(df), "term").join(lengths, key).groupBy(query_key, key).agg(F.sum(part).alias("score"))
+    weight = F.log(1 + (F.col("_all") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    part = F.col("weight") * weight * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("_mean")))
+    return hit.join(df, "term").join(lengths, key).crossJoin(whole).groupBy(query_key, key).agg(F.sum(part).alias("score"))
 
 
 def packed_vectors(keys: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
@@ -57,13 +57,13 @@ def packed_vectors(keys: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
     return keys.join(lists, key, "left").select(*keys.columns, F.coalesce("v.term", F.array().cast("array<string>")).alias("terms"), F.coalesce("v.w", F.array().cast("array<double>")).alias("ws"))
 
 
-def block_scores(queries: DataFrame, rows: DataFrame, *, boost: float = 0.0, k: int | None = None, least: float | None = None) -> DataFrame:
+def block_scores(queries: DataFrame, rows: DataFrame, *, boost: float = 0.0, k: int | None = None, least: float | None = None, same: bool = False) -> DataFrame:
     """Every row against every query by the cosine of their vectors, rounded to nine digits, times 1 + ``boost`` in the query's own category.
 
-    ``queries`` has ``query``, ``category``, ``terms``, ``ws``, ``excluded`` (an array of keys that do not take part) and ``own`` (null, or the score to beat);
+    ``queries`` has ``query``, ``category``, ``terms``, ``ws``, ``excluded`` (an array of keys that do not take part), ``own`` (null, or the score to beat) and, with that, ``own_key``;
     ``rows`` has ``key``, ``category``, ``terms``, ``ws``. With ``k`` the result is (query, key, score) of the k best of each query, ties to the lesser key, rows that share no
     term included with score 0; with ``least`` all pairs of at least that score; with neither (query, ahead): how many rows score above
-    ``own``, or the same with a lesser key than the one excluded. The queries are a stated set: blocks of them go to all rows in turn, as matrices, so a common term
+    ``own``, or the same with a lesser key than ``own_key``. With ``same`` only rows of the query's category take part. The queries are a stated set: blocks of them go to all rows in turn, as matrices, so a common term
     is no hot key and nothing is exploded.
     """
     spark = rows.sparkSession
@@ -76,15 +76,20 @@ def block_scores(queries: DataFrame, rows: DataFrame, *, boost: float = 0.0, k:
         matrix = np.zeros((len(at), len(own)))
         for j, q in enumerate(own):
             matrix[[at[t] for t in q["terms"]], j] = q["ws"]
-        shared = spark.sparkContext.broadcast((at, matrix, [(q["query"], q["category"], set(q["excluded"]), q["own"]) for q in own]))
-        part = rows.mapInArrow(_block(shared, boost, k, least), "query string, key string, score double")
+        shared = spark.sparkContext.broadcast((at, matrix, [(q["query"], q["category"], set(q["excluded"]), q["own"], q["own_key"] or "") for q in own]))
+        part = rows.mapInArrow(_block(shared, boost, k, least, same), "query string, key string, score double")
         out = part if out is None else out.unionByName(part)
     if k is not None:
         return top(out, "query", "score", "key", k).select("query", "key", "score")
     return out if least is not None else out.groupBy("query").agg(F.sum("score").cast("bigint").alias("ahead"))
 
 
-def _block(shared, boost: float, k: int | None, least: float | None):
+def unbeaten() -> list[Column]:
+    """The columns of queries that have no score to beat."""
+    return [F.lit(None).cast("double").alias("own"), F.lit(None).cast("string").alias("own_key")]
+
+
+def _block(shared, boost: float, k: int | None, least: float | None, same: bool):
     def run(batches):
         at, matrix, own = shared.value
         names, category = np.array([q[0] for q in own], object), np.array([q[1] or "" for q in own], object)
@@ -93,7 +98,7 @@ def _block(shared, boost: float, k: int | None, least: float | None):
         for j, q in enumerate(own):
             for x in q[2]:
                 barred.setdefault(x, []).append(j)
-        first = [min(q[2], default="") for q in own]
+        first = [q[4] for q in own]
         for b in batches:
             for lo in range(0, len(b) if len(own) else 0, ROWS):
                 piece = b.slice(lo, ROWS)
@@ -109,6 +114,8 @@ def _block(shared, boost: float, k: int | None, least: float | None):
                             left[i, j] = w
                 score = left @ matrix
                 score = np.round(score * np.where(cats[:, None] == category[None, :], 1 + boost, 1.0), 9)
+                if same:
+                    score[cats[:, None] != category[None, :]] = -np.inf
                 for i, x in enumerate(keys):
                     for j in barred.get(x, ()):
                         score[i, j] = -np.inf

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import row_hash, squeezed
+from ..sources.tables import written
 
 #: Up to this many deliveries their list, one short row each, is broadcast; beyond, it is joined like any table.
 BROADCAST_DELIVERIES = 100_000
@@ -29,14 +30,14 @@ def snapshot_changes(rows: DataFrame, snapshot: str, delivered: str, key: Sequen
     A null time of delivery counts as the earliest. An empty table gives an empty result.
     """
     rows = rows.select(*dict.fromkeys([snapshot, delivered, *key, *compared]))
-    last = last_deliveries(rows, snapshot, delivered)
+    last = written(last_deliveries(rows, snapshot, delivered), "deliveries")  # used three times, from one scan of two columns
     small = last.limit(BROADCAST_DELIVERIES + 1).count() <= BROADCAST_DELIVERIES
     last = last.withColumnsRenamed({snapshot: "_snapshot", delivered: "_delivered"})
     valid = rows.join(F.broadcast(last) if small else last, (F.col(snapshot) == F.col("_snapshot")) & F.col(delivered).eqNullSafe(F.col("_delivered")))
     for k in key:
         valid = valid.where(F.col(k).isNotNull())
     hashed = valid.select(F.col("_snapshot"), F.col("_next"), *key, row_hash(*[squeezed(F.col(c).cast("string")) for c in compared]).alias("_h"))
-    first = rows.agg(F.min(snapshot).alias("_first"))
+    first = last.agg(F.min("_snapshot").alias("_first"))
     sides = hashed.select(
         *key,
         "_h",

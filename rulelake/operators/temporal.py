@@ -51,12 +51,15 @@ def in_force(versions: DataFrame, cutoffs: DataFrame, key: str = "slug", content
     abolition leaves nothing, and so does a passed end date, without falling back. A confirmation is adopted by the last
     introduction or change before it unless an abolition lies between. ``cutoffs`` is a short list and is broadcast.
     """
-    order = [F.col(c) for c in ORDER]
-    rows = versions.where(F.col("effekt").isin(*content, ends)).join(F.broadcast(cutoffs), (F.col("effective") <= F.col("cutoff")) & (F.col("decided") <= F.col("cutoff")))
-    state = rows.groupBy(key, "cutoff").agg(
-        F.max(F.struct(*order, "effekt", "gaelder_til", "ref")).alias("s"),
-        F.max(F.when(F.col("effekt") != "bekraeftet", F.struct(*order, "effekt", "ref"))).alias("o"),
+    # one row a rule and pair of dates is left before rows meet the cutoffs, however many versions a rule has
+    dated = (
+        versions.where(F.col("effekt").isin(*content, ends))
+        .groupBy(key, "effective", "decided")
+        .agg(F.max(F.struct("idx", "effekt", "gaelder_til", "ref")).alias("s"), F.max(F.when(F.col("effekt") != "bekraeftet", F.struct("idx", "effekt", "ref"))).alias("o"))
     )
+    rows = dated.join(F.broadcast(cutoffs), (F.col("effective") <= F.col("cutoff")) & (F.col("decided") <= F.col("cutoff")))
+    last = [F.max(F.when(F.col(c).isNotNull(), F.struct("effective", "decided", c))).alias(c) for c in ("s", "o")]
+    state = rows.groupBy(key, "cutoff").agg(*last).select(key, "cutoff", F.col("s.s").alias("s"), F.col("o.o").alias("o"))
     adopted = F.when((F.col("s.effekt") == "bekraeftet") & F.col("o").isNotNull() & (F.col("o.effekt") != ends), F.col("o.ref")).otherwise(F.col("s.ref"))
     held = (F.col("s.effekt") != ends) & (F.col("s.gaelder_til").isNull() | (F.col("s.gaelder_til") >= F.col("cutoff")))
     return state.where(held).select(key, "cutoff", F.col("s.ref").alias("ref"), adopted.alias("adopted"))

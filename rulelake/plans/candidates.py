@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.danish import content_words, term_map
-from ..operators.ranking import block_scores, idf, packed_vectors, unit_vectors
+from ..operators.ranking import block_scores, idf, packed_vectors, unbeaten, unit_vectors
 from ..sources.tables import written
 from .base import CATEGORIES, CONTENT, X, decisions, query, quoted, versions
 from .texts import _STOP, _WORDS
@@ -63,10 +63,10 @@ def _rows(rules: DataFrame, counts: DataFrame, weights: DataFrame) -> DataFrame:
     return written(packed_vectors(rules, unit_vectors(counts.withColumnRenamed("slug", "key"), weights, "key"), "key"), "rule-vectors")
 
 
-def _queries(keyed: DataFrame, vectors: DataFrame, excluded=None, own=None) -> DataFrame:
+def _queries(keyed: DataFrame, vectors: DataFrame, excluded=None) -> DataFrame:
     q = packed_vectors(keyed.withColumnRenamed("ref", "query"), vectors.withColumnRenamed("ref", "query"), "query")
     none = F.array().cast("array<string>")
-    return q.select("query", "category", "terms", "ws", (none if excluded is None else F.coalesce(excluded, none)).alias("excluded"), (F.lit(None).cast("double") if own is None else own).alias("own"))
+    return q.select("query", "category", "terms", "ws", (none if excluded is None else F.coalesce(excluded, none)).alias("excluded"), *unbeaten())
 
 
 def _ranked(spark, d, *, stemmed: bool, but_own: bool) -> DataFrame:
@@ -119,7 +119,7 @@ def rule_candidates_but_own(spark, d):
 def _similar(spark, d) -> DataFrame:
     _, _, rules, counts, _, _, weights = _index(spark, d, False)
     rows = _rows(rules, counts, weights)
-    q = rows.where(_asked("key")).select(F.col("key").alias("query"), "category", "terms", "ws", F.array("key").alias("excluded"), F.lit(None).cast("double").alias("own"))
+    q = rows.where(_asked("key")).select(F.col("key").alias("query"), "category", "terms", "ws", F.array("key").alias("excluded"), *unbeaten())
     return block_scores(q, rows, least=SIMILAR).join(rules.select("key", F.col("category").alias("to")), "key").join(rules.select(F.col("key").alias("query"), F.col("category").alias("of")), "query")
 
 
@@ -182,7 +182,7 @@ def _hidden(spark, d, stemmed: bool) -> DataFrame:
     own = F.round(F.col("s") * F.when(F.col("of") == F.col("y.as"), 1 + BOOST).otherwise(1.0), 9)
     both = written(both.select(F.concat_ws(" ", "id", F.col("y.k").cast("string")).alias("query"), F.col("y.as").alias("category"), "ref", "slug", "of", F.col("y.k").alias("k"), own.alias("own")), "asked")
     vectors = both.select("query", "ref").join(asks, "ref").select("query", "term", "w")
-    q = packed_vectors(both, vectors, "query").select("query", "category", "terms", "ws", F.array("slug").alias("excluded"), "own")
+    q = packed_vectors(both, vectors, "query").select("query", "category", "terms", "ws", F.array("slug").alias("excluded"), "own", F.col("slug").alias("own_key"))
     ahead = block_scores(q, _rows(rules, counts, weights), boost=BOOST)
     ranks = both.join(ahead, "query").groupBy("ref", "slug", F.col("of").alias("category"))
     return ranks.agg(*[(F.max(F.when(F.col("k") == i, F.col("ahead"))) + 1).alias(c) for i, c in ((0, "rank"), (1, "relabelled"))])

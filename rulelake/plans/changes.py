@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import row_hash, squeezed, words
 from ..operators.identity import compared, holders, resolved, run_lengths
-from ..operators.order import global_rank
+from ..operators.order import few, global_rank
 from ..operators.quotes import jaccard, one_to_one, trigrams
 from ..operators.snapshots import last_deliveries
-from ..operators.temporal import ORDER, earlier_filed, effective_order
+from ..operators.temporal import ORDER, earlier_filed
 from ..sources.tables import table, written
 from .base import CONTENT, D, V, X, decisions, query, rule_versions, versions
 from .texts import _SLUG, slugified
@@ -201,9 +201,10 @@ def latest_contents(spark, d):
 select slug, first_, last_, subjects from (select slug, min(decided) as first_, max(decided) as last_ from x group by slug) join (select slug, string_agg(emne, ' | ' order by i) as subjects from k where i <= 6 group by slug) using (slug)""")
 def brief_views(spark, d):
     """First and last date and up to six subjects of each rule, in the order in which they first occur."""
-    v = effective_order(versions(spark, d))
-    dates = v.groupBy("slug").agg(F.min("decided").alias("first_"), F.max("decided").alias("last_"), F.array_sort(F.collect_list(F.struct("pos", "emne"))).alias("l"))
-    return dates.select("slug", "first_", "last_", F.concat_ws(" | ", F.slice(F.array_distinct(F.col("l.emne")), 1, 6)).alias("subjects"))
+    v = versions(spark, d)
+    dates = v.groupBy("slug").agg(F.min("decided").alias("first_"), F.max("decided").alias("last_"))
+    first = v.groupBy("slug", "emne").agg(F.min(F.struct(*ORDER)).alias("o")).select("slug", F.struct("o", "emne").alias("x"))
+    return dates.join(few(first, "slug", "x", 6, last=False), "slug").select("slug", "first_", "last_", F.concat_ws(" | ", F.col("l.emne")).alias("subjects"))
 
 
 @query(f"""with {X}, n as (select *, row_number() over w as pos, lag(effekt) over w as before from x window w as (partition by slug order by effective, decided, idx)),

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ascii_anchor
-from ..operators.order import global_rank
+from ..operators.order import few, global_rank
 from ..operators.snapshots import last_deliveries
 from ..operators.temporal import in_force, year_cutoffs
 from ..operators.voting import last_answers, majority
@@ -161,18 +160,7 @@ def latest_history(spark, d):
     """The last six lines of each rule's history, the oldest first. Six are kept a task before rules are gathered."""
     line = F.concat_ws(": ", F.coalesce(F.nullif("decided", F.lit("")), F.lit("ukendt dato")), "effekt", "change")
     v = versions(spark, d).select("slug", F.struct("effective", "decided", "idx", line.alias("line")).alias("x"))
-    return last_few(v, "slug", "x", 6).select("slug", F.array_join(F.col("l.line"), "\n").alias("history"))
-
-
-def last_few(rows: DataFrame, key: str, value: str, n: int, salts: int = 32) -> DataFrame:
-    """(key, l): the ``n`` greatest values of each key, ascending. A key's rows are first reduced in salted parts, so a hot key is no hot task."""
-
-    def most(df: DataFrame, *by: str) -> DataFrame:
-        w = Window.partitionBy(*by).orderBy(F.desc(value))
-        return df.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= n).drop("_i")
-
-    salted = rows.select(key, value, F.pmod(F.xxhash64(value), F.lit(salts)).alias("_salt"))
-    return most(most(salted, key, "_salt"), key).groupBy(key).agg(F.array_sort(F.collect_list(value)).alias("l"))
+    return few(v, "slug", "x", 6).select("slug", F.array_join(F.col("l.line"), "\n").alias("history"))
 
 
 @query(f"""with {X} select slug, ref, case effekt when 'indfoert' then 'indført' when 'aendret' then 'ændret' when 'bekraeftet' then 'bekræftet' when 'ophaevet' then 'ophævet' when 'foreslaaet' then 'foreslået' else effekt end as label,

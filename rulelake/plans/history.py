@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators.temporal import effective_order, history_changes, in_force, year_cutoffs, year_ranges
+from ..operators.order import next_smaller, ranked_within
+from ..operators.temporal import ORDER, effective_order, history_changes, in_force, year_cutoffs, year_ranges
 from ..sources.tables import table
 from .base import CATEGORIES, CONTENT, D, PROPOSAL, V, X, decisions, query, quoted, rule_versions, versions
 
@@ -26,7 +27,7 @@ _FORCE = f"with {X}, {_CUT}, {_state()}"
 
 @query(f"with {X} select slug, ref, row_number() over (partition by slug order by effective, decided, idx) - 1 as pos, effective from x")
 def effective_order_of_versions(spark, d):
-    return effective_order(versions(spark, d)).select("slug", "ref", "pos", "effective")
+    return ranked_within(versions(spark, d).select("slug", "ref", *ORDER), "slug", list(ORDER), "pos").select("slug", "ref", "pos", "effective")
 
 
 def _forced(spark, d):
@@ -172,9 +173,7 @@ def date_traps(spark, d):
     ends = nxt.where(F.col("gaelder_til").isNotNull() & F.col("nx").isNotNull() & F.col("nx.gaelder_til").isNull() & (F.col("nx.effekt") == "bekraeftet"))
     one = ends.select("slug", F.lit("confirmed without end").alias("trap"), "ref", F.col("nx.ref").alias("other"))
     full = n.where(F.length("decided") == 10).select("slug", "ref", "pos", "decided")
-    later = full.select("slug", F.col("ref").alias("ref_b"), F.col("pos").alias("pos_b"), F.col("decided").alias("decided_b"))
-    pairs = full.join(later, "slug").where("pos_b > pos and decided_b < decided")
-    two = pairs.groupBy("slug", "ref").agg(F.min(F.struct("pos_b", "ref_b")).alias("x")).select("slug", F.lit("applies from before").alias("trap"), "ref", F.col("x.ref_b").alias("other"))
+    two = next_smaller(full, "slug", "pos", "decided", "ref").select("slug", F.lit("applies from before").alias("trap"), "ref", "other")
     return one.unionByName(two)
 
 
@@ -207,11 +206,12 @@ def settled_categories(spark, d):
     return rule_versions(spark, d).join(now, "ref", "left").groupBy("kategori").agg(F.bool_and(same).alias("settled"), F.count("*").alias("held"), F.count_if(~same).alias("outdated"))
 
 
-@query(f"with {D} select kategori, md5(string_agg(ref || ' ' || {_HASH}, chr(10) order by ref)) as input_hash, count(*) as decisions from d group by kategori")
-def category_fingerprints(spark, d):
-    """The fingerprint of what a category is consolidated from; the list of a category's refs and hashes is what is hashed."""
-    line = F.concat_ws(" ", "ref", _hash())
-    return decisions(spark, d).select("kategori", "ref", line.alias("line")).groupBy("kategori").agg(F.md5(F.concat_ws("\n", F.expr("transform(array_sort(collect_list(struct(ref, line))), x -> x.line)"))).alias("input_hash"), F.count("*").alias("decisions"))
+@query(f"""with {D}, l as (select kategori, md5(ref || ' ' || {_HASH}) as h from d) select kategori, sum(('0x' || left(h, 15))::hugeint)::varchar || ' ' || sum(('0x' || substr(h, 16, 15))::hugeint)::varchar as digest, count(*) as decisions from l group by kategori""")
+def category_digests(spark, d):
+    """The fingerprint of what a category is consolidated from: the sums of two halves of its lines' hashes, which combine in any order; no list is gathered."""
+    h = F.md5(F.concat_ws(" ", "ref", _hash()))
+    part = [F.sum(F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)")).cast("string") for at in (1, 16)]
+    return decisions(spark, d).groupBy("kategori").agg(F.concat_ws(" ", *part).alias("digest"), F.count("*").alias("decisions"))
 
 
 @query(f"""with {V}, h as (select ref, {_HASH} as now from d), own as (select v.ref, v.kategori from v join h on v.ref = h.ref and v.dhash = h.now),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import words
 from ..operators.asking import answer_status, fingerprinted
 from ..operators.identity import resolved
+from ..operators.order import ranked_within
 from ..operators.snapshots import last_deliveries
 from ..sources.files import site_payload
 from ..sources.tables import table
@@ -87,9 +88,8 @@ def assigned_numbers(spark, d):
     """New ids for decisions that match nothing known: numbers go on after the highest ever named and are never used again."""
     dec = decisions(spark, d)
     top = dec.groupBy("doc_id").agg(F.max(F.expr("try_cast(substring_index(ref, '#', -1) as int)")).alias("top"))
-    u = dec.join(rule_versions(spark, d), "ref", "left_anti").join(top, "doc_id")
-    n = F.col("top") + F.row_number().over(Window.partitionBy("doc_id").orderBy("rank", "ref"))
-    return u.select("ref", F.concat_ws("#", "doc_id", n.cast("string")).alias("new_id"))
+    u = ranked_within(dec.join(rule_versions(spark, d), "ref", "left_anti").select("doc_id", "ref", "rank"), "doc_id", ["rank", "ref"], "i").join(top, "doc_id")
+    return u.select("ref", F.concat_ws("#", "doc_id", (F.col("top") + F.col("i") + 1).cast("string")).alias("new_id"))
 
 
 _CAND = "c as (select distinct doc_id, c.candidate as candidate from (select doc_id, unnest(output.candidates) as c from judge_output) where c.candidate >= 1)"

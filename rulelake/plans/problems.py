@@ -73,14 +73,19 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return snapshot_changes(table(spark, d, "decision_snapshot"), "snapshot_date", "delivered_at", ["ref"], COMPARED)
 
 
-def p5_document_work(spark: SparkSession, d: str) -> DataFrame:
-    """Per document and date the refs that are new, changed and retired, as a work queue; refs are joined by blanks.
+#: Numbers of a document's refs that are one block of its work.
+BLOCK = 1000
 
-    The lists of a document are bounded by the numbers of its own decisions. ``ref`` is ``doc_id#n``, so the document needs no join.
+
+def p5_work_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Per document and date the refs that are new, changed and retired, as a work queue; refs are joined by blanks, those of a thousand numbers a row.
+
+    ``ref`` is ``doc_id#n``, so the document needs no join, and block ``n / 1000`` bounds a row however large the document is.
     """
-    found = p5_found(spark, d).withColumn("doc_id", F.regexp_replace("ref", "#[^#]*$", ""))
+    number = F.expr("try_cast(substring_index(ref, '#', -1) as bigint)")
+    found = p5_found(spark, d).select("snapshot_date", "kind", "ref", F.regexp_replace("ref", "#[^#]*$", "").alias("doc_id"), F.floor(F.coalesce(number, F.lit(0)) / BLOCK).alias("block"))
     kinds = [F.concat_ws(" ", F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("ref"))))).alias(k) for k in ("new", "changed", "retired")]
-    return found.groupBy("snapshot_date", "doc_id").agg(*kinds)
+    return found.groupBy("snapshot_date", "doc_id", "block").agg(*kinds)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -89,7 +94,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return periods_and_gaps(version.join(decision, "ref"), ["slug"], "gaelder_fra", "gaelder_til")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_wordings, p2_merged, p5_found, p5_document_work, p6_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_wordings, p2_merged, p5_found, p5_work_blocks, p6_found)}
 
 _SQUEEZE = r"trim(regexp_replace({0}, '[\s\x0b\x{{85}}\x{{1c}}-\x{{1f}}\p{{Z}}]+', ' ', 'g'))"
 _P2 = rf"""
@@ -117,8 +122,8 @@ SQL = {
     "p2_merged": _P2_FOUND,
     "p2_wordings": f"with {_P2} select slug, start_ as valid_from, coalesce(e, '9999-12-31') as valid_to, w as tekst from c where w is not null",
     "p5_found": _P5 + "select * from f where kind is not null",
-    "p5_document_work": _P5
-    + """select snapshot_date, regexp_replace(ref, '#[^#]*$', '') as doc_id,
+    "p5_work_blocks": _P5
+    + """select snapshot_date, regexp_replace(ref, '#[^#]*$', '') as doc_id, coalesce(try_cast(regexp_extract(ref, '#([0-9]+)$', 1) as bigint), 0) // 1000 as block,
       coalesce(string_agg(ref, ' ' order by ref) filter (kind = 'new'), '') as "new", coalesce(string_agg(ref, ' ' order by ref) filter (kind = 'changed'), '') as changed,
       coalesce(string_agg(ref, ' ' order by ref) filter (kind = 'retired'), '') as retired from f where kind is not null group by all""",
     "p6_found": """

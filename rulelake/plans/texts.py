@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.danish import STOP_WORDS, compound_parts, content_words, stems
 from ..functions.text import SPELT, ascii_anchor, squeezed, words
+from ..operators.order import carried_forward, ranked_within
 from ..operators.quotes import jaccard, located, overlap, trigrams
-from ..operators.ranking import bm25, cosine, idf, term_counts, top, unit_vectors
+from ..operators.ranking import bm25, block_scores, idf, packed_vectors, term_counts, top, unbeaten, unit_vectors
 from ..operators.snapshots import last_deliveries
-from ..sources.tables import table
+from ..sources.tables import table, written
 from .base import D, V, decisions, query, quoted, rule_versions
 
 _WORDS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}_]+')"
@@ -204,8 +205,9 @@ def neighbouring_spans(spark, d):
     dec = decisions(spark, d)
     n = dec.select("ref", "doc_id", F.greatest(F.size(words("citat")), F.lit(1)).alias("n"))
     sp = located(dec, "ref", "citat", "tekst").where("share >= 0.8").join(n, "ref").select("ref", "doc_id", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
-    w = Window.partitionBy("doc_id").orderBy("ref")
-    nx = sp.withColumn("o", F.lead(F.struct("ref", "a", "b")).over(w)).where("o is not null")
+    placed = ranked_within(sp, "doc_id", ["ref"], "i")
+    after = placed.select("doc_id", (F.col("i") - 1).alias("i"), F.struct("ref", "a", "b").alias("o"))
+    nx = placed.join(after, ["doc_id", "i"])
     return nx.select("ref", F.col("o.ref").alias("other"), overlap(F.col("a"), F.col("b"), F.col("o.a"), F.col("o.b")).alias("overlap"))
 
 
@@ -215,9 +217,9 @@ select doc_id, ref, row_number() over (partition by doc_id order by carried, ran
 def reading_order(spark, d):
     dec = decisions(spark, d)
     pos = located(dec, "ref", "citat", "tekst").where("share >= 0.8").select("ref", F.col("start").alias("pos"))
-    w = Window.partitionBy("doc_id").orderBy("rank", "ref")
-    c = dec.select("doc_id", "ref", "rank").join(pos, "ref", "left").withColumn("carried", F.coalesce(F.last("pos", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(-1)))
-    return c.select("doc_id", "ref", (F.row_number().over(Window.partitionBy("doc_id").orderBy("carried", "rank", "ref")) - 1).alias("reading"))
+    rows = dec.select("doc_id", "ref", "rank").join(pos, "ref", "left")
+    c = carried_forward(rows, "doc_id", ["rank", "ref"], "pos", "carried").select("doc_id", "ref", "rank", F.coalesce("carried", F.lit(-1)).alias("carried"))
+    return ranked_within(c, "doc_id", ["carried", "rank", "ref"], "reading").select("doc_id", "ref", "reading")
 
 
 @query(f"""with {D}, s as (select distinct ref, doc_id, trim(emne) || ' ' || trim(tekst) as t from decision_snapshot where snapshot_date = (select min(snapshot_date) from decision_snapshot)),
@@ -280,24 +282,30 @@ s as (select query, p.doc_id, round(cos * case when a.organ = b.organ then 1.3 e
 k as (select *, row_number() over (partition by query order by score desc, doc_id) as rank from s)"""
 
 
-def _ranked(spark, d):
+def _compared(spark, d):
+    """The documents' vectors as rows for ``block_scores``, and every hundredth as a query; keys are numbers in twenty digits, which sort as they count."""
     docs, _, v = _vectors(spark, d)
-    q = v.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query")
-    organ = docs.select("doc_id", "organ")
-    s = cosine(q, v, "query", "doc_id").where("query <> doc_id").join(organ.select(F.col("doc_id").alias("query"), F.col("organ").alias("o")), "query").join(organ, "doc_id")
-    s = s.select("query", "doc_id", F.round(F.col("score") * F.when(F.col("o") == F.col("organ"), 1.3).otherwise(1.0), 9).alias("score"), (F.col("o") == F.col("organ")).alias("own"))
-    return s
+    key = F.lpad(F.col("doc_id").cast("string"), 20, "0")
+    keyed = docs.select(key.alias("key"), F.col("organ").alias("category"))
+    rows = written(packed_vectors(keyed, v.select(key.alias("key"), "term", "w"), "key"), "document-vectors")
+    return rows, rows.where(F.col("key").cast("bigint") % 100 == 0).select(F.col("key").alias("query"), "category", "terms", "ws", F.array("key").alias("excluded"), *unbeaten())
 
 
 @query(_RANKED + " select query, doc_id, score, rank from k where rank <= 15")
 def candidates_ranked(spark, d):
-    return top(_ranked(spark, d), "query", "score", "doc_id", 15).select("query", "doc_id", "score", "rank")
+    rows, asked = _compared(spark, d)
+    best = block_scores(asked, rows, boost=0.3, k=15).where("score > 0").select(F.col("query").cast("bigint").alias("query"), F.col("key").cast("bigint").alias("doc_id"), "score")
+    return top(best, "query", "score", "doc_id", 15).select("query", "doc_id", "score", "rank")
 
 
 @query(_RANKED + ", f as (select query, min(rank) as rank from k where own group by query), q2 as (select doc_id as query, rank from documents left join f on query = doc_id where doc_id % 100 = 0) select n as k, avg(case when coalesce(rank <= n, false) then 1.0 else 0.0 end) as recall from q2, (values (3), (5), (8), (10), (15)) t(n) group by n")
 def recall_at_k(spark, d):
-    first = top(_ranked(spark, d), "query", "score", "doc_id", 1_000_000).where("own").groupBy("query").agg(F.min("rank").alias("rank"))
-    every = table(spark, d, "documents").where("doc_id % 100 = 0").select(F.col("doc_id").alias("query")).join(first, "query", "left")
+    """The share of documents asked for of which one of the same body is among the k closest: the place of the best one is a count of those ahead of it."""
+    rows, asked = _compared(spark, d)
+    own = block_scores(asked, rows, boost=0.3, k=1, same=True).where("score > 0").select("query", F.col("score").alias("own"), F.col("key").alias("own_key"))
+    # an own document that ties is behind its like, so the best one is only behind others
+    beaten = block_scores(asked.drop("own", "own_key").join(own, "query"), rows, boost=0.3).select("query", (F.col("ahead") + 1).alias("rank"))
+    every = asked.select("query").join(beaten, "query", "left")
     each = every.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.coalesce(F.col("rank") <= k, F.lit(False)).alias("hit")) for k in (3, 5, 8, 10, 15)])).alias("x"))
     return each.groupBy(F.col("x.k").alias("k")).agg(F.avg(F.when(F.col("x.hit"), 1.0).otherwise(0.0)).alias("recall"))
 
@@ -321,7 +329,9 @@ select query, doc_id, round(sum(weight * ln(1 + (n - df + 0.5) / (df + 0.5)) * t
 def synonym_search(spark, d):
     """Documents for searches: words that begin with a term or, at half weight, with a synonym."""
     docs = table(spark, d, "documents").select("doc_id", content_words(F.col("text")).alias("w"))
-    counts = term_counts(docs, "doc_id", "w")
+    stems_ = F.array(*[F.lit(t) for _, t, _ in _search_terms()])
+    # only words that begin as asked are taken apart
+    counts = term_counts(docs.select("doc_id", F.filter("w", lambda w: F.exists(stems_, lambda s: w.startswith(s))).alias("w")), "doc_id", "w")
     lengths = docs.select("doc_id", F.size("w").alias("length"))
     known = counts.select("term").distinct()
     asked = spark.createDataFrame(_search_terms(), "query string, stem string, weight double")

@@ -31,13 +31,13 @@ def shared_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("a cluster must name its shared folder in spark.checkpoint.dir")
         named = "file://" + tempfile.mkdtemp(prefix="rulelake-")
-        _removed_at_end(spark, named)
+        removed_at_end(spark, named)
     if not kept.isDefined():
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
-def _removed_at_end(spark: SparkSession, path: str) -> None:
+def removed_at_end(spark: SparkSession, path: str) -> None:
     """Has the file system remove a path when the session's JVM ends."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
@@ -60,7 +60,7 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{what}-{uuid.uuid4().hex}.parquet")
     df.write.parquet(path)
-    _removed_at_end(spark, path)
+    removed_at_end(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.kept_at = path
     return out
