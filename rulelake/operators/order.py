@@ -73,3 +73,13 @@ def next_smaller(rows: DataFrame, key: str, pos: str, value: str, what: str, *,
     at = rest.join(least, key).where("_c > _b and _u < _v").groupBy(key, "_i", "_v", "_w").agg(F.min("_c").alias("_c"))
     far = at.join(o, [key, "_c"]).where("_u < _v").groupBy(key, "_i", "_w").agg(first)
     return near.unionByName(far).select(key, F.col("_w").alias(what), F.col("_y._x").alias("other"))
+
+
+def summed_before(df: DataFrame, group: str, order: list[Column | str], value: str, name: str) -> DataFrame:
+    """``df`` with the sum of a value over the rows before each in its group's order. Ranges as in ``ranked_within``."""
+    ranges = _ranges(df, [group, *order])
+    sums = ranges.groupBy(group, "_p").agg(F.sum(value).alias("_n"))
+    before = Window.partitionBy(group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("_from", F.sum("_n").over(before)).where("_from > 0").select(group, "_p", "_from")
+    inside = ranges.withColumn(name, F.coalesce(F.sum(value).over(Window.partitionBy("_p", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return inside.join(offsets, [group, "_p"], "left").withColumn(name, F.col(name) + F.coalesce("_from", F.lit(0))).drop("_p", "_from")
