@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, candidates, changes, details, history, judging, minutes, pages, problems, streams, texts  # noqa: F401
+from . import base, candidates, changes, details, history, judging, minutes, names, pages, problems, streams, texts  # noqa: F401
 
 
 def queries() -> dict:

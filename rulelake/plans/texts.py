@@ -67,16 +67,6 @@ def slugified_titles(spark, d):
     return rule_versions(spark, d).select("titel", slugified(F.col("titel")).alias("base")).distinct()
 
 
-@query(f"""with {V}, t as (select slug, min(titel) as titel, min(effective) as first_ from (select v.slug, titel, coalesce(gaelder_fra, dato, '') as effective from v join d using (ref)) group by slug),
-n as (select slug, {_SLUG.format('titel')} as base, row_number() over (partition by {_SLUG.format('titel')} order by first_, slug) as i from t)
-select slug, case when i = 1 then base else base || '-' || i end as minted from n""")
-def minted_slugs(spark, d):
-    dec = decisions(spark, d).select("ref", F.coalesce("gaelder_fra", "dato", F.lit("")).alias("effective"))
-    t = rule_versions(spark, d).join(dec, "ref").groupBy("slug").agg(F.min("titel").alias("titel"), F.min("effective").alias("first"))
-    n = t.withColumn("base", slugified(F.col("titel"))).withColumn("i", F.row_number().over(Window.partitionBy("base").orderBy("first", "slug")))
-    return n.select("slug", F.when(F.col("i") == 1, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("i").cast("string"))).alias("minted"))
-
-
 def _anchor_sql(c):
     for a, b in SPELT.items():
         c = f"replace({c}, '{a}', '{b}')"
