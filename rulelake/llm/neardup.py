@@ -339,7 +339,7 @@ def similar_classes(df: DataFrame, key: str, columns: Sequence[str], *, threshol
     near = written(candidates(table, bands=bands, rows=rows), "candidates")
     of = written(table.select("_k", "_s", "_h", *_MORE).distinct(), "records")
     dropped(table)
-    classes = of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in _MORE])
+    classes = written(of.groupBy("_s", "_h").agg(F.min("_k").alias("_c"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in _MORE]), "records-alike")  # read several times
     named, of = classes.drop(*_MORE), of.drop(*_MORE)
     a, b = [classes.select(F.col("_s").alias(f"_s{x}"), F.col("_h").alias(f"_h{x}"), F.col("_c").alias(f"_{x}"), *[F.col(c).alias(c + x) for c in _MORE]) for x in "ab"]
     columns_of = ["_sa", "_ha", "_a", "_sb", "_hb", "_b"]
