@@ -5,22 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import words
+from ..functions.text import squeezed, words
 from ..operators.locating import located_in, passages, word_blocks
+from ..operators.matching import covered, scored, scores_by_document
 from ..operators.order import summed_before
+from ..operators.quotes import one_to_one
+from ..operators.snapshots import last_deliveries
 from ..sources.tables import table, written
 from .base import D, decisions, query
 from .texts import _WORDS
 
 
-def minutes(spark, d) -> DataFrame:
-    """The blocks of words of each document's minutes. A decision's page is the least that its rows name."""
-    page = table(spark, d, "decision").groupBy("ref").agg(F.min("side").alias("page"))
-    said = decisions(spark, d).select("ref", F.col("doc_id").alias("doc"), "rank", words("tekst").alias("w")).join(page, "ref").withColumn("n", F.size("w"))
-    placed = summed_before(said, "doc", ["rank", "ref"], "n", "start")
+def placed_words(said: DataFrame) -> DataFrame:
+    """``said`` (doc, rank, ref, page, w: words) with ``n`` words and ``start``, the place of the first among the words of the document."""
+    return summed_before(said.withColumn("n", F.size("w")), "doc", ["rank", "ref"], "n", "start")
+
+
+def blocks_of(placed: DataFrame) -> DataFrame:
     return written(word_blocks(placed.select("doc", "start", "page", F.posexplode("w").alias("i", "word")).select("doc", (F.col("start") + F.col("i")).alias("pos"), "word", "page")), "minutes")
 
 
+def _said(spark, d) -> DataFrame:
+    """The texts of the decisions of each document. A decision's page is the least that its rows name."""
+    page = table(spark, d, "decision").groupBy("ref").agg(F.min("side").alias("page"))
+    return decisions(spark, d).select("ref", F.col("doc_id").alias("doc"), "rank", words("tekst").alias("w")).join(page, "ref")
+
+
+def minutes(spark, d) -> DataFrame:
+    """The blocks of words of each document's minutes."""
+    return blocks_of(placed_words(_said(spark, d)))
+
+
 def _quotes(spark, d) -> DataFrame:
     page = table(spark, d, "decision").groupBy("ref").agg(F.min("side").alias("page"))
     return decisions(spark, d).join(page, "ref").select(F.col("ref").alias("key"), F.col("doc_id").alias("doc"), F.col("citat").alias("quote"), "page")
@@ -60,3 +75,67 @@ def quote_passages(spark, d):
     at = located_in(quotes, blocks).where("found").select("key", "pos")
     places = quotes.join(at, "key").join(decisions(spark, d).select(F.col("ref").alias("key"), F.col("stemmer").alias("vote")), "key")
     return passages(places.select("key", "doc", "pos", "quote", "vote"), blocks).select(F.col("key").alias("ref"), "first", "last", "words")
+
+
+# ---- matching by place and text
+
+FIELDS, FIRM = ["udfald", "kategori", "niveau", "handling"], ["udfald", "niveau", "handling"]
+
+
+def _live(spark, d) -> DataFrame:
+    """The snapshots by their last deliveries, with the document and number of each ref."""
+    snap = table(spark, d, "decision_snapshot")
+    last = F.broadcast(last_deliveries(snap, "snapshot_date", "delivered_at"))  # a row a snapshot
+    live = snap.join(last, ["snapshot_date", "delivered_at"]).select("ref", "snapshot_date", "_next", squeezed("tekst").alias("tekst"), squeezed("emne").alias("emne"), *[squeezed(f).alias(f) for f in FIELDS])
+    return live.withColumns({"doc": F.regexp_replace("ref", "#[^#]*$", ""), "rank": F.coalesce(F.expr("try_cast(substring_index(ref, '#', -1) as int)"), F.lit(0))})
+
+
+def _matched(spark, d):
+    """The decisions of the snapshot before the last as a run, the wordings of all as probes of a key, and their matches.
+
+    What is live in the last snapshot is a decision of the key, what was left undecided is to be ignored, and the rest are rejects. The minutes are those of the run; a
+    probe stands where its text does.
+    """
+    live = written(_live(spark, d), "live")
+    ends = F.broadcast(live.agg(F.max("snapshot_date").alias("z"), F.max(F.when(F.col("_next").isNotNull(), F.col("snapshot_date"))).alias("y")))
+    now = live.join(ends, F.col("snapshot_date") == F.col("y")).groupBy("doc", "ref", "rank").agg(F.max(F.struct("tekst", "emne", *FIELDS)).alias("x")).select("doc", "ref", "rank", "x.*")
+    placed = written(placed_words(now.withColumn("w", words("tekst")).withColumn("page", F.lit(None).cast("int"))), "run")
+    run = placed.select("doc", F.col("ref").alias("key"), F.col("udfald").alias("outcome"), F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"), F.concat_ws(" ", "emne", "tekst").alias("text"), *FIELDS)
+    items = live.groupBy("ref").agg(F.bool_or(F.col("_next").isNull()).alias("living"), F.max(F.struct("snapshot_date", *FIELDS)).alias("x"))
+    role = F.when(F.col("x.udfald") == "ikke_afgjort", "ignored").when(F.col("living"), "decision").otherwise("reject")
+    said = live.where("tekst <> ''").groupBy("doc", "ref", "tekst").agg(F.max("emne").alias("emne"))
+    p = said.join(items.select("ref", role.alias("role"), *[F.col(f"x.{f}").alias(f) for f in FIELDS]), "ref").withColumn("key", F.concat_ws("|", "ref", F.md5("tekst")))
+    p = written(p, "probes")
+    at = located_in(p.select("key", "doc", F.col("tekst").alias("quote"), F.lit(None).cast("int").alias("page")), blocks_of(placed)).select("key", F.col("pos").alias("a"))
+    probes = written(p.join(at, "key").withColumn("b", F.col("a") + F.greatest(F.size(words("tekst")), F.lit(1))), "located")
+    wanted = probes.select("doc", "key", F.col("udfald").alias("outcome"), "a", "b", F.concat_ws(" ", "emne", "tekst").alias("text"))
+    pairs = written(scored(wanted, run).withColumn("score", F.round("score", 9)), "scored")
+    return run, probes, one_to_one(pairs, "old", "new", "score", by=["doc"])
+
+
+@query()
+def decisions_matched(spark, d):
+    """The wordings of all snapshots matched one to one with the decisions of the one before the last, by where they stand in its minutes and what they say."""
+    return _matched(spark, d)[2]
+
+
+@query()
+def document_scores(spark, d):
+    """How the decisions of the snapshot before the last do against the last as an answer key, by document."""
+    run, probes, matches = _matched(spark, d)
+    key = probes.select("doc", F.col("key").alias("probe"), F.col("ref").alias("item"), "role", *FIELDS)
+    return scores_by_document(key, matches, run.select("doc", "key", *FIELDS), FIELDS, FIRM)
+
+
+@query(_MIN + """, lo as (select w.doc_id, w.ref, case when b.votes / b.n >= 0.8 - 1e-12 then greatest(b.s, 0) else st.s end as a, greatest(len(w.q), 1) as n
+ from w left join best b on b.doc_id = w.doc_id and b.qs = array_to_string(w.q, ' ') and len(w.q) >= 3 left join st on st.doc_id = w.doc_id and st.q = w.q),
+sp as (select doc_id, ref, a, a + n as b from lo where a is not null), ot as (select doc_id, ref, off as a, off + len(t) as b from o)
+select x.doc_id as doc, x.ref as outer_, y.ref as inner_, (least(x.b, y.b) - greatest(x.a, y.a)) / (y.b - y.a) as share from ot x join sp y on x.doc_id = y.doc_id and x.a < y.b and y.a < x.b where (least(x.b, y.b) - greatest(x.a, y.a)) / (y.b - y.a) > 0.5""")
+def covered_quotes(spark, d):
+    """The decisions of whose quote more than half lies in a decision's text."""
+    placed = written(placed_words(_said(spark, d)), "placed")
+    q = _quotes(spark, d).withColumn("page", F.lit(None).cast("int"))
+    at = located_in(q, blocks_of(placed)).where("found").select("key", F.col("pos").alias("a"))
+    inner = q.join(at, "key").select("key", "doc", "a", (F.col("a") + F.greatest(F.size(words("quote")), F.lit(1))).alias("b"))
+    outer = placed.select(F.col("ref").alias("key"), "doc", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
+    return covered(outer, inner).select("doc", F.col("outer").alias("outer_"), F.col("inner").alias("inner_"), "share")
