@@ -115,6 +115,21 @@ def html_links(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, html).mapInPandas(run, f"`{key}` {kind}, place int, url string, title string, section string")
 
 
+def linked_documents(links: DataFrame, organs: dict[str, str], by_url: dict[str, str], skip: str) -> DataFrame:
+    """(url, title, organ): the documents that index links lead to, the first link of each url.
+
+    The organ is that of the heading above the link; an unknown heading gives its own slug; a link under none (of a menu) has the organ of the first part of
+    ``by_url`` that its url holds, or drops out. Links whose title begins with ``skip`` drop out.
+    """
+    heading = F.lower("section")
+    known = F.coalesce(*[F.when(heading == h.lower(), o) for h, o in organs.items()])
+    slug = F.trim(F.regexp_replace(heading, r"[^\p{L}\p{N}_]+", "-"), F.lit("-"))
+    menu = F.coalesce(*[F.when(F.col("url").contains(part), o) for part, o in by_url.items()])
+    organ = F.when(F.col("section").isNull(), menu).otherwise(F.coalesce(known, slug))
+    rows = links.where(~F.col("title").startswith(skip)).withColumn("organ", organ).where("organ is not null")
+    return rows.groupBy("url").agg(F.min(F.struct("place", "title", "organ")).alias("x")).select("url", "x.title", "x.organ")
+
+
 def html_texts(pages: DataFrame, key: str, content: str, declared: str | None = None) -> DataFrame:
     """(key, text) of pages given as bytes or text; ``declared`` names a column with the character set that came with each."""
     kind = pages.schema[key].dataType.simpleString()

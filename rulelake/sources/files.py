@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import PurePosixPath
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +90,50 @@ def stored(df: DataFrame, path: str, *, within: str, by: list[str] | None = None
     (writer.partitionBy(*by) if by else writer).save(path)
 
 
+def stored_arrays(df: DataFrame, path: str, *, within: str) -> None:
+    """Writes each partition as one JSON array of its rows, an object a line, as the readers of nested files take them; a place below ``within`` as in ``stored``."""
+
+    def lines(batches):
+        held = None
+        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        for b in batches:
+            rows = b.column("j").to_pylist()
+            if rows:
+                out = ([held + ","] if held is not None else []) + [r + "," for r in rows[:-1]]
+                held = rows[-1]
+                yield pa.RecordBatch.from_pydict({"value": out}, schema=pa.schema([("value", pa.string())]))
+        yield pa.RecordBatch.from_pydict({"value": ([held] if held is not None else []) + ["]"]})
+
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    stored(rows.mapInArrow(lines, "value string"), path, within=within, format="text")
+
+
+def append_log(df: DataFrame, path: str, *, within: str) -> None:
+    """Appends rows as JSON lines to a log, in files of their own: a line that an earlier run left cut stays alone in its file and is passed over."""
+    stored(df, path, within=within, mode="append")
+
+
+def published(spark: SparkSession, staged: dict[str, DataFrame], checks, *, within: str) -> None:
+    """Writes tables beside their places below ``within``, checks them there, and only then puts them in place, in the order given.
+
+    ``checks`` takes the staged tables by name and returns what is wrong; then nothing is put in place and an error is raised.
+    """
+    fs_of = spark._jvm.org.apache.hadoop.fs.Path
+    paths = {}
+    for name, df in staged.items():
+        paths[name] = f"{within}/.staged-{uuid.uuid4().hex}-{name}"
+        stored(df, paths[name], within=within, format="parquet")
+    wrong = list(checks({n: spark.read.schema(df.schema).parquet(paths[n]) for n, df in staged.items()}))
+    root = fs_of(within).getFileSystem(spark._jsc.hadoopConfiguration())
+    if wrong:
+        for p in paths.values():
+            root.delete(fs_of(p), True)
+        raise ValueError("not published: " + "; ".join(map(str, wrong)))
+    for name, p in paths.items():
+        root.delete(fs_of(f"{within}/{name}"), True)
+        root.rename(fs_of(p), fs_of(f"{within}/{name}"))
+
+
 def site_payload(df: DataFrame, key: str) -> DataFrame:
     """(key, json): each row as JSON that may stand inside a page: no less-than sign is left bare."""
     return df.select(key, F.replace(F.to_json(F.struct(*df.columns)), F.lit("<"), F.lit("\\u003c")).alias("json"))
