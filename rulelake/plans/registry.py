@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, candidates, changes, details, history, judging, minutes, names, operations, pages, problems, scoring, sources, streams, texts  # noqa: F401
+from . import base, candidates, changes, details, finding, history, judging, minutes, names, operations, pages, problems, scoring, sources, streams, texts  # noqa: F401
 
 
 def queries() -> dict:
