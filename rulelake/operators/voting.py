@@ -35,11 +35,6 @@ PRIME = 2_147_483_647
 POISSON = [int(PRIME * sum(exp(-1) / factorial(i) for i in range(k))) for k in range(1, 13)]
 
 
-def thirds_weight(unit: Column, sample: Column) -> Column:
-    """How often a numbered unit is taken in a sample: 0, 1 or 2 times."""
-    return F.pmod(F.pmod(unit * 48_271 + sample * 69_621, F.lit(PRIME)) * 16_807, F.lit(PRIME)) % 3
-
-
 def named_unit(name: str) -> Column:
     """A unit for ``poisson_weight``: a start and a step of its own, from the hash of its name."""
     return F.struct(*[(F.conv(F.substring(F.md5(name), at, 15), 16, 10).cast("bigint") % PRIME).alias(c) for c, at in (("u", 1), ("v", 16))])
@@ -54,7 +49,7 @@ def poisson_weight(unit: Column, sample: Column) -> Column:
     return sum((F.when(w >= t, 1).otherwise(0) for t in POISSON), F.lit(0))
 
 
-def bootstrap(scores: DataFrame, unit: str, a: tuple[str, str], b: tuple[str, str], samples: int = 200, weight: Callable[[Column, Column], Column] = thirds_weight) -> DataFrame:
+def bootstrap(scores: DataFrame, unit: str, a: tuple[str, str], b: tuple[str, str], samples: int = 2000, weight: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Paired bootstrap of the difference of two pooled ratios over units: (difference, low, high, ahead).
 
     Each unit's part in a resample is a ``weight`` of a fixed rule of the unit and the sample's number, so that every engine draws
@@ -62,7 +57,7 @@ def bootstrap(scores: DataFrame, unit: str, a: tuple[str, str], b: tuple[str, st
     Sums per sample are combinable; nothing but the ``samples`` differences is gathered.
     """
     drawn = scores.select(unit, *a, *b, F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("s"))
-    w = weight(F.col(unit), F.col("s"))
+    w = (weight or poisson_weight)(F.col(unit), F.col("s"))
     drawn = drawn.withColumn("w", w)
     sums = drawn.groupBy("s").agg(*[F.sum(F.col(c) * F.col("w")).alias(c) for c in dict.fromkeys([*a, *b])])
     diff = sums.select((ratio(F.col(a[0]), F.col(a[1])) - ratio(F.col(b[0]), F.col(b[1]))).alias("d")).where("d is not null")

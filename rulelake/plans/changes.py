@@ -24,22 +24,6 @@ def _rules(spark, d):
     return r.withColumn("name", slugified(F.col("titel")))
 
 
-@query(f"with {_RULES} select name, count(*) as rules, min(slug) as first_slug from g group by name having count(*) > 1 union all select name, count(*), min(slug) from g where kategori = 'okonomi' group by name")
-def namesakes(spark, d):
-    g = _rules(spark, d)
-    agg = [F.count("*").alias("rules"), F.min("slug").alias("first_slug")]
-    return g.groupBy("name").agg(*agg).where("rules > 1").unionByName(g.where("kategori = 'okonomi'").groupBy("name").agg(*agg))
-
-
-@query(f"""with {_RULES}, o as (select *, left(name, 12) as stem, row_number() over (partition by left(name, 12) order by versions desc, first_, slug) as i from g)
-select stem, max(slug) filter (i = 1) as survivor, count(*) as merged, sum(versions)::bigint as versions, bool_or(vigtig) as vigtig, string_agg(titel, ' / ' order by i) filter (i <= 5) as titles from o group by stem having count(*) > 1""")
-def merged_rules(spark, d):
-    """Rules merged by the beginning of their name: the survivor has the most versions, then is oldest, then first; what they say is joined."""
-    o = _rules(spark, d).withColumn("stem", F.substring("name", 1, 12)).withColumn("i", F.row_number().over(Window.partitionBy("stem").orderBy(F.desc("versions"), "first_", "slug")))
-    titles = F.concat_ws(" / ", F.expr("transform(array_sort(collect_list(case when i <= 5 then struct(i, titel) end)), x -> x.titel)"))
-    return o.groupBy("stem").agg(F.max(F.when(F.col("i") == 1, F.col("slug"))).alias("survivor"), F.count("*").alias("merged"), F.sum("versions").alias("versions"), F.bool_or("vigtig").alias("vigtig"), titles.alias("titles")).where("merged > 1")
-
-
 @query(f"""with {_RULES}, o as (select *, row_number() over (partition by name order by versions desc, first_, slug) as i from g),
 nt as (select name, note, min(i) as i from o join (select distinct slug, note from v where note <> '') using (slug) group by all), ns as (select name, string_agg(note, ' ' order by i, note) as notes from nt group by name),
 tt as (select name, titel, min(i) as i from o group by all), ts as (select name, string_agg(titel, ' / ' order by i) as titles from tt group by name)
@@ -60,31 +44,6 @@ def rules_merged_by_name(spark, d):
     return both.select("name", F.col("p.slug").alias("survivor"), "merged", "versions", "vigtig", "titles", "notes")
 
 
-@query(f"""with {_RULES}, p as (select slug, effekt, count(*) as n, min(ref) as first_ref from x group by all), k as (select *, row_number() over (partition by slug order by n desc, first_ref) as i, sum(n) over (partition by slug) as total from p)
-select slug, effekt as part, case when i = 1 then slug else slug || '-' || i end as new_slug, n::bigint as versions, total::bigint = (select count(*) from x y where y.slug = k.slug) as complete from k""")
-def split_rules(spark, d):
-    """Rules split by effect: the largest part keeps the slug, the first on a tie; the parts must be an exact partition."""
-    v = versions(spark, d)
-    p = v.groupBy("slug", "effekt").agg(F.count("*").alias("n"), F.min("ref").alias("first_ref"))
-    w = Window.partitionBy("slug")
-    k = p.withColumn("i", F.row_number().over(w.orderBy(F.desc("n"), "first_ref"))).withColumn("total", F.sum("n").over(w))
-    own = v.groupBy("slug").agg(F.count("*").alias("own"))
-    name = F.when(F.col("i") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", F.col("i").cast("string")))
-    return k.join(own, "slug").select("slug", F.col("effekt").alias("part"), name.alias("new_slug"), F.col("n").alias("versions"), (F.col("total") == F.col("own")).alias("complete"))
-
-
-_OPS = f"""{_RULES}, gs as (select *, count(*) over (partition by left(name, 12)) as k from g),
-ops as (select slug, 'merge' as op from gs where k > 1 and k <= 3 union all select slug, 'rename' from gs where titel ~ '.*[0-9]{{4}}.*' union all select slug, 'move' from gs where versions >= 8 union all select slug, 'split' from gs where versions >= 10)"""
-
-
-@query(f"with {_OPS} select slug, string_agg(op, ' ' order by op) as ops from ops group by slug having count(*) > 1 and string_agg(op, ' ' order by op) <> 'move rename'")
-def op_conflicts(spark, d):
-    """Rules that several operations touch, except a move and a rename."""
-    g = _rules(spark, d).withColumn("k", F.count("*").over(Window.partitionBy(F.substring("name", 1, 12))))
-    ops = F.array_compact(F.array(F.when(F.col("versions") >= 8, "move"), F.when((F.col("k") > 1) & (F.col("k") <= 3), "merge"), F.when(F.col("titel").rlike("[0-9]{4}"), "rename"), F.when(F.col("versions") >= 10, "split")))
-    return g.select("slug", F.concat_ws(" ", F.array_sort(ops)).alias("ops"), F.size(ops).alias("n")).where("n > 1 and ops <> 'move rename'").drop("n")
-
-
 _ALIAS = f"""{_RULES}, al as (select slug as src, lead(slug) over (partition by left(name, 12) order by slug) as dst from g), ali as (select * from al where dst is not null)"""
 
 
@@ -149,7 +108,7 @@ def rebuild_guard(spark, d):
 
 _PLACES = f"""with {X}, fl as (select slug, ref, min(filed_at) as f from rule_version group by all), y as (select x.*, f from x join fl using (slug, ref))
 select a.slug, a.ref, count(b.ref) as place, case when count(b.ref) filter (b.effective > a.effective or (b.effective = a.effective and (b.decided > a.decided or (b.decided = a.decided and b.idx > a.idx)))) > 0 then 'late' else 'last' end as kind
-from y a left join y b on a.slug = b.slug and b.f < a.f and true where a.f >= '2020-01-01' group by all""".replace("count(b.ref) as place", "count(b.ref) filter (b.effective < a.effective or (b.effective = a.effective and (b.decided < a.decided or (b.decided = a.decided and b.idx < a.idx)))) as place")
+from y a left join y b on a.slug = b.slug and b.f < a.f and true group by all""".replace("count(b.ref) as place", "count(b.ref) filter (b.effective < a.effective or (b.effective = a.effective and (b.decided < a.decided or (b.decided = a.decided and b.idx < a.idx)))) as place")
 
 
 def _placed(spark, d):
@@ -159,14 +118,8 @@ def _placed(spark, d):
 
 
 @query(_PLACES)
-def insertion_points(spark, d):
-    """Where each version filed from 2020 on is inserted among those of its rule filed before it, and whether that is behind the last."""
-    return _placed(spark, d).where("f >= timestamp'2020-01-01'").select("slug", "ref", "place", "kind")
-
-
-@query(_PLACES.replace(" where a.f >= '2020-01-01'", ""))
 def insertion_points_all(spark, d):
-    """``insertion_points`` of every version, whenever it was filed."""
+    """Where each version is inserted among those of its rule filed before it, and whether that is behind the last."""
     return _placed(spark, d).select("slug", "ref", "place", "kind")
 
 

@@ -111,21 +111,6 @@ def solo_candidates(spark, d):
     return solo.join(m, ["doc_id", "candidate"], "left").groupBy("judge").agg(F.count("*").alias("solo"), F.count_if(F.col("verdict") == "keep").alias("kept"))
 
 
-@query(_SCORES + """, un as (select candidate as unit, count(*) filter (verdict = winner and vote.judge in (select judge from judge where model = 'model-a')) as ca, count(*) filter (vote.judge in (select judge from judge where model = 'model-a')) as ja,
- count(*) filter (verdict = winner and vote.judge in (select judge from judge where model = 'model-b')) as cb, count(*) filter (vote.judge in (select judge from judge where model = 'model-b')) as jb from vote join maj using (doc_id, candidate) group by candidate),
-dr as (select s, sum(ca * w) as ca, sum(ja * w) as ja, sum(cb * w) as cb, sum(jb * w) as jb from (select *, ((unit * 48271 + s * 69621) % 2147483647 * 16807 % 2147483647) % 3 as w from un, range(1, 201) t(s)) group by s),
-df as (select ca / nullif(ja, 0) - cb / nullif(jb, 0) as dd from dr), li as (select list_sort(list(dd)) as l, avg(case when dd > 0 then 1.0 else 0.0 end) as ahead from df where dd is not null)
-select (select sum(ca) / nullif(sum(ja), 0) - sum(cb) / nullif(sum(jb), 0) from un) as difference, l[floor((len(l) - 1) * 0.025)::int + 1] as low, l[floor((len(l) - 1) * 0.975)::int + 1] as high, ahead from li""")
-def model_bootstrap(spark, d):
-    """Model a against model b over the numbers of candidates as units."""
-    v = votes(spark, d)
-    m = majority(v, ["doc_id", "candidate"], "verdict", "judge").select("doc_id", "candidate", F.col("verdict").alias("winner"))
-    j = v.join(m, ["doc_id", "candidate"]).join(F.broadcast(table(spark, d, "judge").select("judge", "model")), "judge")
-    right = F.col("verdict") == F.col("winner")
-    units = j.groupBy(F.col("candidate").cast("bigint").alias("unit")).agg(*[f for x in "ab" for f in (F.count_if(right & (F.col("model") == f"model-{x}")).alias(f"c{x}"), F.count_if(F.col("model") == f"model-{x}").alias(f"j{x}"))])
-    return bootstrap(units, "unit", ("ca", "ja"), ("cb", "jb"))
-
-
 _POISSON = " + ".join(f"(w >= {t})::int" for t in POISSON)
 
 

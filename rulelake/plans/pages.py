@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.text import words
 from ..operators.asking import answer_status, fingerprinted
-from ..operators.identity import resolved
 from ..operators.order import ranked_within
 from ..operators.snapshots import last_deliveries
 from ..sources.files import site_payload
 from ..sources.tables import table
-from .base import CATEGORIES, D, V, decisions, query, quoted, rule_versions, versions
-from .changes import _ALIAS, _RULES, _rules
+from .base import D, V, decisions, query, rule_versions, versions
 from .history import _FORCE, _forced
-from .texts import _WORDS
 
 
 @query(f"""{_FORCE} select f.slug, cutoff, '- **' || x.titel || '**: ' || replace(x.essence, '|', '\\|') || ' (' || case when length(a.decided) = 10 then substr(a.decided, 9, 2) || '.' || substr(a.decided, 6, 2) || '.' || left(a.decided, 4)
@@ -44,44 +40,6 @@ def recent_meetings(spark, d):
     return top.withColumn("turn", turn).select("id", "title", "date", "turn", F.floor((F.col("turn") - 1) / 5 + 1).alias("page"))
 
 
-@query(f"""with w as (select doc_id, {_WORDS.format('text')} as w from documents), h as (select *, list_position(list_transform(w, lambda x: starts_with(x, 'doping')), true) as at from w)
-select doc_id, at - 1 as first_hit, array_to_string(w[greatest(at - 6, 1):greatest(at - 6, 1) + 23], ' ') as excerpt from h where at > 0""".replace(" as at", " as at_").replace("at - ", "at_ - ").replace("where at ", "where at_ "))
-def search_excerpts(spark, d):
-    """Around the first word that begins with the search: six words before it, 24 in all."""
-    h = table(spark, d, "documents").select("doc_id", words("text").alias("w"))
-    h = h.withColumn("hit", F.array_position(F.transform("w", lambda x: x.startswith("doping")), True)).where("hit > 0")
-    start = F.greatest(F.col("hit") - 6, F.lit(1)).cast("int")
-    return h.select("doc_id", (F.col("hit") - 1).alias("first_hit"), F.concat_ws(" ", F.slice("w", start, 24)).alias("excerpt"))
-
-
-#: A thesaurus of the sample: phrases of two words or one, by concept.
-CONCEPTS = [("deltagelse", "nye medlemmer"), ("deltagelse", "new members"), ("hjælp", "frivillige hjælpere"), ("hjælp", "volunteers"), ("gæster", "udenlandske gæster"), ("gæster", "foreign guests")]
-
-
-@query(f"""with w as (select doc_id, ' ' || array_to_string({_WORDS.format('text')}, ' ') || ' ' as t from documents), c(concept, phrase) as (values {", ".join(f"('{a}', '{b}')" for a, b in CONCEPTS)})
-select doc_id, concept, count(*) as phrases from w join c on contains(t, ' ' || phrase || ' ') group by all""")
-def concept_hits(spark, d):
-    concepts = spark.createDataFrame(CONCEPTS, "concept string, phrase string")
-    w = table(spark, d, "documents").select("doc_id", F.concat(F.lit(" "), F.concat_ws(" ", words("text")), F.lit(" ")).alias("t"))
-    return w.join(F.broadcast(concepts), F.expr("contains(t, concat(' ', phrase, ' '))")).groupBy("doc_id", "concept").agg(F.count("*").alias("phrases"))
-
-
-@query(f"""with {_RULES}, ops as (select slug, 'rename' as op, case when versions % 2 = 0 then titel else titel || ' ny' end as target from g union all select slug, 'move', case when versions % 3 = 0 then 'okonomi' when versions % 3 = 1 then 'ukendt' else kategori end from g
- union all select slug || case when versions = 1 then '-gone' else '' end, 'retire', 'andet' from g)
-select ops.slug, op, case when g.slug is null then 'unknown rule' when op = 'rename' and target = titel then 'same title' when op = 'move' and target not in ({quoted(CATEGORIES)}) then 'unknown category' when op = 'move' and target = kategori then 'same category' end as error from ops left join g using (slug)""")
-def validated_ops(spark, d):
-    """Proposed operations with the reason for which each cannot be done, null if it can."""
-    g = _rules(spark, d)
-    n = F.col("versions")
-    ops = g.select("slug", F.lit("rename").alias("op"), F.when(n % 2 == 0, F.col("titel")).otherwise(F.concat("titel", F.lit(" ny"))).alias("target"))
-    ops = ops.unionByName(g.select("slug", F.lit("move").alias("op"), F.when(n % 3 == 0, "okonomi").when(n % 3 == 1, "ukendt").otherwise(F.col("kategori")).alias("target")))
-    ops = ops.unionByName(g.select(F.when(n == 1, F.concat("slug", F.lit("-gone"))).otherwise(F.col("slug")).alias("slug"), F.lit("retire").alias("op"), F.lit("andet").alias("target")))
-    j = ops.join(g.select("slug", "titel", "kategori", F.lit(True).alias("live")), "slug", "left")
-    move = F.col("op") == "move"
-    error = F.when(F.col("live").isNull(), "unknown rule").when((F.col("op") == "rename") & (F.col("target") == F.col("titel")), "same title").when(move & ~F.col("target").isin(CATEGORIES), "unknown category").when(move & (F.col("target") == F.col("kategori")), "same category")
-    return j.select("slug", "op", error.alias("error"))
-
-
 @query(f"""with {V}, u as (select ref, doc_id, rank from d where ref not in (select ref from v)), m as (select doc_id, max(try_cast(regexp_extract(ref, '#([0-9]+)$', 1) as int)) as top from d group by doc_id)
 select ref, doc_id || '#' || (top + row_number() over (partition by doc_id order by rank, ref)) as new_id from u join m using (doc_id)""")
 def assigned_numbers(spark, d):
@@ -105,25 +63,11 @@ def rotated_candidates(spark, d):
     return v.select("doc_id", "vote", F.concat_ws(" ", turned.cast("array<string>")).alias("offered"))
 
 
-_FIELDS = ["emne", "udfald", "tekst"]
-_KEPT = """a as (select ref, trim(regexp_replace(udfald, '\\s+', ' ', 'g')) as u from decision_snapshot where snapshot_date = (select min(snapshot_date) from decision_snapshot)),
-k as (select ref, max(u) as u from a group by ref)"""
-
-
-@query(f"with {D}, {_KEPT} select d.ref, case when k.ref is null then 'missing' when k.u = d.udfald then 'current' else 'stale' end as status from (select distinct ref, udfald from d) d left join k using (ref)")
-def answers_kept(spark, d):
-    """Which decisions' answers, kept from the first snapshot, are current, stale or missing."""
-    snap = table(spark, d, "decision_snapshot")
-    first = snap.join(F.broadcast(snap.agg(F.min("snapshot_date").alias("m"))), F.col("snapshot_date") == F.col("m"))
-    kept = first.groupBy("ref").agg(F.max(F.trim(F.regexp_replace("udfald", r"\s+", " "))).alias("udfald"))
-    return answer_status(fingerprinted(decisions(spark, d).select("ref", "udfald").distinct(), ["udfald"]), fingerprinted(kept, ["udfald"]), "ref")
-
-
 @query(f"""with {D}, l as (select snapshot_date, max(delivered_at) as delivered_at from decision_snapshot group by 1),
 k as (select snapshot_date, ref, max(trim(regexp_replace(udfald, '\\s+', ' ', 'g'))) as u from decision_snapshot join l using (snapshot_date, delivered_at) group by all)
 select snapshot_date, d.ref, case when k.ref is null then 'missing' when k.u = d.udfald then 'current' else 'stale' end as status from (select distinct ref, udfald from d) d cross join (select snapshot_date from l) left join k using (snapshot_date, ref)""")
 def answers_kept_by_snapshot(spark, d):
-    """``answers_kept`` for the answers kept from every snapshot, each by its last delivery."""
+    """Which decisions' answers, kept from each snapshot by its last delivery, are current, stale or missing."""
     snap = table(spark, d, "decision_snapshot")
     last = F.broadcast(last_deliveries(snap, "snapshot_date", "delivered_at").drop("_next"))  # a row a snapshot
     at = F.struct("snapshot_date", "ref").alias("at")
@@ -131,11 +75,3 @@ def answers_kept_by_snapshot(spark, d):
     asked = decisions(spark, d).select("ref", "udfald").distinct().crossJoin(last.select("snapshot_date")).select(at, "udfald")
     return answer_status(fingerprinted(asked, ["udfald"]), fingerprinted(kept, ["udfald"]), "at").select("at.snapshot_date", "at.ref", "status")
 
-
-@query(f"with recursive {_ALIAS}, walk as (select src, dst, 1 as hops from ali union all select walk.src, ali.dst, hops + 1 from walk join ali on walk.dst = ali.src), t as (select src, arg_max(dst, hops) as target from walk group by src) select target, count(*) as former, bool_and(target in (select slug from g)) as live from t group by target")
-def former_slugs(spark, d):
-    """Where former slugs lead: the rule, how many lead to it, and whether it is live."""
-    g = _rules(spark, d)
-    al = g.select(F.col("slug").alias("src"), F.lead("slug").over(Window.partitionBy(F.substring("name", 1, 12)).orderBy("slug")).alias("dst")).where("dst is not null")
-    live = g.select(F.col("slug").alias("target"), F.lit(True).alias("l"))
-    return resolved(al).join(live, "target", "left").groupBy("target").agg(F.count("*").alias("former"), F.bool_and(F.col("l").isNotNull()).alias("live"))

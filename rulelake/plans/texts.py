@@ -212,22 +212,6 @@ def reading_order(spark, d):
     return ranked_within(c, "doc_id", ["carried", "rank", "ref"], "reading").select("doc_id", "ref", "reading")
 
 
-@query(f"""with {D}, s as (select distinct ref, doc_id, trim(emne) || ' ' || trim(tekst) as t from decision_snapshot where snapshot_date = (select min(snapshot_date) from decision_snapshot)),
-g as (select ref, t.w as w from (select ref, {_WORDS.format("emne || ' ' || tekst")} as w from d) t), h as (select ref, {_WORDS.format('min(t)')} as w from s group by ref),
-a as (select distinct ref, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as gram from g where len(w) >= 3),
-b as (select distinct ref, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as gram from h where len(w) >= 3),
-na as (select ref, count(*) as n from a group by ref), nb as (select ref, count(*) as n from b group by ref), sh as (select ref, count(*) as n from a join b using (ref, gram) group by ref)
-select na.ref, round(coalesce(sh.n, 0) / (na.n + nb.n - coalesce(sh.n, 0)), 9) as similarity from na join nb using (ref) left join sh using (ref)""")
-def same_ref_similarity(spark, d):
-    snap = table(spark, d, "decision_snapshot")
-    first = snap.agg(F.min("snapshot_date").alias("f"))
-    s = snap.join(F.broadcast(first), F.col("snapshot_date") == F.col("f")).groupBy("ref").agg(F.min(F.concat_ws(" ", F.trim("emne"), F.trim("tekst"))).alias("t"))
-    a = decisions(spark, d).select("ref", F.array_distinct(trigrams(words(F.concat_ws(" ", "emne", "tekst")))).alias("ga"))
-    b = s.select("ref", F.array_distinct(trigrams(words("t"))).alias("gb"))
-    j = a.join(b, "ref").where("size(ga) > 0 and size(gb) > 0")
-    return j.select("ref", F.round(jaccard(F.size(F.array_intersect("ga", "gb")), F.size("ga"), F.size("gb")), 9).alias("similarity"))
-
-
 @query(f"""with {D}, s as (select distinct snapshot_date, ref, trim(emne) || ' ' || trim(tekst) as t from decision_snapshot join (select snapshot_date, max(delivered_at) as delivered_at from decision_snapshot group by 1) using (snapshot_date, delivered_at)),
 g as (select ref, t.w as w from (select ref, {_WORDS.format("emne || ' ' || tekst")} as w from d) t), h as (select snapshot_date, ref, {_WORDS.format('min(t)')} as w from s group by all),
 a as (select distinct ref, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as gram from g where len(w) >= 3),
@@ -235,7 +219,7 @@ b as (select distinct snapshot_date, ref, unnest(list_transform(range(1, len(w)
 na as (select ref, count(*) as n from a group by ref), nb as (select snapshot_date, ref, count(*) as n from b group by all), sh as (select snapshot_date, ref, count(*) as n from a join b using (ref, gram) group by all)
 select nb.snapshot_date, nb.ref, round(coalesce(sh.n, 0) / (na.n + nb.n - coalesce(sh.n, 0)), 9) as similarity from na join nb on na.ref = nb.ref left join sh on sh.snapshot_date = nb.snapshot_date and sh.ref = nb.ref""")
 def same_ref_similarities(spark, d):
-    """``same_ref_similarity`` against every snapshot, each by its last delivery."""
+    """How alike each decision and its ref in every snapshot are, by the snapshot's last delivery: shared word trigrams of all."""
     snap = table(spark, d, "decision_snapshot")
     last = F.broadcast(last_deliveries(snap, "snapshot_date", "delivered_at").drop("_next"))  # a row a snapshot
     live = snap.join(last, ["snapshot_date", "delivered_at"]).select("ref", F.struct("snapshot_date", F.concat_ws(" ", F.trim("emne"), F.trim("tekst")).alias("t")).alias("x"))
