@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -41,3 +42,33 @@ def answered(df: DataFrame, key: str, inputs: Sequence[str], kept: DataFrame, as
     new = written(open_.mapInPandas(run, "fingerprint bigint, answer string"), "answers")  # asked once, however often the result is read
     known = kept.groupBy("fingerprint").agg(F.max("answer").alias("answer")).unionByName(new)
     return rows.select(key, "fingerprint").join(known, "fingerprint", "left").select(key, "fingerprint", "answer")
+
+
+def answered_within(df: DataFrame, key: str, inputs: Sequence[str], kept: DataFrame, ask: Callable[[pd.DataFrame], Sequence[str]], *, seconds: float, cost: float, price: Callable[[str], float] = len, batch: int = 1000) -> tuple[DataFrame, dict]:
+    """``answered`` within a time and a cost: batches of distinct inputs are asked until either is spent, and no batch begins after that.
+
+    Returns the answers, null where none was asked for yet, and what was spent: ``asked``, ``skipped``, ``seconds``, ``cost``. ``price`` gives the cost of an answer. A batch that has
+    begun is finished, so a limit may be passed by one batch.
+    """
+    began, spent, asked = time.monotonic(), 0.0, 0
+    rows = written(fingerprinted(df.select(key, *inputs), inputs), "asked")
+    known = written(kept.select("fingerprint", "answer"), "answers")
+    value = F.pandas_udf(_priced(price), "double")
+    while time.monotonic() - began < seconds and spent < cost:
+        more = answered(rows, key, inputs, known, ask, most=batch).where("answer is not null").select("fingerprint", "answer").distinct()
+        new = written(more.join(known, "fingerprint", "left_anti"), "answers")
+        n, paid = new.agg(F.count("*"), F.coalesce(F.sum(value("answer")), F.lit(0.0))).first()
+        if not n:
+            break
+        asked, spent, known = asked + n, spent + paid, written(known.unionByName(new), "answers")
+    left = rows.select("fingerprint").distinct().join(known, "fingerprint", "left_anti").count()
+    best = known.groupBy("fingerprint").agg(F.max("answer").alias("answer"))
+    out = rows.select(key, "fingerprint").join(best, "fingerprint", "left").select(key, "fingerprint", "answer")
+    return out, {"asked": asked, "skipped": left, "seconds": time.monotonic() - began, "cost": spent}
+
+
+def _priced(price: Callable[[str], float]):
+    def run(answers: pd.Series) -> pd.Series:
+        return answers.map(lambda a: float(price(a)))
+
+    return run

@@ -181,3 +181,27 @@ def passages(places: DataFrame, blocks: DataFrame, *, block: int = BLOCK) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["key", "first", "last", "words"])
 
     return read.mapInArrow(cut, f"key {kind}, first bigint, last bigint, words string")
+
+
+def containing(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(doc, a, b): quotes of a document of which one holds the other, case, signs and white space aside; both sides have doc, key and quote.
+
+    What holds a quote of three words or more holds its rarest three words in a row, so only those are joined; shorter quotes are joined by their first word. Null
+    and empty quotes hold nothing.
+    """
+    sides = []
+    for df, x in ((a, "a"), (b, "b")):
+        sides.append(written(df.select("doc", F.col("key").alias(x), words_of("quote").alias("w")).where("size(w) > 0 and doc is not null").withColumn("t", F.concat(F.lit(" "), F.concat_ws(" ", "w"), F.lit(" "))), "quotes"))
+
+    def pairs(inner: DataFrame, i: str, outer: DataFrame, o: str) -> DataFrame:
+        out = None
+        for n, size in ((3, "size(w) > 2"), (1, "size(w) < 3")):
+            held = outer.select("doc", o, F.col("t").alias("to"), F.explode(F.array_distinct(grams(F.col("w"), n))).alias("gram"))
+            often = held.groupBy("doc", "gram").agg(F.count("*").alias("f"))
+            own = inner.where(size).select("doc", i, F.col("t").alias("ti"), F.explode(F.array_distinct(grams(F.col("w"), n))).alias("gram")).join(often, ["doc", "gram"])
+            rare = own.groupBy("doc", i, "ti").agg(F.min(F.struct("f", "gram")).alias("x")).select("doc", i, "ti", F.col("x.gram").alias("gram"))
+            part = rare.join(held, ["doc", "gram"]).where(F.col("to").contains(F.col("ti"))).select("doc", "a", "b")
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    return pairs(sides[0], "a", sides[1], "b").unionByName(pairs(sides[1], "b", sides[0], "a")).distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import squeezed, words
-from ..operators.locating import located_in, passages, word_blocks
+from ..operators.locating import containing, located_in, passages, word_blocks
 from ..operators.matching import covered, scored, scores_by_document
 from ..operators.order import summed_before
 from ..operators.quotes import one_to_one
@@ -139,3 +139,11 @@ def covered_quotes(spark, d):
     inner = q.join(at, "key").select("key", "doc", "a", (F.col("a") + F.greatest(F.size(words("quote")), F.lit(1))).alias("b"))
     outer = placed.select(F.col("ref").alias("key"), "doc", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
     return covered(outer, inner).select("doc", F.col("outer").alias("outer_"), F.col("inner").alias("inner_"), "share")
+
+
+@query(f"""with {D}, n as (select doc_id, ref, ' ' || array_to_string({_WORDS.format('citat')}, ' ') || ' ' as q, ' ' || array_to_string({_WORDS.format('tekst')}, ' ') || ' ' as e from d)
+select a.doc_id as doc, a.ref as a, b.ref as b from n a join n b on a.doc_id = b.doc_id and a.q <> '  ' and b.e <> '  ' and (contains(a.q, b.e) or contains(b.e, a.q))""")
+def corrections_matched(spark, d):
+    """Which decision a correction of its document means: one whose quote holds what the correction quotes, here the text of each decision, or is held by it."""
+    dec = decisions(spark, d)
+    return containing(*[dec.select(F.col("doc_id").alias("doc"), F.col("ref").alias("key"), F.col(c).alias("quote")) for c in ("citat", "tekst")])

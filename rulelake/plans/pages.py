@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators.asking import answer_status, fingerprinted
+from ..operators.asking import answer_status, answered, fingerprinted
 from ..operators.order import ranked_within
 from ..operators.snapshots import last_deliveries
 from ..sources.files import site_payload
@@ -75,3 +75,14 @@ def answers_kept_by_snapshot(spark, d):
     asked = decisions(spark, d).select("ref", "udfald").distinct().crossJoin(last.select("snapshot_date")).select(at, "udfald")
     return answer_status(fingerprinted(asked, ["udfald"]), fingerprinted(kept, ["udfald"]), "at").select("at.snapshot_date", "at.ref", "status")
 
+
+
+def _shouted(batch):
+    return batch["emne"].fillna("").str.upper().tolist()
+
+
+@query(f"with {D} select ref, upper(coalesce(emne, '')) as answer from d")
+def answers_asked(spark, d):
+    """An answer for every decision from an outside function, each distinct subject asked once and the answers kept."""
+    none = spark.createDataFrame([], "fingerprint bigint, answer string")
+    return answered(decisions(spark, d).select("ref", "emne"), "ref", ["emne"], none, _shouted).select("ref", "answer")

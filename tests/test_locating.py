@@ -3,7 +3,7 @@
 import random
 import re
 
-from rulelake.operators.locating import located_in, occurrences, passages, start_pages, word_blocks
+from rulelake.operators.locating import containing, located_in, occurrences, passages, start_pages, word_blocks
 from rulelake.sources.documents import page_words
 
 TEXT = "[Side 1]\nPunkt 5. Det foreslås at alle klubber skal stille med to dommere ved stævner. Debat.\n[Side 2]\nVedtaget: at alle klubber skal stille med to dommere ved stævner.\n"
@@ -108,3 +108,15 @@ def test_passages_reach_to_the_vote(spark):
 def test_pages_before_a_header():
     assert start_pages(3, ["a", "b", "c"], ["x", "y", "z", "a", "b", "c"], [1, 1, 2, 2, 2, 2], 0) == [2]
     assert start_pages(3, ["a", "b", "q"], ["x", "y", "z", "a", "b", "c"], [1, 1, 2, 2, 2, 2], 0) == [1, 2]
+
+
+def test_quotes_that_hold_each_other(spark):
+    rng = random.Random(3)
+    vocabulary = ["a", "b", "c", "d"]
+    rows = [(d, f"{d}{i}", "  ".join(rng.choice(vocabulary) for _ in range(rng.choice([0, 1, 2, 3, 5, 9]))).upper() or rng.choice([None, "", "..."])) for d in "xy" for i in range(40)]
+    a, b = rows[::2], rows[1::2]
+    pad = lambda t: f" {' '.join(words(t))} "
+    want = {(d, k, m) for d, k, t in a for e, m, u in b if d == e and words(t) and words(u) and (pad(t) in pad(u) or pad(u) in pad(t))}
+    frames = [spark.createDataFrame(x, "doc string, key string, quote string") for x in (a, b)]
+    got = [tuple(r) for r in containing(*frames).collect()]
+    assert set(got) == want and len(got) == len(want)
