@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import words
 from ..sources.tables import written
 
+#: The share of trigrams that must line up, and the words before and after a start whose votes count for it.
 THRESHOLD, SLACK, GAP = 0.8, 2, 8
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import row_hash, squeezed, words
-from ..operators.identity import compared, holders, resolved, run_lengths
+from ..operators.identity import compared, holders, run_lengths
 from ..operators.order import few, global_rank
 from ..operators.quotes import jaccard, one_to_one, trigrams
 from ..operators.snapshots import last_deliveries
@@ -44,16 +44,6 @@ def rules_merged_by_name(spark, d):
     return both.select("name", F.col("p.slug").alias("survivor"), "merged", "versions", "vigtig", "titles", "notes")
 
 
-_ALIAS = f"""{_RULES}, al as (select slug as src, lead(slug) over (partition by left(name, 12) order by slug) as dst from g), ali as (select * from al where dst is not null)"""
-
-
-@query(f"with recursive {_ALIAS}, walk as (select src, dst, 1 as hops from ali union all select walk.src, ali.dst, hops + 1 from walk join ali on walk.dst = ali.src) select src, arg_max(dst, hops) as target from walk group by src")
-def alias_targets(spark, d):
-    g = _rules(spark, d)
-    al = g.select(F.col("slug").alias("src"), F.lead("slug").over(Window.partitionBy(F.substring("name", 1, 12)).orderBy("slug")).alias("dst")).where("dst is not null")
-    return resolved(al)
-
-
 @query(f"with {X}, c as (select doc_id, slug, count(*) as shared from x group by all) select doc_id, slug, shared from c qualify row_number() over (partition by doc_id order by shared desc, slug) = 1")
 def holder_rules(spark, d):
     return holders(versions(spark, d).select("doc_id", "slug"), "doc_id", "slug")

@@ -99,6 +99,7 @@ def judge_stability(spark, d):
     k = votes(spark, d).where("verdict = 'keep'")
     c = k.groupBy("judge").agg(F.count("*").alias("n"))
     p = k.select("doc_id", "candidate", F.col("judge").alias("a")).join(k.select("doc_id", "candidate", F.col("judge").alias("b")), ["doc_id", "candidate"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("m"))
+    # a row a judge, of whom there are forty
     x, y = c.select(F.col("judge").alias("a"), F.col("n").alias("x")), c.select(F.col("judge").alias("b"), F.col("n").alias("y"))
     return p.join(F.broadcast(x), "a").join(F.broadcast(y), "b").select("a", "b", (2 * F.col("m") / (F.col("x") + F.col("y"))).alias("stability"))
 

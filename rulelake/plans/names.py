@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.identity import resolved
 from ..operators.order import ranked_within
 from ..operators.slugs import carried, successors, unique_slugs
 from ..sources.tables import table, written
@@ -131,3 +132,11 @@ def register_problems(spark, d):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query(_FORMER.replace("with ", "with recursive ", 1) + """, walk as (select slug as src, dst, 1 as hops from former where dst is not null union all select walk.src, f.dst, hops + 1 from walk join former f on f.slug = walk.dst where f.dst is not null)
+select src, arg_max(dst, hops) as target from walk group by src""")
+def alias_chains(spark, d):
+    """Where the targets of former slugs lead in the end, over targets that are former slugs themselves."""
+    former = _former(spark, d)[0]
+    return resolved(former.select(F.col("slug").alias("src"), F.col("to").alias("dst")))

@@ -90,6 +90,7 @@ def parsed_date(title, name):
     def iso(y, m, day):
         return F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd").cast("string")
 
+    # fixed values: the forms of dates in names
     month = F.array_position(F.array(*map(F.lit, MONTHS)), F.regexp_extract(low, _TEXT_DATE, 2)).cast("string")
     eight, six, year = r"(?<![0-9])(\d{2})(\d{2})((?:19|20)\d{2})(?![0-9])", r"(?<![0-9])(\d{2})(\d{2})(\d{2})(?![0-9])", r"(?<![0-9])((?:19|20)\d{2})(?![0-9])"
     both = F.concat_ws(" ", low, stem)
