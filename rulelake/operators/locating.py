@@ -8,15 +8,13 @@ once. Documents are blocks of words, so none is gathered in a task.
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import words as words_of
 from ..sources.tables import written
-from .quotes import GAP, SLACK, THRESHOLD, grams
+from .quotes import GAP, SLACK, THRESHOLD, grams, pooled, votes_of
 
 #: Words of a block of a document.
 BLOCK = 512
@@ -51,28 +49,13 @@ def start_pages(start: int, quote: list, ws: list, pages: list, at: int) -> list
 
 def occurrences(quote: list, ws: list, pages: list, at: int, low: int, high: int) -> list[tuple]:
     """(-pooled, -own, anchor, start, page, pages): where a quote of three words or more stands, for starts from ``low`` to ``high``; ``ws`` are the words from ``at`` on."""
-    places = defaultdict(list)
-    for j in range(len(quote) - 2):
-        places[tuple(quote[j : j + 3])].append(j)
-    votes: dict[int, set[int]] = defaultdict(set)
-    for i in range(len(ws) - 2):
-        for j in places.get((ws[i], ws[i + 1], ws[i + 2]), ()):
-            votes[at + i - j].add(j)
-
-    def pooled(anchor: int, used: set) -> dict[int, int]:
-        near: dict[int, int] = {}
-        for s in sorted(range(anchor - SLACK, anchor + GAP + 1), key=lambda s: (abs(s - anchor), s)):
-            for j in votes.get(s, ()):
-                if (s, j) not in used:
-                    near.setdefault(j, s)
-        return near
-
-    anchors = sorted((-len(pooled(a, set())), -len(votes[a]), a) for a in votes if low <= a <= high)
+    votes = votes_of(quote, ws, at)
+    anchors = sorted((-len(pooled(votes, a)), -len(votes[a]), a) for a in votes if low <= a <= high)
     out, used, need = [], set(), THRESHOLD * (len(quote) - 2)
     for p, own, a in anchors:
         if -p < need - 1e-9:
             break
-        near = pooled(a, used)
+        near = pooled(votes, a, used)
         if len(near) >= need - 1e-9:
             used.update((s, j) for j, s in near.items())
             start = max(near[min(near)], 0)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,29 +29,59 @@ def trigrams(ws):
     return grams(ws, 3)
 
 
+def votes_of(quote: list, ws: list, at: int = 0) -> dict[int, set[int]]:
+    """The starts that the trigrams of a quote imply by their places among words, the first of which is word ``at``: start -> trigrams, by their place in the quote."""
+    places, votes = defaultdict(list), defaultdict(set)
+    for j in range(len(quote) - 2):
+        places[tuple(quote[j : j + 3])].append(j)
+    for i in range(len(ws) - 2):
+        for j in places.get((ws[i], ws[i + 1], ws[i + 2]), ()):
+            votes[at + i - j].add(j)
+    return votes
+
+
+def pooled(votes: dict[int, set[int]], anchor: int, used: set = frozenset()) -> dict[int, int]:
+    """The trigrams that vote near an anchor, from ``SLACK`` before to ``GAP`` after, each with the nearest of its starts; (start, trigram) pairs that are used do not count."""
+    near: dict[int, int] = {}
+    for s in sorted(range(anchor - SLACK, anchor + GAP + 1), key=lambda s: (abs(s - anchor), s)):
+        for j in votes.get(s, ()):
+            if (s, j) not in used:
+                near.setdefault(j, s)
+    return near
+
+
+def best_start(quote: list, ws: list) -> tuple[float, int] | None:
+    """How much of a quote lines up among words, and the word at which it starts; None where nothing does."""
+    if len(quote) < 3:
+        at = next((i for i in range(len(ws) - len(quote) + 1) if ws[i : i + len(quote)] == quote), None) if quote else None
+        return None if at is None else (1.0, at)
+    votes = votes_of(quote, ws)
+    if not votes:
+        return None
+    _, _, anchor = max((len(pooled(votes, a)), len(votes[a]), -a) for a in votes)
+    near = pooled(votes, -anchor)
+    return len(near) / (len(quote) - 2), max(near[min(near)], 0)
+
+
 def located(df: DataFrame, key: str, quote: str, text: str) -> DataFrame:
-    """(key, share, start): how much of a quote lines up in its text, and the word at which it starts; absent where nothing does.
+    """(key, share, start): how much of a quote lines up in the text of its row, and the word at which it starts; absent where nothing does.
 
     Each trigram of the quote votes for the start that its place in the text implies; votes near an anchor, from ``SLACK`` before to ``GAP``
     after, are pooled, each trigram once. The best anchor has the most pooled votes, then the most of its own, then is
-    earliest. The bounded range of votes is made an equi-join by giving each vote to the eleven anchors it can serve. A quote of one
-    or two words is found verbatim only, with share 1.
+    earliest. A quote of one or two words is found verbatim only, with share 1. Quote and text stand in one row, so nothing is shuffled.
     """
-    w = df.select(key, words(quote).alias("q"), words(text).alias("t"))
-    g = w.select(key, trigrams(F.col("q")).alias("qg"), trigrams(F.col("t")).alias("tg"))
-    q = g.select(key, F.size("qg").alias("n"), F.posexplode("qg").alias("j", "gram"))
-    t = g.select(key, F.posexplode("tg").alias("at", "gram"))
-    votes = q.join(t, [key, "gram"]).select(key, "n", "j", (F.col("at") - F.col("j")).alias("s"))
-    own = votes.groupBy(key, "s").agg(F.count("*").alias("own"))
-    served = votes.select(key, "n", "j", "s", F.explode(F.sequence(F.col("s") - GAP, F.col("s") + SLACK)).alias("anchor"))
-    pooled = served.groupBy(key, "anchor").agg(F.max("n").alias("n"), F.count_distinct("j").alias("votes"), F.min(F.struct("j", F.abs(F.col("s") - F.col("anchor")).alias("far"), "s")).alias("first"))
-    ranked = pooled.join(own.withColumnRenamed("s", "anchor"), [key, "anchor"])
-    best = ranked.groupBy(key).agg(F.max(F.struct("votes", "own", (-F.col("anchor")).alias("a"), "n", "first")).alias("x"))
-    long = best.select(key, (F.col("x.votes") / F.col("x.n")).alias("share"), F.greatest(F.col("x.first.s"), F.lit(0)).alias("start"))
-    phrase = F.concat_ws(" ", "q")
-    runs = F.when(F.size("q") == 1, F.col("t")).otherwise(grams(F.col("t"), 2))
-    short = w.where(F.size("q").isin(1, 2)).select(key, F.array_position(runs, phrase).alias("p")).where("p > 0").select(key, F.lit(1.0).alias("share"), (F.col("p") - 1).cast("int").alias("start"))
-    return long.unionByName(short)
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            at, share, start = [], [], []
+            for i, (q, t) in enumerate(zip(b.column("_q").to_pylist(), b.column("_t").to_pylist())):
+                found = best_start(q, t)
+                if found:
+                    at.append(i), share.append(found[0]), start.append(found[1])
+            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(at, pa.int64())), pa.array(share, pa.float64()), pa.array(start, pa.int32())], [key, "share", "start"])
+
+    return df.select(key, words(quote).alias("_q"), words(text).alias("_t")).mapInArrow(run, f"`{key}` {kind}, share double, start int")
 
 
 def overlap(a0, a1, b0, b1):
