@@ -38,9 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def removed_at_end(spark: SparkSession, path: str) -> None:
-    """Has the file system remove a path when the session's JVM ends."""
+    """Has the file system remove a path when the session's JVM ends. A path that is not there yet is made, as only what exists can be marked."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(p):
+        files.mkdirs(p)
+    files.deleteOnExit(p)
 
 
 def cut(df: DataFrame) -> DataFrame:
