@@ -6,26 +6,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import squeezed, words
-from ..operators.locating import containing, located_in, passages, word_blocks
+from ..operators.locating import WHOLE, containing, large_documents, located_in, passages, read_whole, text_blocks
 from ..operators.matching import covered, scored, scores_by_document
 from ..operators.order import summed_before
 from ..operators.quotes import one_to_one
 from ..operators.snapshots import last_deliveries
-from ..sources.tables import table, written
+from ..sources.tables import freed, table, written
 from .base import D, decisions, query
 from .texts import _WORDS
 
 
 def placed_words(said: DataFrame) -> DataFrame:
     """``said`` (doc, rank, ref, page, w: words) with ``n`` words and ``start``, the place of the first among the words of the document."""
-    return summed_before(said.withColumn("n", F.size("w")), "doc", ["rank", "ref"], "n", "start")
+    return summed_before(said.withColumn("n", F.size("w")), "doc", [F.asc_nulls_last("rank"), F.asc_nulls_last("ref")], "n", "start")
 
 
 def blocks_of(placed: DataFrame) -> DataFrame:
-    return written(word_blocks(placed.select("doc", "start", "page", F.posexplode("w").alias("i", "word")).select("doc", (F.col("start") + F.col("i")).alias("pos"), "word", "page")), "minutes")
+    return written(text_blocks(placed), "minutes")
 
 
-def _said(spark, d) -> DataFrame:
+#: The columns of a decision that only tell it apart from others.
+_PAGES = ("side", "side_rettet")
+
+
+def _said(rows: DataFrame) -> DataFrame:
+    """(doc, key, rank, page, w, q, v, one): the rows of decisions with the words of their text, quote and vote; ``one`` tells decisions apart, by all columns but the page."""
+    all_of = [x for c in rows.columns if c not in _PAGES for x in (F.col(c), F.col(c).isNull())]
+    said = [F.concat_ws(" ", words(c)).alias(n) for c, n in (("tekst", "w"), ("citat", "q"), ("stemmer", "v"))]
+    one = F.concat_ws(" ", F.xxhash64(*all_of).cast("string"), F.xxhash64(F.lit(1), *reversed(all_of)).cast("string"))
+    return rows.select(F.col("doc_id").alias("doc"), F.col("ref").alias("key"), "rank", F.col("side").cast("int").alias("page"), *said, one.alias("one"))
+
+
+def _read(spark, d, *, cite: bool = True, around: bool = False, whole: int = WHOLE) -> DataFrame:
+    """As ``read_whole``, of the decisions of all documents: those of up to ``whole`` bytes in one piece, others by blocks. A decision without a document has no place.
+
+    A decision's page is the least that its rows in the document name.
+    """
+    rows = table(spark, d, "decision")
+    large = large_documents(rows, "doc_id", ["tekst", "citat"], whole)
+    nowhere = _said(rows.where("doc_id is null")).select("doc", "key", "rank", "q", "w", "one").distinct()
+    small = read_whole(_said(rows.where("doc_id is not null").join(large, "doc_id", "left_anti")), cite, around)
+    none = lambda n: F.lit(None).cast(small.schema[n].dataType).alias(n)
+    count = lambda c: F.when(F.col(c) == "", 0).otherwise(F.size(F.split(c, " ")))
+    out = small.unionByName(nowhere.select("doc", "key", *[none(c) for c in small.columns if c not in ("doc", "key", "n", "m")], count("w").alias("n"), count("q").alias("m")))
+    if large.isEmpty():
+        return out
+    own = written(_said(rows.join(large, "doc_id", "left_semi")).withColumnRenamed("key", "ref"), "rows")
+    page = own.groupBy("doc", "ref").agg(F.min("page").alias("page"))
+    own = own.drop("page").dropDuplicates(["doc", "ref", "rank", "one"])
+    same = own["ref"].eqNullSafe(page["ref"]) & (own["doc"] == page["doc"])
+    own = own.join(page, same).select(own["*"], page["page"]).withColumn("w", F.when(F.col("w") == "", F.array().cast("array<string>")).otherwise(F.split("w", " ")))
+    placed = written(placed_words(own).withColumn("id", F.monotonically_increasing_id()), "placed")
+    blocks = blocks_of(placed)
+    freed(spark)
+    quotes = placed.select(F.col("id").alias("key"), "doc", F.col("q").alias("quote"), (F.col("page") if cite else F.lit(None).cast("int")).alias("page"))
+    at = written(located_in(quotes, blocks).where("found").select(F.col("key").alias("id"), "pos", F.col("page").alias("on")), "located")
+    freed(spark)
+    far = placed.select("id", "doc", "ref", "start", "n", count("q").alias("m")).join(at, "id", "left")
+    if around:
+        said = placed.select("id", F.col("q").alias("quote"), F.col("v").alias("vote"))
+        far = far.join(passages(placed.select(F.col("id").alias("key"), "doc").join(at.withColumnRenamed("id", "key"), "key").join(said.withColumnRenamed("id", "key"), "key").select("key", "doc", "pos", "quote", "vote"), blocks).withColumnRenamed("key", "id"), "id", "left")
+    return out.unionByName(far.withColumnRenamed("ref", "key").withColumnRenamed("on", "page").select(small.columns))
+
+
+def _texts(spark, d) -> DataFrame:
     """The texts of the decisions of each document. A decision's page is the least that its rows name."""
     page = table(spark, d, "decision").groupBy("ref").agg(F.min("side").alias("page"))
     return decisions(spark, d).select("ref", F.col("doc_id").alias("doc"), "rank", words("tekst").alias("w")).join(page, "ref")
@@ -33,7 +77,7 @@ def _said(spark, d) -> DataFrame:
 
 def minutes(spark, d) -> DataFrame:
     """The blocks of words of each document's minutes."""
-    return blocks_of(placed_words(_said(spark, d)))
+    return blocks_of(placed_words(_texts(spark, d)))
 
 
 def _quotes(spark, d) -> DataFrame:
@@ -71,10 +115,7 @@ def quote_pages(spark, d):
 @query()
 def quote_passages(spark, d):
     """The passage of the minutes around each quote that stands there, to the end of the decision's vote."""
-    blocks, quotes = minutes(spark, d), _quotes(spark, d)
-    at = located_in(quotes, blocks).where("found").select("key", "pos")
-    places = quotes.join(at, "key").join(decisions(spark, d).select(F.col("ref").alias("key"), F.col("stemmer").alias("vote")), "key")
-    return passages(places.select("key", "doc", "pos", "quote", "vote"), blocks).select(F.col("key").alias("ref"), "first", "last", "words")
+    return _read(spark, d, cite=True, around=True).where("pos is not null").select(F.col("key").alias("ref"), "first", "last", "words")
 
 
 # ---- matching by place and text
@@ -133,7 +174,7 @@ sp as (select doc_id, ref, a, a + n as b from lo where a is not null), ot as (se
 select x.doc_id as doc, x.ref as outer_, y.ref as inner_, (least(x.b, y.b) - greatest(x.a, y.a)) / (y.b - y.a) as share from ot x join sp y on x.doc_id = y.doc_id and x.a < y.b and y.a < x.b where (least(x.b, y.b) - greatest(x.a, y.a)) / (y.b - y.a) > 0.5""")
 def covered_quotes(spark, d):
     """The decisions of whose quote more than half lies in a decision's text."""
-    placed = written(placed_words(_said(spark, d)), "placed")
+    placed = written(placed_words(_texts(spark, d)), "placed")
     q = _quotes(spark, d).withColumn("page", F.lit(None).cast("int"))
     at = located_in(q, blocks_of(placed)).where("found").select("key", F.col("pos").alias("a"))
     inner = q.join(at, "key").select("key", "doc", "a", (F.col("a") + F.greatest(F.size(words("quote")), F.lit(1))).alias("b"))
