@@ -174,11 +174,10 @@ sp as (select doc_id, ref, a, a + n as b from lo where a is not null), ot as (se
 select x.doc_id as doc, x.ref as outer_, y.ref as inner_, (least(x.b, y.b) - greatest(x.a, y.a)) / (y.b - y.a) as share from ot x join sp y on x.doc_id = y.doc_id and x.a < y.b and y.a < x.b where (least(x.b, y.b) - greatest(x.a, y.a)) / (y.b - y.a) > 0.5""")
 def covered_quotes(spark, d):
     """The decisions of whose quote more than half lies in a decision's text."""
-    placed = written(placed_words(_texts(spark, d)), "placed")
-    q = _quotes(spark, d).withColumn("page", F.lit(None).cast("int"))
-    at = located_in(q, blocks_of(placed)).where("found").select("key", F.col("pos").alias("a"))
-    inner = q.join(at, "key").select("key", "doc", "a", (F.col("a") + F.greatest(F.size(words("quote")), F.lit(1))).alias("b"))
-    outer = placed.select(F.col("ref").alias("key"), "doc", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
+    read = written(_read(spark, d, cite=False), "read")
+    freed(spark)
+    outer = read.select("key", "doc", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
+    inner = read.where("pos is not null").select("key", "doc", F.col("pos").alias("a"), (F.col("pos") + F.greatest("m", F.lit(1))).alias("b"))
     return covered(outer, inner).select("doc", F.col("outer").alias("outer_"), F.col("inner").alias("inner_"), "share")
 
 

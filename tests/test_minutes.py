@@ -53,6 +53,6 @@ def test_whole_and_by_blocks(spark, odd, cite, around):
 
 
 @here
-@pytest.mark.parametrize("name", ["quote_passages"])
+@pytest.mark.parametrize("name", ["quote_passages", "covered_quotes"])
 def test_texts_are_not_shuffled_again_and_again(spark, name):
     assert shuffled(spark, name) < 20
