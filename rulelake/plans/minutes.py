@@ -102,8 +102,7 @@ st as (select doc_id, q, min(p) as s from (select distinct doc_id, q from w wher
  from w left join best b on b.doc_id = w.doc_id and b.qs = array_to_string(w.q, ' ') and len(w.q) >= 3 left join st on st.doc_id = w.doc_id and st.q = w.q""")
 def quotes_in_minutes(spark, d):
     """Whether each decision's quote stands in the minutes, and at which word it first and best does, whatever page is cited."""
-    q = _quotes(spark, d).withColumn("page", F.lit(None).cast("int"))
-    return located_in(q, minutes(spark, d)).select(F.col("key").alias("ref"), "found", "pos")
+    return _read(spark, d, cite=False).select(F.col("key").alias("ref"), F.col("pos").isNotNull().alias("found"), "pos")
 
 
 @query()

@@ -2,6 +2,7 @@
 
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,16 @@ def test_whole_and_by_blocks(spark, odd, cite, around):
 
 
 @here
-@pytest.mark.parametrize("name", ["quote_passages", "covered_quotes"])
+def test_odd_rows_as_in_sql(spark, odd):
+    con = duckdb.connect()
+    con.execute(f"create view decision as select * from '{odd}/decision.parquet/*.parquet'")
+    want = sorted(map(str, con.execute(entry.oracle_sql()["quotes_in_minutes"]).fetchall()))
+    for w in (1 << 40, 0):
+        got = minutes._read(spark, odd, cite=False, whole=w).select(F.col("key").alias("ref"), F.col("pos").isNotNull().alias("found"), "pos").collect()
+        assert sorted(str(tuple(r)) for r in got) == want
+
+
+@here
+@pytest.mark.parametrize("name", ["quote_passages", "covered_quotes", "quotes_in_minutes"])
 def test_texts_are_not_shuffled_again_and_again(spark, name):
     assert shuffled(spark, name) < 20
