@@ -69,22 +69,6 @@ def _read(spark, d, *, cite: bool = True, around: bool = False, whole: int = WHO
     return out.unionByName(far.withColumnRenamed("ref", "key").withColumnRenamed("on", "page").select(small.columns))
 
 
-def _texts(spark, d) -> DataFrame:
-    """The texts of the decisions of each document. A decision's page is the least that its rows name."""
-    page = table(spark, d, "decision").groupBy("ref").agg(F.min("side").alias("page"))
-    return decisions(spark, d).select("ref", F.col("doc_id").alias("doc"), "rank", words("tekst").alias("w")).join(page, "ref")
-
-
-def minutes(spark, d) -> DataFrame:
-    """The blocks of words of each document's minutes."""
-    return blocks_of(placed_words(_texts(spark, d)))
-
-
-def _quotes(spark, d) -> DataFrame:
-    page = table(spark, d, "decision").groupBy("ref").agg(F.min("side").alias("page"))
-    return decisions(spark, d).join(page, "ref").select(F.col("ref").alias("key"), F.col("doc_id").alias("doc"), F.col("citat").alias("quote"), "page")
-
-
 _MIN = f"""with {D}, w as (select ref, doc_id, rank, {_WORDS.format('citat')} as q, {_WORDS.format('tekst')} as t from d),
 o as (select *, coalesce(sum(len(t)) over (partition by doc_id order by rank, ref rows between unbounded preceding and 1 preceding), 0)::bigint as off from w),
 wd as (select doc_id, off + unnest(range(0, len(t))) as p, unnest(t) as word from o),
@@ -108,7 +92,7 @@ def quotes_in_minutes(spark, d):
 @query()
 def quote_pages(spark, d):
     """Where each quote stands in the minutes and on which page, the page cited before others."""
-    return located_in(_quotes(spark, d), minutes(spark, d)).select(F.col("key").alias("ref"), "found", "pos", "page")
+    return _read(spark, d).select(F.col("key").alias("ref"), F.col("pos").isNotNull().alias("found"), "pos", "page")
 
 
 @query()

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from rulelake.operators.locating import occurrences
 from rulelake.plans import minutes
 
 SMALLEST, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -64,6 +65,34 @@ def test_odd_rows_as_in_sql(spark, odd):
 
 
 @here
-@pytest.mark.parametrize("name", ["quote_passages", "covered_quotes", "quotes_in_minutes"])
+def test_pages_against_every_document_read(spark, odd):
+    rows = minutes._said(spark.read.parquet(f"{odd}/decision.parquet")).where("doc is not null").collect()
+    docs = {}
+    for r in rows:
+        docs.setdefault(r["doc"], {}).setdefault((r["rank"] is None, r["rank"], r["key"] is None, r["key"] or "", r["one"]), []).append(r)
+    want = []
+    for doc, decided in docs.items():
+        least = {}
+        for rs in decided.values():
+            for r in rs:
+                if r["page"] is not None:
+                    least[r["key"]] = min(r["page"], least.get(r["key"], r["page"]))
+        order = [decided[k][0] for k in sorted(decided, key=lambda k: (k[0], k[1] or 0, *k[2:]))]
+        ws = [w for r in order for w in r["w"].split()]
+        pages = [least.get(r["key"]) for r in order for _ in r["w"].split()]
+        for r in order:
+            q, cited = r["q"].split(), least.get(r["key"])
+            if len(q) > 2:
+                places = [(o[3], o[4], o[5]) for o in occurrences(q, ws, pages, 0, -(10**9), 10**9)]
+            else:
+                places = [(i, pages[i], [pages[i]]) for i in range(len(ws)) if q and ws[i : i + len(q)] == q]
+            own = [p for p in places if cited is not None and cited in p[2]]
+            want.append((r["key"], *((own[0][0], cited) if own else places[0][:2] if places else (None, None))))
+    got = [tuple(r) for r in minutes._read(spark, odd).where("doc is not null").select("key", "pos", "page").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+@here
+@pytest.mark.parametrize("name", ["quote_passages", "covered_quotes", "quotes_in_minutes", "quote_pages"])
 def test_texts_are_not_shuffled_again_and_again(spark, name):
     assert shuffled(spark, name) < 20
