@@ -360,25 +360,92 @@ def read_whole(rows: DataFrame, cite: bool = True, around: bool = False) -> Data
     return own.repartition("doc").sortWithinPartitions("doc").mapInArrow(run, ", ".join(f"`{n}` {k}" for n, _, k in types))
 
 
-def containing(a: DataFrame, b: DataFrame) -> DataFrame:
+def containing(a: DataFrame, b: DataFrame, whole: int = WHOLE) -> DataFrame:
     """(doc, a, b): quotes of a document of which one holds the other, case, signs and white space aside; both sides have doc, key and quote.
 
-    What holds a quote of three words or more holds its rarest three words in a row, so only those are joined; shorter quotes are joined by their first word. Null
-    and empty quotes hold nothing.
+    Documents of up to ``whole`` bytes are read by one task each. In others what holds a quote of three words or more holds its rarest three words in a row, so only those are
+    joined, as hashes, and the texts of what they bring together are compared; shorter quotes are joined by their rarest word. Null and empty quotes hold nothing.
     """
+    both = a.withColumn("side", F.lit(0)).unionByName(b.withColumn("side", F.lit(1)))
+    large = large_documents(both, "doc", ["quote"], whole)
+    said = both.where("doc is not null").select("doc", "side", "key", F.concat_ws(" ", words_of("quote")).alias("t")).where("t <> ''")
+    return _containing_whole(said.join(large, "doc", "left_anti")).unionByName(_containing_large(said.join(large, "doc", "left_semi")))
+
+
+def held_in(inner: list[str], outer: list[str]) -> list[tuple[int, int]]:
+    """(i, j): which inner texts stand in which outer ones, as words with blanks between."""
+    split, grams_of = [t.split() for t in outer], {}
+    padded = [f" {t} " for t in outer]
+    out = []
+    for i, t in enumerate(inner):
+        w = t.split()
+        n = 3 if len(w) > 2 else 1
+        if n not in grams_of:
+            index = defaultdict(list)
+            for j, x in enumerate(split):
+                for g in set(zip(*[x[k:] for k in range(n)])):
+                    index[g].append(j)
+            grams_of[n] = index
+        index, t = grams_of[n], f" {t} "
+        rarest = min((index.get(g, ()) for g in zip(*[w[k:] for k in range(n)])), key=len)
+        out += [(i, j) for j in rarest if t in padded[j]]
+    return out
+
+
+def _containing_whole(said: DataFrame) -> DataFrame:
+    types = [("doc", "doc"), ("a", "key"), ("b", "key")]
+    schema = pa.schema([(n, to_arrow_type(said.schema[c].dataType)) for n, c in types])
+
+    def made(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) if out else [[]] * 3, schema.types)], schema=schema)
+
+    def run(batches):
+        out = []
+        for doc, rows in by_document(batches, "doc"):
+            keys = defaultdict(set), defaultdict(set)
+            for side, key, t in rows:
+                keys[side][t].add(key)
+            x, y = list(keys[0]), list(keys[1])
+            met = dict.fromkeys([(x[i], y[j]) for i, j in held_in(x, y)] + [(x[i], y[j]) for j, i in held_in(y, x)])
+            given: set = set()  # a key with several texts may be met several times
+            for s, t in met:
+                for p in keys[0][s]:
+                    for q in keys[1][t]:
+                        if (p, q) not in given:
+                            given.add((p, q))
+                            out.append((doc, p, q))
+                if len(out) > 10_000:
+                    yield made(out)
+                    out = []
+        yield made(out)
+
+    rows = said.select("doc", "side", "key", "t").repartition("doc").sortWithinPartitions("doc")
+    return rows.mapInArrow(run, ", ".join(f"`{n}` {said.schema[c].dataType.simpleString()}" for n, c in types))
+
+
+def _containing_large(said: DataFrame) -> DataFrame:
     sides = []
-    for df, x in ((a, "a"), (b, "b")):
-        sides.append(written(df.select("doc", F.col("key").alias(x), words_of("quote").alias("w")).where("size(w) > 0 and doc is not null").withColumn("t", F.concat(F.lit(" "), F.concat_ws(" ", "w"), F.lit(" "))), "quotes"))
+    for k, x in enumerate("ab"):
+        own = said.where(F.col("side") == k).select("doc", F.col("key").alias(x), F.concat(F.lit(" "), "t", F.lit(" ")).alias(f"t{x}"))
+        sides.append(written(own.distinct().withColumn(f"i{x}", F.monotonically_increasing_id()), "quotes"))
 
-    def pairs(inner: DataFrame, i: str, outer: DataFrame, o: str) -> DataFrame:
+    def met(i: str, o: str, inner: DataFrame, outer: DataFrame) -> DataFrame:
+        """(ia, ib): the rows of which the outer one has the rarest words of the inner one."""
         out = None
         for n, size in ((3, "size(w) > 2"), (1, "size(w) < 3")):
-            held = outer.select("doc", o, F.col("t").alias("to"), F.explode(F.array_distinct(grams(F.col("w"), n))).alias("gram"))
-            often = held.groupBy("doc", "gram").agg(F.count("*").alias("f"))
-            own = inner.where(size).select("doc", i, F.col("t").alias("ti"), F.explode(F.array_distinct(grams(F.col("w"), n))).alias("gram")).join(often, ["doc", "gram"])
-            rare = own.groupBy("doc", i, "ti").agg(F.min(F.struct("f", "gram")).alias("x")).select("doc", i, "ti", F.col("x.gram").alias("gram"))
-            part = rare.join(held, ["doc", "gram"]).where(F.col("to").contains(F.col("ti"))).select("doc", "a", "b")
+            each = [df.select("doc", f"i{x}", F.split(F.trim(f"t{x}"), " ").alias("w")) for df, x in ((inner, i), (outer, o))]
+            own, held = [e.select(f"i{x}", "doc", F.explode(F.array_distinct(grams(F.col("w"), n))).alias("gram")).select(f"i{x}", F.xxhash64("doc", "gram").alias("gram")) for e, x in ((each[0].where(size), i), (each[1], o))]
+            own = written(own, "grams")
+            held = written(held.join(own.select("gram").distinct(), "gram", "left_semi"), "grams")
+            freed(said.sparkSession)
+            often = held.groupBy("gram").agg(F.count("*").alias("f"))
+            # a quote of which a gram is nowhere is held by nothing
+            rare = own.join(often, "gram", "left").groupBy(f"i{i}").agg(F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "gram")).alias("x")).where("x.f > 0").select(f"i{i}", F.col("x.gram").alias("gram"))
+            part = rare.join(held, "gram").select("ia", "ib")
             out = part if out is None else out.unionByName(part)
         return out
 
-    return pairs(sides[0], "a", sides[1], "b").unionByName(pairs(sides[1], "b", sides[0], "a")).distinct()
+    a, b = sides
+    pairs = written(met("a", "b", a, b).unionByName(met("b", "a", b, a)).distinct(), "met")
+    freed(said.sparkSession)
+    return pairs.join(a, "ia").join(b.drop("doc"), "ib").where(F.col("tb").contains(F.col("ta")) | F.col("ta").contains(F.col("tb"))).select("doc", "a", "b").distinct()

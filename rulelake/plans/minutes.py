@@ -12,7 +12,7 @@ from ..operators.order import summed_before
 from ..operators.quotes import one_to_one
 from ..operators.snapshots import last_deliveries
 from ..sources.tables import freed, table, written
-from .base import D, decisions, query
+from .base import D, query
 from .texts import _WORDS
 
 
@@ -168,5 +168,5 @@ def covered_quotes(spark, d):
 select a.doc_id as doc, a.ref as a, b.ref as b from n a join n b on a.doc_id = b.doc_id and a.q <> '  ' and b.e <> '  ' and (contains(a.q, b.e) or contains(b.e, a.q))""")
 def corrections_matched(spark, d):
     """Which decision a correction of its document means: one whose quote holds what the correction quotes, here the text of each decision, or is held by it."""
-    dec = decisions(spark, d)
+    dec = table(spark, d, "decision")
     return containing(*[dec.select(F.col("doc_id").alias("doc"), F.col("ref").alias("key"), F.col(c).alias("quote")) for c in ("citat", "tekst")])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from rulelake.operators.locating import occurrences
+from rulelake.operators.locating import containing, occurrences
 from rulelake.plans import minutes
 
 SMALLEST, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -93,6 +93,14 @@ def test_pages_against_every_document_read(spark, odd):
 
 
 @here
-@pytest.mark.parametrize("name", ["quote_passages", "covered_quotes", "quotes_in_minutes", "quote_pages"])
+def test_quotes_held_whole_and_by_trigrams(spark, odd):
+    dec = spark.read.parquet(f"{odd}/decision.parquet")
+    sides = [dec.select(F.col("doc_id").alias("doc"), F.col("ref").alias("key"), F.col(c).alias("quote")) for c in ("citat", "tekst")]
+    one, other = (rows_of(containing(*sides, whole=w)) for w in (1 << 40, 0))
+    assert one == other and len(one) > 300
+
+
+@here
+@pytest.mark.parametrize("name", ["quote_passages", "covered_quotes", "quotes_in_minutes", "quote_pages", "corrections_matched"])
 def test_texts_are_not_shuffled_again_and_again(spark, name):
     assert shuffled(spark, name) < 20
