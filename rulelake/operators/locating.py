@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import words as words_of
-from ..sources.tables import freed, written
+from ..sources.tables import freed, merged, small, written
 from .quotes import GAP, SLACK, THRESHOLD, grams, pooled, votes_of
 
 #: Words of a block of a document.
@@ -28,6 +28,8 @@ BLOCK = 512
 BEFORE, AFTER, REACH, APART = 100, 400, 2000, 12
 #: A document of up to so many bytes of text is read in one piece, and bytes that count for a row besides its texts.
 WHOLE, ROW = 1 << 20, 64
+#: Distinct quotes of one or two words, and bytes of them, that are broadcast; beyond, they are joined.
+BROADCAST_SHORT, BROADCAST_BYTES = 50_000, 8 << 20
 #: Words of a part of a large document; what is read around a place lies in its part and the next, else it is gathered block by block.
 PART = 4096
 
@@ -78,7 +80,7 @@ def _gathered(places: DataFrame, blocks: DataFrame, low: Column, high: Column, b
     keyed = places.withColumn("_w", F.monotonically_increasing_id()).withColumn("block", F.explode(F.sequence(F.floor(F.greatest(low, F.lit(0)) / block), F.floor(high / block))))
     body = blocks.select("doc", "block", F.slice("ws", 1, block).alias("b"), F.slice("pages", 1, block).alias("p"))
     kept = [c for c in places.columns if c != "doc"]
-    joined = keyed.join(body, ["doc", "block"]).groupBy("doc", "_w").agg(*[F.first(c).alias(c) for c in kept], F.array_sort(F.collect_list(F.struct("block", "b", "p"))).alias("x"))
+    joined = keyed.join(merged(body), ["doc", "block"]).groupBy("doc", "_w").agg(*[F.first(c).alias(c) for c in kept], F.array_sort(F.collect_list(F.struct("block", "b", "p"))).alias("x"))
     return joined.select("doc", *kept, (F.col("x")[0]["block"] * block).alias("at"), F.flatten("x.b").alias("ws"), F.flatten("x.p").alias("pages"))
 
 
@@ -216,13 +218,13 @@ def located_in(quotes: DataFrame, blocks: DataFrame, *, block: int = BLOCK) -> D
     here = here.select(F.xxhash64("doc", "gram").alias("gram"), (F.col("block") * block + F.col("i")).alias("pos"))
     long = written(distinct.where("size(q) > 2"), "long")
     each = long.select("id", F.size("q").alias("n"), F.posexplode(grams(F.col("q"), 3)).alias("j", "gram"), "doc").select("doc", "id", "n", "j", F.xxhash64("doc", "gram").alias("gram"))
-    wanted = written(here.join(each.select("gram").distinct(), "gram", "left_semi"), "grams")
+    wanted = written(here.join(merged(each.select("gram").distinct()), "gram", "left_semi"), "grams")
     freed(blocks.sparkSession)
     seen = wanted.groupBy("gram").agg(F.count("*").alias("f"))
     rare = Window.partitionBy("doc", "id").orderBy(F.coalesce("f", F.lit(0)), "j")
     missed = F.col("n") - 2 - F.ceil((F.col("n") - 2) * THRESHOLD - 1e-9)
-    seeds = each.join(seen, "gram", "left").withColumn("r", F.row_number().over(rare)).where(F.col("r") <= missed + 1)
-    starts = seeds.join(wanted, "gram").select("doc", "id", (F.col("pos") - F.col("j")).alias("s")).distinct()
+    seeds = each.join(merged(seen), "gram", "left").withColumn("r", F.row_number().over(rare)).where(F.col("r") <= missed + 1)
+    starts = seeds.join(merged(wanted), "gram").select("doc", "id", (F.col("pos") - F.col("j")).alias("s")).distinct()
     by = Window.partitionBy("doc", "id").orderBy("s")
     reach = 2 * (GAP + SLACK)
     island = F.sum(F.when(F.col("s") - F.lag("s").over(by) <= reach, 0).otherwise(1)).over(by)
@@ -235,13 +237,13 @@ def located_in(quotes: DataFrame, blocks: DataFrame, *, block: int = BLOCK) -> D
 
     types = [("doc", to_arrow_type(blocks.schema["doc"].dataType), kind), ("id", pa.int64(), "bigint"), ("a", pa.int32(), "int"), ("b", pa.int32(), "int"), ("c", pa.int64(), "bigint")]
     types += [("start", pa.int64(), "bigint"), ("page", pa.int32(), "int"), ("pages", pa.list_(pa.int32()), "array<int>")]
-    asked_near = near.join(long, ["doc", "id"]).select("doc", "id", "q", "lo", "hi")
+    asked_near = near.join(merged(long), ["doc", "id"]).select("doc", "id", "q", "lo", "hi")
     found = swept(asked_near, blocks, F.col("lo") - 3 * reach, F.col("hi") + F.size("q") + reach, search, types, block)
     place = F.struct("a", "b", "c", "start", "page")
     places = written(found.select("doc", "id", place.alias("x"), "pages").unionByName(_short(distinct.where("size(q) < 3"), blocks, block)), "places")
     best = places.groupBy("doc", "id").agg(F.min("x").alias("x"))
     on = places.select("doc", "id", "x", F.explode("pages").alias("cited")).where("cited is not null").groupBy("doc", "id", "cited").agg(F.min("x").alias("y"))
-    j = asked.select("key", "doc", "id", "cited").join(best, ["doc", "id"], "left").join(on, ["doc", "id", "cited"], "left")
+    j = asked.select("key", "doc", "id", "cited").join(merged(best), ["doc", "id"], "left").join(merged(on), ["doc", "id", "cited"], "left")
     return j.select("key", F.col("x").isNotNull().alias("found"), F.coalesce("y.start", "x.start").alias("pos"), F.when(F.col("y").isNotNull(), F.col("cited")).otherwise(F.col("x.page")).alias("page"))
 
 
@@ -253,7 +255,8 @@ def _short(distinct: DataFrame, blocks: DataFrame, block: int) -> DataFrame:
         own = grams(F.col("ws"), n)
         at = blocks.join(q.select("doc").distinct(), "doc", "left_semi").select("doc", "block", "pages", F.posexplode(own).alias("i", "gram")).where(F.col("i") < block)
         at = at.select("doc", "gram", (F.col("block") * block + F.col("i")).alias("start"), F.element_at("pages", F.col("i") + 1).alias("page"))
-        first = at.join(q, ["doc", "gram"]).groupBy("doc", "id", "page").agg(F.min("start").alias("start"))
+        few = small(q, BROADCAST_SHORT, BROADCAST_BYTES)
+        first = at.join(F.broadcast(q) if few else merged(q), ["doc", "gram"]).groupBy("doc", "id", "page").agg(F.min("start").alias("start"))
         x = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"), F.col("start").alias("c"), F.col("start"), F.col("page"))
         part = first.select("doc", "id", x.alias("x"), F.array("page").alias("pages"))
         out = part if out is None else out.unionByName(part)

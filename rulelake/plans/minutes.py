@@ -11,7 +11,7 @@ from ..operators.matching import covered, scored, scores_by_document
 from ..operators.order import summed_before
 from ..operators.quotes import one_to_one
 from ..operators.snapshots import last_deliveries
-from ..sources.tables import freed, table, written
+from ..sources.tables import freed, merged, table, written
 from .base import D, query
 from .texts import _WORDS
 
@@ -55,14 +55,14 @@ def _read(spark, d, *, cite: bool = True, around: bool = False, whole: int = WHO
     page = own.groupBy("doc", "ref").agg(F.min("page").alias("page"))
     own = own.drop("page").dropDuplicates(["doc", "ref", "rank", "one"])
     same = own["ref"].eqNullSafe(page["ref"]) & (own["doc"] == page["doc"])
-    own = own.join(page, same).select(own["*"], page["page"]).withColumn("w", F.when(F.col("w") == "", F.array().cast("array<string>")).otherwise(F.split("w", " ")))
+    own = own.join(merged(page), same).select(own["*"], page["page"]).withColumn("w", F.when(F.col("w") == "", F.array().cast("array<string>")).otherwise(F.split("w", " ")))
     placed = written(placed_words(own).withColumn("id", F.monotonically_increasing_id()), "placed")
     blocks = blocks_of(placed)
     freed(spark)
     quotes = placed.select(F.col("id").alias("key"), "doc", F.col("q").alias("quote"), (F.col("page") if cite else F.lit(None).cast("int")).alias("page"))
     at = written(located_in(quotes, blocks).where("found").select(F.col("key").alias("id"), "pos", F.col("page").alias("on")), "located")
     freed(spark)
-    far = placed.select("id", "doc", "ref", "start", "n", count("q").alias("m")).join(at, "id", "left")
+    far = placed.select("id", "doc", "ref", "start", "n", count("q").alias("m")).join(merged(at), "id", "left")
     if around:
         said = placed.select("id", F.col("q").alias("quote"), F.col("v").alias("vote"))
         far = far.join(passages(placed.select(F.col("id").alias("key"), "doc").join(at.withColumnRenamed("id", "key"), "key").join(said.withColumnRenamed("id", "key"), "key").select("key", "doc", "pos", "quote", "vote"), blocks).withColumnRenamed("key", "id"), "id", "left")

@@ -82,6 +82,14 @@ def freed(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is shuffled and merged whatever size is estimated, as a broadcast passes the driver's memory.
+
+    Spark goes by the bytes of the files: words and equal texts take ten times as many in memory.
+    """
+    return df.hint("merge")
+
+
 def small(df: DataFrame, rows: int, size: int = 64 << 20) -> bool:
     """Whether a table has at most so many rows and bytes of text, so that it may be broadcast; no more than a row beyond is read."""
     wide = [c for c, t in df.dtypes if t not in ("bigint", "int", "double", "boolean", "date", "timestamp", "timestamp_ntz")]

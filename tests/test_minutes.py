@@ -104,3 +104,38 @@ def test_quotes_held_whole_and_by_trigrams(spark, odd):
 @pytest.mark.parametrize("name", ["quote_passages", "covered_quotes", "quotes_in_minutes", "quote_pages", "corrections_matched"])
 def test_texts_are_not_shuffled_again_and_again(spark, name):
     assert shuffled(spark, name) < 20
+
+
+def broadcasts(spark, run):
+    """The rows of each broadcast of what ``run`` does, with all joins allowed to broadcast that Spark thinks are small."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    bus.waitUntilEmpty(30_000)
+    first = store.executionsCount()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        run()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    bus.waitUntilEmpty(30_000)
+    done = store.executionsList()
+    out = []
+    for i in range(first, done.size()):
+        of = done.apply(i).executionId()
+        told, nodes = store.executionMetrics(of), store.planGraph(of).allNodes()
+        for node in (nodes.apply(k) for k in range(nodes.size())):
+            if node.name() == "BroadcastExchange":
+                said = [told.get(m.accumulatorId()) for m in (node.metrics().apply(k) for k in range(node.metrics().size())) if m.name() == "number of output rows"]
+                out += [int(x.get().replace(",", "")) for x in said if x.isDefined()]
+    return out
+
+
+@here
+@pytest.mark.parametrize("name", ["quote_pages"])
+def test_quotes_and_words_are_not_broadcast(spark, monkeypatch, name):
+    read = minutes._read
+    monkeypatch.setattr(minutes, "_read", lambda *a, **k: read(*a, **k | {"whole": 0}))
+    decisions = spark.read.parquet(f"{SMALL}/decision.parquet").count()
+    sent = broadcasts(spark, lambda: entry.queries()[name](spark, SMALL).write.format("noop").mode("overwrite").save())
+    assert sent and max(sent) < decisions / 4  # documents are, quotes are not
