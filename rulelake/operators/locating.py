@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -293,18 +293,19 @@ def passage(ws: list, pos: int, n: int, v: list) -> tuple[int, int, str]:
     return first, last, " ".join(ws[first:last])
 
 
-def passages(places: DataFrame, blocks: DataFrame, *, block: int = BLOCK) -> DataFrame:
-    """(key, first, last, words): the words of a document around quotes found at (key, doc, pos, quote, vote): from ``BEFORE`` words before to ``AFTER`` after, or to the
+def passages(places: DataFrame, blocks: DataFrame, *, block: int = BLOCK, known: Sequence[str] = ()) -> DataFrame:
+    """(key, first, last, words), and of doc and pos what is ``known``: the words of a document around quotes found at (key, doc, pos, quote, vote): from ``BEFORE`` words before to ``AFTER`` after, or to the
     end of the decision's vote where that stands further on; ``last`` is the word after the passage.
     """
     asked = places.select("doc", "key", F.col("pos"), F.size(words_of("quote")).alias("n"), words_of("vote").alias("v"))
 
     def cut(x, at, ws, _):
         first, last, said = passage(ws, x["pos"] - at, x["n"], x["v"])
-        return [(x["key"], first + at, last + at, said)]
+        return [(x["key"], first + at, last + at, said, *[x[c] for c in known])]
 
     key = places.schema["key"].dataType
     types = [("key", to_arrow_type(key), key.simpleString()), ("first", pa.int64(), "bigint"), ("last", pa.int64(), "bigint"), ("words", pa.string(), "string")]
+    types += [(c, to_arrow_type(places.schema[c].dataType), places.schema[c].dataType.simpleString()) for c in known]
     return swept(asked, blocks, F.col("pos") - BEFORE, F.col("pos") + F.col("n") + F.greatest(F.lit(AFTER), REACH + (F.size("v") + 1) * (APART + 1)), cut, types, block)
 
 

@@ -62,10 +62,12 @@ def _read(spark, d, *, cite: bool = True, around: bool = False, whole: int = WHO
     quotes = placed.select(F.col("id").alias("key"), "doc", F.col("q").alias("quote"), (F.col("page") if cite else F.lit(None).cast("int")).alias("page"))
     at = written(located_in(quotes, blocks).where("found").select(F.col("key").alias("id"), "pos", F.col("page").alias("on")), "located")
     freed(spark)
-    far = placed.select("id", "doc", "ref", "start", "n", count("q").alias("m")).join(merged(at), "id", "left")
+    far = placed.select("id", "doc", F.col("q").alias("quote"), F.col("v").alias("vote"), "ref", "start", "n", count("q").alias("m")).join(merged(at), "id", "left")
     if around:
-        said = placed.select("id", F.col("q").alias("quote"), F.col("v").alias("vote"))
-        far = far.join(passages(placed.select(F.col("id").alias("key"), "doc").join(at.withColumnRenamed("id", "key"), "key").join(said.withColumnRenamed("id", "key"), "key").select("key", "doc", "pos", "quote", "vote"), blocks).withColumnRenamed("key", "id"), "id", "left")
+        # what is known of a decision goes along, so that its passage is not shuffled to it
+        row = F.struct("ref", "start", "n", "m", "on").alias("key")
+        of = passages(far.where("pos is not null").select(row, "doc", "pos", "quote", "vote"), blocks, known=["doc", "pos"])
+        far = of.select("doc", "pos", "key.*", "first", "last", "words").unionByName(far.where("pos is null").select("doc", "pos", "ref", "start", "n", "m", "on"), allowMissingColumns=True)
     return out.unionByName(far.withColumnRenamed("ref", "key").withColumnRenamed("on", "page").select(small.columns))
 
 
