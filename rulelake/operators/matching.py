@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import words
-from ..sources.tables import written
+from ..sources.tables import merged, written
 from .quotes import jaccard, overlap, trigrams
 
 #: The least score of a match, and the least similarity of texts of which both quotes were located but do not overlap.
@@ -51,7 +51,7 @@ def scored(old: DataFrame, new: DataFrame) -> DataFrame:
 def covered(outer: DataFrame, inner: DataFrame, least: float = 0.5) -> DataFrame:
     """(doc, outer, inner, share): the spans of a document of which more than ``least`` lies in another; both sides have doc, key, a and b."""
     sides = [df.where("b > a").select("doc", F.col("key").alias(x), F.col("a").alias(f"a{x}"), F.col("b").alias(f"b{x}"), F.explode(F.sequence(F.floor(F.col("a") / REACH), F.floor((F.col("b") - 1) / REACH))).alias("at")) for df, x in ((outer, "outer"), (inner, "inner"))]
-    met = sides[0].join(sides[1], ["doc", "at"]).where("aouter < binner and ainner < bouter").drop("at").distinct()
+    met = sides[0].join(merged(sides[1]), ["doc", "at"]).where("aouter < binner and ainner < bouter").drop("at").distinct()
     share = (F.least("bouter", "binner") - F.greatest("aouter", "ainner")) / (F.col("binner") - F.col("ainner"))
     return met.select("doc", "outer", "inner", share.alias("share")).where(F.col("share") > least)
 
