@@ -132,7 +132,7 @@ def broadcasts(spark, run):
 
 
 @here
-@pytest.mark.parametrize("name", ["quote_pages", "covered_quotes", "quote_passages"])
+@pytest.mark.parametrize("name", ["quote_pages", "quotes_in_minutes", "covered_quotes", "quote_passages"])
 def test_quotes_and_words_are_not_broadcast(spark, monkeypatch, name):
     read = minutes._read
     monkeypatch.setattr(minutes, "_read", lambda *a, **k: read(*a, **k | {"whole": 0}))
